@@ -1,0 +1,6 @@
+"""Structured Streaming forms of batch operators would live here.
+
+The analytics model is batch only: it has no watermarks, event-time windows or
+stateful operators, so this package is empty on purpose. The weekday detector is
+causal (it judges a day by earlier days only) and can run as a daily batch.
+"""
