@@ -284,6 +284,7 @@ from m_weekday where is_anomaly""",
     "rfm_caption": """
 select string_agg(segment || ' ' || format('{:,}', customers), ' · ' order by total_revenue_eur desc, segment)
        || ' customers' as caption from m_rfm_summary""",
+    "roas_zscores": "select * replace (round(z_roas, 6) as z_roas) from m_roas_z",
     "low_roas_scan": "select * replace (round(z_roas, 6) as z_roas) from m_low_roas",
     "worst_marketing": "select * replace (round(z_roas, 6) as z_roas) from t_worst",
     "detector_scores": _score("detector", "select 'weekday baseline' as detector, date, is_anomaly as flagged "
@@ -303,6 +304,10 @@ select doc_id, claim_no, token, value, cast(decimals as bigint) as decimals, abs
          where abs(abs(c.value) - n.e) <= 0.5 * pow(10.0, -c.decimals) + 1e-9) as grounded
 from claims c""",
     "groundedness_score": "select * from scored",
+    "red_team_rate": """
+select d.doc_id, count(t.trial) as trials, count(case when t.hit then 1 end) as caught,
+       coalesce(cast(count(case when t.hit then 1 end) as double) / nullif(count(t.trial), 0), 0) as detection_rate
+from documents d left join trials t on d.doc_id = t.doc_id group by d.doc_id""",
     "measures_orders": """
 select country_code, channel, cast(sum(net_amount_eur) as double) as net_revenue_eur,
        count(distinct order_id) as orders,

@@ -7,22 +7,23 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.numbers import ratio, round_to
 from tradewind.operators.quantiles import exact_quantiles
+from tradewind.scale import materialize
 
 
 def fill_by_median_ratio(df: DataFrame, num: str, den: str, group: str, places: int = 2) -> DataFrame:
     """Null ``num`` becomes ``round(median(num/den of the group) * den, places)``.
 
-    A group without any known ratio uses the overall median. The group medians
-    are one row per group; their join is left to Catalyst, which broadcasts
-    them by measured size. The overall median is a one-row subquery.
+    A group without any known ratio uses the overall median. ``group`` has a
+    bounded vocabulary; its medians are written once, so later readers of the
+    result join a table of a few rows, which Catalyst broadcasts by its size.
     """
     kind = df.schema[num].dataType
     known = df.select(group, ratio(F.col(num), F.col(den)).alias("_r"))
-    by_group = exact_quantiles(known, "_r", [0.5], [group]).select(
-        F.col(group).alias("_g"), F.col("q")[0].alias("_group_median"))
-    overall = exact_quantiles(known, "_r", [0.5]).select(F.col("q")[0]).scalar()
+    medians = materialize(exact_quantiles(known, "_r", [0.5], group), "medians")
+    by_group = medians.where("not is_total").select(F.col("group").alias("_g"), F.col("q")[0].alias("_group_median"))
+    overall = medians.where("is_total").select(F.col("q")[0]).scalar()
     typical = F.coalesce(F.col("_group_median"), overall)
     filled = round_to(typical * F.col(den).cast("double"), places).cast(kind)
-    joined = df.join(by_group, df[group].eqNullSafe(by_group["_g"]), "left")
+    joined = df.join(by_group, F.col(group).eqNullSafe(F.col("_g")), "left")
     return joined.select(*[
         F.coalesce(F.col(num), filled).alias(num) if c == num else F.col(c) for c in df.columns])

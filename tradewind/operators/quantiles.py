@@ -16,57 +16,70 @@ def _bucket(x: Column) -> Column:
     return (F.signum(x) * F.floor(F.log1p(F.abs(x)) * _STEPS)).cast("long")
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                    out: str = "q") -> DataFrame:
-    """``by`` columns, ``n`` and the array ``out`` of linearly interpolated quantiles.
-
-    Two aggregations. The first counts values per monotone bucket (a bounded
-    histogram) and finds the few buckets that hold the wanted positions; the
-    second counts distinct values inside those buckets only. Both combine
-    before the exchange, so a hot value or a hot group costs no more than any
-    other, and no task ever holds a whole group.
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group: str | None = None) -> DataFrame:
+    """Linearly interpolated quantiles as rows (is_total, group, n, q array<double>).
+
+    Always gives the total over all rows; with ``group`` (a column with a bounded
+    vocabulary) also one row per group, from the same two passes:
+
+    1. values are counted per (group, monotone bucket), a histogram of bounded
+       size, and the few buckets holding the wanted positions are found;
+    2. the distinct values inside those buckets are counted.
+
+    Both aggregations combine before the exchange, so a hot value or a group
+    with most of the rows costs no more than any other, and no task holds a
+    whole group.
     """
-    by = list(by)
-    part = by or [F.lit(0)]
-    base = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_x"))
+    g = F.col(group) if group else F.lit(None).cast("string")
+    base = df.where(F.col(value).isNotNull()).select(g.alias("_g"), F.col(value).cast("double").alias("_x"))
     base = base.withColumn("_b", _bucket(F.col("_x")))
 
-    hist = base.groupBy(*by, "_b").agg(F.count("*").alias("_c"))
-    w = Window.partitionBy(*part)
-    upto = w.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_end", F.sum("_c").over(upto)).withColumn("n", F.sum("_c").over(w))
-    place = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
+    def with_total(parts: DataFrame, keys: list[str], n: str) -> DataFrame:
+        """Add the rows summed over all groups to per-group counts."""
+        total = parts.groupBy(*keys).agg(F.sum(n).alias(n)).select(
+            F.lit(True).alias("_total"), F.lit(None).cast(parts.schema["_g"].dataType).alias("_g"), *keys, n)
+        if not group:
+            return total
+        return total.unionByName(parts.select(F.lit(False).alias("_total"), "_g", *keys, n))
+
+    level = ["_total", "_g"]
+    hist = with_total(base.groupBy("_g", "_b").agg(F.count("*").alias("_c")), ["_b"], "_c")
+    whole = Window.partitionBy(*level)
+    upto = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = hist.withColumn("_end", F.sum("_c").over(upto)).withColumn("_n", F.sum("_c").over(whole))
+    place = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
     wanted = F.flatten(F.array(*[
         F.array(
             F.struct(F.lit(i).alias("i"), F.lit(0).alias("side"), F.floor(pos).alias("k")),
             F.struct(F.lit(i).alias("i"), F.lit(1).alias("side"), F.ceil(pos).alias("k")),
         ) for i, pos in enumerate(place)]))
     begin = F.col("_end") - F.col("_c")
-    hits = hist.select(*by, "_b", "n", begin.alias("_begin"), F.explode(F.filter(
+    hits = hist.select(*level, "_b", "_n", begin.alias("_begin"), F.explode(F.filter(
         wanted, lambda t: (t["k"] >= begin) & (t["k"] < F.col("_end")))).alias("_t"))
 
-    if by:
-        inside = base.groupBy(*by, "_b", "_x").agg(F.count("*").alias("_m"))
-    else:
-        # at most two buckets per probability: small enough to filter the scan with
-        few = hits.agg(F.collect_set("_b")).scalar()
-        inside = base.where(F.array_contains(few, F.col("_b"))).groupBy("_b", "_x").agg(F.count("*").alias("_m"))
-    inside = inside.join(hits.select(*by, "_b").distinct(), [*by, "_b"], "left_semi")
-    run = Window.partitionBy(*by, "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = inside.withColumn("_to", F.sum("_m").over(run))
+    # at most two buckets per probability and group: few enough to filter the second scan with
+    few = hits.agg(F.collect_set("_b")).scalar()
+    inside = base.where(F.array_contains(few, F.col("_b"))).groupBy("_g", "_b", "_x").agg(F.count("*").alias("_m"))
+    inside = with_total(inside, ["_b", "_x"], "_m")
+    run = Window.partitionBy(*level, "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = inside.withColumn("_to", F.sum("_m").over(run)).select(
+        F.col("_total").alias("_t2"), F.col("_g").alias("_g2"), F.col("_b").alias("_b2"), "_x", "_m", "_to")
 
     at = F.col("_t.k") - F.col("_begin")
-    found = hits.join(inside, [*by, "_b"]).where((at >= F.col("_to") - F.col("_m")) & (at < F.col("_to")))
+    found = hits.join(inside, (F.col("_total") == F.col("_t2")) & F.col("_g").eqNullSafe(F.col("_g2"))
+                      & (F.col("_b") == F.col("_b2"))).where(
+        (at >= F.col("_to") - F.col("_m")) & (at < F.col("_to")))
 
     def side(i: int, s: int) -> Column:
         return F.max(F.when((F.col("_t.i") == i) & (F.col("_t.side") == s), F.col("_x")))
 
-    picks = found.groupBy(*by).agg(F.max("n").alias("n"), *[
+    picks = found.groupBy(*level).agg(F.max("_n").alias("_n"), *[
         side(i, s).alias(f"_v{i}_{s}") for i in range(len(probs)) for s in (0, 1)])
     edges = [
         F.col(f"_v{i}_0") + (F.col(f"_v{i}_1") - F.col(f"_v{i}_0")) * (pos - F.floor(pos))
         for i, pos in enumerate(place)]
-    return picks.select(*by, "n", F.array(*edges).alias(out))
+    return picks.select(F.col("_total").alias("is_total"), F.col("_g").alias("group"), F.col("_n").alias("n"),
+                        F.array(*edges).alias("q"))
 
 
 def right_closed_bin(value: Column, edges: Column) -> Column:

@@ -8,13 +8,18 @@ most one calendar.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Executors need not have the package installed: these functions travel with the task.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Z_LIMIT = 3.5
 PERIOD = 7
 SEASONAL_SPAN = 7

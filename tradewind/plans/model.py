@@ -168,11 +168,16 @@ class Model:
         return rfm.rfm_summary(self.rfm_segments)
 
     @cached_property
-    def low_roas(self) -> DataFrame:
-        """Country, month and channel rows whose return is unusually low for the channel."""
+    def roas_zscores(self) -> DataFrame:
+        """Return on spend of country, month and channel rows, as z-score within the channel."""
         seen = self.marketing_roi.where("net_revenue_eur is not null").select(
             "country_code", "month", "channel", "spend_eur", "net_revenue_eur", "blended_roas")
-        return group_zscore(seen, "blended_roas", "channel", "z_roas").where(F.col("z_roas") < LOW_ROAS_Z)
+        return group_zscore(seen, "blended_roas", "channel", "z_roas")
+
+    @cached_property
+    def low_roas(self) -> DataFrame:
+        """Rows whose return is unusually low for the channel."""
+        return self.roas_zscores.where(F.col("z_roas") < LOW_ROAS_Z)
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)

@@ -23,64 +23,58 @@ _SECTIONS = {
 }
 
 
-def _missing_as(c: Column, text: str) -> Column:
-    return F.coalesce(c, F.lit(text))
-
-
 def render(evidence: DataFrame) -> DataFrame:
     """(section_no, line_no, line): seven sections in fixed order, absent evidence leaves its section out.
 
     Works on the bounded evidence rows; numbers are rounded as printf does.
     """
-    wide = evidence.groupBy("section", "rank", "entity").agg(
-        F.map_from_entries(F.collect_list(F.struct("metric", "value_num"))).alias("n"),
-        F.map_from_entries(F.collect_list(F.struct("metric", "value_str"))).alias("s"))
-
-    def num(m: str) -> Column:
-        return F.try_element_at("n", F.lit(m))
-
-    def txt(m: str) -> Column:
-        return F.try_element_at("s", F.lit(m))
+    v = F.col("value_num")
+    printed = evidence.select("section", "rank", "entity", "metric", F.struct(
+        grouped_number(v, 0).alias("whole"), plain_number(v, 0).alias("units"), plain_number(v, 1).alias("one"),
+        plain_number(v, 2).alias("two"), plain_number(v, 1, sign=True).alias("signed"),
+        F.col("value_str").alias("text")).alias("t"))
+    wide = printed.groupBy("section", "rank", "entity").agg(
+        F.map_from_entries(F.collect_list(F.struct("metric", "t"))).alias("m"))
 
-    def eur(m: str) -> Column:
-        return F.concat(F.lit("EUR "), _missing_as(grouped_number(num(m), 0), "n/a"))
+    def shown(metric: str, form: str) -> Column:
+        return F.coalesce(F.try_element_at("m", F.lit(metric))[form], F.lit("n/a"))
 
-    def whole(m: str) -> Column:
-        return _missing_as(grouped_number(num(m), 0), "n/a")
+    def eur(metric: str) -> Column:
+        return F.concat(F.lit("EUR "), shown(metric, "whole"))
 
-    def pct(m: str) -> Column:
-        return _missing_as(F.concat(plain_number(num(m), 1), F.lit("%")), "n/a")
+    def pct(metric: str) -> Column:
+        return F.concat(shown(metric, "one"), F.lit("%"))
 
-    growth = F.when(num("mom_revenue_growth_pct").isNull(), "MoM n/a, first month").otherwise(
-        F.concat(plain_number(num("mom_revenue_growth_pct"), 1, sign=True), F.lit("% MoM")))
+    change = F.try_element_at("m", F.lit("mom_revenue_growth_pct"))["signed"]
+    growth = F.coalesce(F.concat(change, F.lit("% MoM")), F.lit("MoM n/a, first month"))
     name = F.concat(F.lit("- **"), "entity", F.lit("**: "))
     section = F.col("section")
     line = (
         F.when(section == "headline", F.concat(
             F.lit("- Completed sales over all months: **"), eur("total_revenue_eur"), F.lit("** from **"),
-            whole("total_orders"), F.lit(" orders**.")))
+            shown("total_orders", "whole"), F.lit(" orders**.")))
         .when(section == "latest_month", F.concat(
-            name, eur("net_revenue_eur"), F.lit(" net revenue, "), whole("orders_count"),
-            F.lit(" orders, average order EUR "), _missing_as(plain_number(num("avg_order_value_eur"), 2), "n/a"),
+            name, eur("net_revenue_eur"), F.lit(" net revenue, "), shown("orders_count", "whole"),
+            F.lit(" orders, average order EUR "), shown("avg_order_value_eur", "two"),
             F.lit(" ("), growth, F.lit(").")))
         .when(section == "anomalies", F.concat(
-            F.lit("- "), "entity", F.lit(": "), eur("net_revenue_eur"), F.lit(" net revenue, a "), txt("direction"),
-            F.lit(" (z = "), plain_number(num("seasonal_zscore"), 2), F.lit(" against earlier same weekdays).")))
+            F.lit("- "), "entity", F.lit(": "), eur("net_revenue_eur"), F.lit(" net revenue, a "), shown("direction", "text"),
+            F.lit(" (z = "), shown("seasonal_zscore", "two"), F.lit(" against earlier same weekdays).")))
         .when(section == "segments", F.concat(
-            name, whole("customers"), F.lit(" customers, "), eur("total_revenue_eur"),
-            F.lit(" revenue, last order "), _missing_as(plain_number(num("avg_recency_days"), 0), "n/a"),
+            name, shown("customers", "whole"), F.lit(" customers, "), eur("total_revenue_eur"),
+            F.lit(" revenue, last order "), shown("avg_recency_days", "units"),
             F.lit(" days ago on average.")))
         .when(section == "top_products", F.concat(
-            F.lit("- **"), "entity", F.lit("** ("), txt("category"), F.lit("): "), eur("gross_revenue_eur"),
+            F.lit("- **"), "entity", F.lit("** ("), shown("category", "text"), F.lit("): "), eur("gross_revenue_eur"),
             F.lit(" revenue, margin "), pct("margin_pct"), F.lit(", returned "), pct("return_rate_pct"), F.lit(".")))
         .when(section == "return_reasons", F.concat(
-            name, whole("returns_count"), F.lit(" returns, "), eur("total_refund_eur"), F.lit(" refunded.")))
+            name, shown("returns_count", "whole"), F.lit(" returns, "), eur("total_refund_eur"), F.lit(" refunded.")))
         .when(section == "marketing", F.concat(
-            F.lit("- "), whole("underperforming_count"),
+            F.lit("- "), shown("underperforming_count", "whole"),
             F.lit(" country, channel and month rows earn unusually little per spend (z-score < -1.5 in the channel).")))
         .when(section == "worst_marketing", F.concat(
             F.lit("  - "), "entity", F.lit(": "), eur("spend_eur"), F.lit(" spent, return "),
-            _missing_as(plain_number(num("blended_roas"), 2), "n/a"), F.lit("x."))))
+            shown("blended_roas", "two"), F.lit("x."))))
     numbers = F.create_map(*[F.lit(x) for k, v in _SECTIONS.items() for x in (k, v[0])])
     # one line per entity; the sub-list of a section comes after its own line
     after = F.when(section == "worst_marketing", F.lit(100)).otherwise(F.lit(0))

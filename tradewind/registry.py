@@ -99,8 +99,9 @@ def _(m):
 
 @query("dq_feed")
 def _(m):
-    return feeds.dq_feed(audit.dq_lines(
-        audit.dq_report({n: m.raw(n) for n in schemas.RAW_SCHEMAS}, adapter.VALID_CODES)))
+    # the log is a text the dashboard reads back, so it is written before it is parsed
+    return feeds.dq_feed(materialize(audit.dq_lines(
+        audit.dq_report({n: m.raw(n) for n in schemas.RAW_SCHEMAS}, adapter.VALID_CODES)), "dq_log"))
 
 
 # --- cleaning ----------------------------------------------------------------------------------
@@ -325,6 +326,11 @@ def _(m):
     return feeds.segment_caption(m.rfm_summary)
 
 
+@query("roas_zscores")
+def _(m):
+    return _rounded(m.roas_zscores, 6, "z_roas")
+
+
 @query("low_roas_scan")
 def _(m):
     return _rounded(m.low_roas, 6, "z_roas")
@@ -481,7 +487,7 @@ def _(m):
 
 @query("eval_headline_extract", "orders")
 def _(m):
-    return feeds.eval_headline(_groundedness_lines(m).where("report_id = 'report'"))
+    return feeds.eval_headline(materialize(_groundedness_lines(m).where("report_id = 'report'"), "lines"))
 
 
 # --- data tests --------------------------------------------------------------------------------
