@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tradewind.scale import materialize
+
 # Buckets grow with the logarithm of the magnitude: about 0.1 % wide, at most
 # 710 * 1024 per sign over the whole range of doubles.
 _STEPS = 1024.0
@@ -33,20 +35,17 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group: st
     g = F.col(group) if group else F.lit(None).cast("string")
     base = df.where(F.col(value).isNotNull()).select(g.alias("_g"), F.col(value).cast("double").alias("_x"))
     base = base.withColumn("_b", _bucket(F.col("_x")))
-
-    def with_total(parts: DataFrame, keys: list[str], n: str) -> DataFrame:
-        """Add the rows summed over all groups to per-group counts."""
-        total = parts.groupBy(*keys).agg(F.sum(n).alias(n)).select(
-            F.lit(True).alias("_total"), F.lit(None).cast(parts.schema["_g"].dataType).alias("_g"), *keys, n)
-        if not group:
-            return total
-        return total.unionByName(parts.select(F.lit(False).alias("_total"), "_g", *keys, n))
-
-    level = ["_total", "_g"]
-    hist = with_total(base.groupBy("_g", "_b").agg(F.count("*").alias("_c")), ["_b"], "_c")
-    whole = Window.partitionBy(*level)
+    # each count enters the total and, with groups, its own group
+    total = F.struct(F.lit(True).alias("total"), F.lit(None).cast(base.schema["_g"].dataType).alias("g"))
+    own = F.struct(F.lit(False).alias("total"), F.col("_g").alias("g"))
+    level = F.explode(F.array(total, own) if group else F.array(total)).alias("_l")
+
+    # bounded by the number of buckets per group, and read twice below
+    hist = materialize(base.groupBy("_g", "_b").agg(F.count("*").alias("_c")), "histogram")
+    hist = hist.select(level, "_b", "_c").groupBy("_l", "_b").agg(F.sum("_c").alias("_c"))
+    whole = Window.partitionBy("_l")
     upto = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_end", F.sum("_c").over(upto)).withColumn("_n", F.sum("_c").over(whole))
+    hist = hist.withColumns({"_end": F.sum("_c").over(upto), "_n": F.sum("_c").over(whole)})
     place = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
     wanted = F.flatten(F.array(*[
         F.array(
@@ -54,31 +53,28 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group: st
             F.struct(F.lit(i).alias("i"), F.lit(1).alias("side"), F.ceil(pos).alias("k")),
         ) for i, pos in enumerate(place)]))
     begin = F.col("_end") - F.col("_c")
-    hits = hist.select(*level, "_b", "_n", begin.alias("_begin"), F.explode(F.filter(
+    hits = hist.select("_l", "_b", "_n", begin.alias("_begin"), F.explode(F.filter(
         wanted, lambda t: (t["k"] >= begin) & (t["k"] < F.col("_end")))).alias("_t"))
 
     # at most two buckets per probability and group: few enough to filter the second scan with
     few = hits.agg(F.collect_set("_b")).scalar()
     inside = base.where(F.array_contains(few, F.col("_b"))).groupBy("_g", "_b", "_x").agg(F.count("*").alias("_m"))
-    inside = with_total(inside, ["_b", "_x"], "_m")
-    run = Window.partitionBy(*level, "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = inside.withColumn("_to", F.sum("_m").over(run)).select(
-        F.col("_total").alias("_t2"), F.col("_g").alias("_g2"), F.col("_b").alias("_b2"), "_x", "_m", "_to")
+    inside = inside.select(level, "_b", "_x", "_m").groupBy("_l", "_b", "_x").agg(F.sum("_m").alias("_m"))
+    run = Window.partitionBy("_l", "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = inside.withColumn("_to", F.sum("_m").over(run))
 
     at = F.col("_t.k") - F.col("_begin")
-    found = hits.join(inside, (F.col("_total") == F.col("_t2")) & F.col("_g").eqNullSafe(F.col("_g2"))
-                      & (F.col("_b") == F.col("_b2"))).where(
-        (at >= F.col("_to") - F.col("_m")) & (at < F.col("_to")))
+    found = hits.join(inside, ["_l", "_b"]).where((at >= F.col("_to") - F.col("_m")) & (at < F.col("_to")))
 
     def side(i: int, s: int) -> Column:
         return F.max(F.when((F.col("_t.i") == i) & (F.col("_t.side") == s), F.col("_x")))
 
-    picks = found.groupBy(*level).agg(F.max("_n").alias("_n"), *[
+    picks = found.groupBy("_l").agg(F.max("_n").alias("_n"), *[
         side(i, s).alias(f"_v{i}_{s}") for i in range(len(probs)) for s in (0, 1)])
     edges = [
         F.col(f"_v{i}_0") + (F.col(f"_v{i}_1") - F.col(f"_v{i}_0")) * (pos - F.floor(pos))
         for i, pos in enumerate(place)]
-    return picks.select(F.col("_total").alias("is_total"), F.col("_g").alias("group"), F.col("_n").alias("n"),
+    return picks.select(F.col("_l.total").alias("is_total"), F.col("_l.g").alias("group"), F.col("_n").alias("n"),
                         F.array(*edges).alias("q"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.functions.numbers import round_to
@@ -28,20 +28,24 @@ def rfm_scores(ltv: DataFrame) -> DataFrame:
             F.col("total_net_revenue_eur").cast("double").alias("monetary")),
         "buyers")
     as_of = buyers.agg(F.max("last_order_date")).scalar()
-    aged = buyers.withColumn("recency_days", F.date_diff(as_of, F.col("last_order_date")).cast("long"))
+    idle = F.date_diff(as_of, F.col("last_order_date")).cast("long")
     probs = F.array(*[F.lit(p) for p in QUINTILES])
-    by_age = aged.groupBy("recency_days").agg(F.count("*").alias("n"))
-    recency_edges = by_age.agg(F.percentile("recency_days", probs, F.col("n"))).scalar()
-    money_edges = exact_quantiles(buyers, "monetary", QUINTILES).select("q").scalar()
-    buyers_total = buyers.agg(F.count("*")).scalar()
+    by_age = buyers.groupBy(idle.alias("idle")).agg(F.count("*").alias("n"))
+    # one row: customers, recency edges and monetary edges
+    edges = materialize(
+        by_age.agg(F.sum("n").alias("n"), F.percentile("idle", probs, F.col("n")).alias("recency")).withColumn(
+            "money", exact_quantiles(buyers, "monetary", QUINTILES).select("q").scalar()), "edges")
 
-    ranked = global_row_number(aged, ["frequency", "customer_id"], "_rank")
-    rank_edges = F.array(*[F.lit(1.0) + (buyers_total - 1) * F.lit(p) for p in QUINTILES])
+    def edge(c: str) -> Column:
+        return edges.select(c).scalar()
+
+    ranked = global_row_number(buyers.withColumn("recency_days", idle), ["frequency", "customer_id"], "_rank")
+    rank_edges = F.array(*[F.lit(1.0) + (edge("n") - 1) * F.lit(p) for p in QUINTILES])
     scored = (
-        ranked.withColumn("_re", recency_edges).withColumn("_me", money_edges).withColumn("_fe", rank_edges)
-        .withColumn("r_score", F.lit(6) - right_closed_bin(F.col("recency_days"), F.col("_re")))
-        .withColumn("f_score", right_closed_bin(F.col("_rank"), F.col("_fe")))
-        .withColumn("m_score", right_closed_bin(F.col("monetary"), F.col("_me"))))
+        ranked.withColumns({"_re": edge("recency"), "_me": edge("money"), "_fe": rank_edges})
+        .withColumns({"r_score": F.lit(6) - right_closed_bin(F.col("recency_days"), F.col("_re")),
+                      "f_score": right_closed_bin(F.col("_rank"), F.col("_fe")),
+                      "m_score": right_closed_bin(F.col("monetary"), F.col("_me"))}))
     return scored.select(
         "customer_id", "country_code", "last_order_date", "recency_days", "frequency", "monetary",
         "r_score", "f_score", "m_score", (F.col("r_score") + F.col("f_score") + F.col("m_score")).alias("rfm_score"))
