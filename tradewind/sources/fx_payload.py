@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _RATES = "rates map<string, map<string, double>>"
@@ -21,7 +21,13 @@ def flatten_rates(payloads: DataFrame, currencies: Sequence[str], body: str = "p
 
 
 def require_rates(rates: DataFrame) -> DataFrame:
-    """Fail the job when a payload carried no usable rate at all."""
-    some = rates.agg(F.count("*").alias("n")).scalar()
-    guard: Column = F.when(some == 0, F.raise_error(F.lit("the payload holds no rates")).cast("double"))
-    return rates.withColumn("rate_to_eur", F.coalesce(guard, F.col("rate_to_eur")))
+    """The rates, or a failed job when there is none at all.
+
+    The guard is a one-row union branch: it keeps no row and raises when the
+    count is zero, so an empty result fails as well.
+    """
+    count = rates.agg(F.count("*").alias("n"))
+    none = F.raise_error(F.lit("the payload holds no rates")).cast("boolean")
+    guard = count.where(F.when(F.col("n") == 0, none).otherwise(F.lit(False)))
+    return rates.unionByName(guard.select(*[
+        F.lit(None).cast(f.dataType).alias(f.name) for f in rates.schema]))
