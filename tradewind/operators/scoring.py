@@ -8,13 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.functions.numbers import ratio
+from tradewind.sources.seeds import fixed_rows
 
 SWEEP = (3.0, 3.5, 4.0, 4.5, 5.0)
 
 
 def incident_days(spark: SparkSession, windows: Sequence[tuple[str, str, str]]) -> DataFrame:
     """(incident, date): one row per labelled day."""
-    rows = spark.createDataFrame(list(windows), "incident string, lo string, hi string")
+    rows = fixed_rows(spark, windows, ("incident", "lo", "hi"))
     span = F.sequence(F.col("lo").cast("date"), F.col("hi").cast("date"), F.expr("interval 1 day"))
     return rows.select("incident", F.explode(span).alias("date"))
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.dates import month_start, months_apart
 from tradewind.functions.numbers import ratio, round_to
+from tradewind.scale import materialize
 
 ACTIVE_DAYS, AT_RISK_DAYS = 90, 180
 
@@ -48,13 +49,14 @@ def customer_ltv(customers: DataFrame, orders: DataFrame) -> DataFrame:
     """Lifetime figures and lifecycle stage of every customer, with or without orders.
 
     The stage is relative to the last completed order in the data. A customer
-    holding a third of the orders is pre-aggregated before the exchange.
+    holding a third of the orders is pre-aggregated before the exchange. The
+    per-customer sums are written once: the reference date is their maximum, and
+    taking it from there spares a second pass over the orders.
     """
-    done = completed(orders)
-    per_customer = done.groupBy("customer_id").agg(
+    per_customer = materialize(completed(orders).groupBy("customer_id").agg(
         F.min("order_date").alias("first_order_date"), F.max("order_date").alias("last_order_date"),
-        F.count("order_id").alias("_n"), _money("net_amount_eur").alias("_rev"))
-    as_of = done.agg(F.max("order_date")).scalar()
+        F.count("order_id").alias("_n"), _money("net_amount_eur").alias("_rev")), "customer_sums")
+    as_of = per_customer.agg(F.max("last_order_date")).scalar()
     idle = F.date_diff(as_of, F.col("last_order_date"))
     stage = (F.when(F.col("_n").isNull(), "never_purchased").when(idle <= ACTIVE_DAYS, "active")
              .when(idle <= AT_RISK_DAYS, "at_risk").otherwise("churned"))
@@ -102,18 +104,22 @@ def product_performance(products: DataFrame, items: DataFrame, returns: DataFram
     once. Either way the rows are never multiplied: lines are first summed per
     (product, order), returns are counted per order, and the product of the two
     is taken after the join. Return ids are unique, which the data tests check.
+    A product has one unit cost, so its margin follows from its summed revenue
+    and units: lines need not be joined to products at all.
     """
     per_order = returns.groupBy("order_id").agg(
         F.count("*").alias("_rows"), F.count_distinct("return_id").alias("_ids"))
     per_line = items.groupBy("product_id", "order_id").agg(
-        F.sum("quantity").alias("_q"), F.sum("line_total_eur").alias("_t"), F.sum("line_margin_eur").alias("_m"))
+        F.sum("quantity").alias("_q"), F.sum("line_total_eur").alias("_t"))
     times = F.coalesce("_rows", F.lit(1)) if fan_out else F.lit(1)
     sold = per_line.join(per_order, "order_id", "left").groupBy("product_id").agg(
         F.count("order_id").alias("_orders"), F.sum(F.col("_q") * times).alias("units_sold"),
-        F.sum(F.col("_t") * times).cast("double").alias("gross_revenue_eur"),
-        F.sum(F.col("_m") * times).cast("double").alias("gross_margin_eur"), F.sum("_ids").alias("_returns"))
+        F.sum(F.col("_t") * times).alias("_t"), F.sum("_ids").alias("_returns"))
     orders, back = F.coalesce("_orders", F.lit(0)), F.coalesce("_returns", F.lit(0))
-    return products.join(sold, "product_id", "left").select(
+    margin = F.col("_t") - F.col("units_sold").cast("decimal(20,0)") * F.col("unit_cost_eur")
+    known = products.select("product_id", "product_name", "category", "brand", "unit_cost_eur")
+    return known.join(sold, "product_id", "left").withColumns(
+        {"gross_revenue_eur": F.col("_t").cast("double"), "gross_margin_eur": margin.cast("double")}).select(
         "product_id", "product_name", "category", "brand", orders.alias("orders_count"), "units_sold",
         "gross_revenue_eur", "gross_margin_eur",
         round_to(ratio(F.col("gross_margin_eur"), F.col("gross_revenue_eur")) * 100, 2).alias("margin_pct"),

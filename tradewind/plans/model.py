@@ -119,11 +119,11 @@ class Model:
 
     @cached_property
     def product_performance(self) -> DataFrame:
-        return marts.product_performance(self.dim_product, self.fct_order_items, self.staged("returns"))
+        return marts.product_performance(self.dim_product, self.staged("order_items"), self.staged("returns"))
 
     @cached_property
     def product_performance_nofanout(self) -> DataFrame:
-        return marts.product_performance(self.dim_product, self.fct_order_items, self.staged("returns"), False)
+        return marts.product_performance(self.dim_product, self.staged("order_items"), self.staged("returns"), False)
 
     @cached_property
     def marketing_roi(self) -> DataFrame:

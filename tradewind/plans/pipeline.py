@@ -61,11 +61,13 @@ def gather_evidence(m: Model) -> DataFrame:
 
 def run(spark: SparkSession, read: Callable[[str], DataFrame], out: str, incidents: Sequence[tuple[str, str, str]] = (),
         countries: Sequence[str] = COUNTRY_CODES, categories: Sequence[str] = CATEGORIES,
-        database: str = "raw", buckets: int = 8) -> dict[str, int]:
+        database: str = "raw", buckets: int | None = None) -> dict[str, int]:
     """Run every stage and write the results under ``out``; returns exported row counts.
 
-    Clean tables are loaded once, bucketed by order_id where facts join on it;
-    everything after reads those tables. The data-test report is written before
+    Clean tables are loaded once; everything after reads those tables. ``buckets``
+    clusters the order-grain tables on order_id, which spares their joins the
+    exchange but pins each order to one file: leave it unset when one order_id
+    may be hot, so that AQE can split it. The data-test report is written before
     a failure is raised by the caller's own policy.
     """
     source = Model(read, countries, categories)

@@ -522,7 +522,7 @@ def _(m):
     return q.report(pipeline.integrity_tests(m))
 
 
-@query("data_test_report", "orders")
+@query("data_test_report", "customers", "products", "orders", "order_items", "payments", "returns", "exchange_rates")
 def _(m):
     return q.report(pipeline.data_tests(m, schemas.ORDER_STATUSES) + pipeline.integrity_tests(m))
 

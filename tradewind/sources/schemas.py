@@ -27,7 +27,7 @@ COUNTRY_SEED = (
     ("IT", "Italy", "EUR", "Southern Europe"),
     ("SE", "Sweden", "SEK", "Nordic"),
 )
-COUNTRY_SCHEMA = "country_code string, country_name string, currency_code string, region string"
+COUNTRY_COLUMNS = ("country_code", "country_name", "currency_code", "region")
 
 # Raw extracts. Dates, codes and flags stay text until cleaned.
 RAW_SCHEMAS = {
