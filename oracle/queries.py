@@ -293,21 +293,36 @@ select string_agg(segment || ' ' || format('{:,}', customers), ' · ' order by t
 select cast(t as double) as threshold, date, coalesce(abs(seasonal_zscore) > t, false) as flagged
 from i_weekday, (select unnest([3.0::double, 3.5, 4.0, 4.5, 5.0]) as t) s"""),
     "evidence": "select * from evidence",
-    "extract_claims": "select doc_id, claim_no, token, value, cast(decimals as bigint) as decimals from claims",
+    "extract_claims": "select doc_id, claim_no, token, value, cast(decimals as bigint) as decimals from doc_claims",
     "evidence_numbers": "select * from pool",
     "grounded_claims": """select doc_id, claim_no, token, value, cast(decimals as bigint) as decimals, grounded
-                          from judged""",
+                          from doc_judged""",
     "grounded_claims_large_pool": """
 select doc_id, claim_no, token, value, cast(decimals as bigint) as decimals, abs(value) in (2.5, 1.5) or exists (
          select 1 from (select distinct abs(cast(unit_price_eur as double)) as e from r_products
                         union select distinct abs(cast(net_amount_eur as double)) from r_orders) n
          where abs(abs(c.value) - n.e) <= 0.5 * pow(10.0, -c.decimals) + 1e-9) as grounded
-from claims c""",
-    "groundedness_score": "select * from scored",
-    "red_team_rate": """
-select d.doc_id, count(t.trial) as trials, count(case when t.hit then 1 end) as caught,
-       coalesce(cast(count(case when t.hit then 1 end) as double) / nullif(count(t.trial), 0), 0) as detection_rate
-from documents d left join trials t on d.doc_id = t.doc_id group by d.doc_id""",
+from doc_claims c""",
+    "groundedness_score": "select * from doc_scored",
+    "red_team_rate": "select * from doc_team",
+    "report_lines": "select cast(section_no as bigint) as section_no, cast(line_no as bigint) as line_no, line from lines",
+    "report_groundedness": "select * from rep_scored",
+    "red_team_report": "select * from rep_team",
+    "groundedness_lines": """
+select report_id, cast(unnest(range(9)) as bigint) as line_no, unnest([
+  '## ' || report_id,
+  '- Numeric claims checked: **' || numbers_checked || '**',
+  '- Grounded in evidence: **' || grounded || '** (' || format('{:.1f}', groundedness_rate * 100) || '%)',
+  '- Ungrounded: ' || case when ungrounded = '' then 'none' else replace(ungrounded, ' ', ', ') end,
+  '**Checker test:** ' || caught || '/' || trials || ' altered numbers were noticed ('
+    || format('{:.1f}', detection_rate * 100) || '%).',
+  '- A claim is grounded when an evidence number equals it at the precision it is printed with.',
+  '- Dates are no claims; the quoted thresholds 2.5 and 1.5 always pass.',
+  '- An altered number that equals another evidence number is not noticed.',
+  '- Only numbers are verified, not the conclusions drawn from them.']) as line
+from all_scored join all_team using (report_id)""",
+    "eval_headline_extract": """
+select numbers_checked as checked, grounded, caught, trials from rep_scored join rep_team using (report_id)""",
     "measures_orders": """
 select country_code, channel, cast(sum(net_amount_eur) as double) as net_revenue_eur,
        count(distinct order_id) as orders,

@@ -40,8 +40,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group: st
     own = F.struct(F.lit(False).alias("total"), F.col("_g").alias("g"))
     level = F.explode(F.array(total, own) if group else F.array(total)).alias("_l")
 
-    # bounded by the number of buckets per group, and read twice below
-    hist = materialize(base.groupBy("_g", "_b").agg(F.count("*").alias("_c")), "histogram")
+    # bounded by the number of buckets per group, so written as one file and worked on in one task
+    hist = materialize(base.groupBy("_g", "_b").agg(F.count("*").alias("_c")), "histogram").coalesce(1)
     hist = hist.select(level, "_b", "_c").groupBy("_l", "_b").agg(F.sum("_c").alias("_c"))
     whole = Window.partitionBy("_l")
     upto = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -461,14 +461,21 @@ def _(m):
     return redteam.red_team(texts(m), "doc_id", "text", _pool(m))
 
 
-@query("red_team_report", "orders")
-def _(m):
+def _red_team_report(m: Model, include_dates: bool) -> DataFrame:
     facts = _evidence(m)
     text = report.report_text(report.render(facts))
     pool = claims.pool_array(evidence.evidence_numbers(facts))
-    strict = redteam.red_team(text, "report_id", "text", pool).withColumn("dates_eligible", F.lit(False))
-    loose = redteam.red_team(text, "report_id", "text", pool, include_dates=True)
-    return strict.unionByName(loose.withColumn("dates_eligible", F.lit(True)))
+    return redteam.red_team(text, "report_id", "text", pool, include_dates=include_dates)
+
+
+@query("red_team_report", "orders")
+def _(m):
+    return _red_team_report(m, False)
+
+
+@query("red_team_report_with_dates", "orders")
+def _(m):
+    return _red_team_report(m, True)
 
 
 def _groundedness_lines(m: Model) -> DataFrame:
