@@ -125,7 +125,8 @@ def _tests(kind: str) -> str:
 def _score(key: str, flags: str) -> str:
     """Scores per ``key`` from SQL text ``flags`` giving (key, date, flagged)."""
     return f"""
-select {key}, flagged, tp, fp, fn, precision, recall,
+select {key}, cast(flagged as bigint) as flagged, cast(tp as bigint) as tp, cast(fp as bigint) as fp,
+       cast(fn as bigint) as fn, precision, recall,
        coalesce(precision * recall * 2 / nullif(precision + recall, 0), 0) as f1, incidents_caught
 from (select *, coalesce(cast(tp as double) / nullif(flagged, 0), 0) as precision,
              coalesce(cast(tp as double) / nullif(tp + fn, 0), 0) as recall
@@ -172,15 +173,15 @@ from r_customers group by 1""",
 select ingest_seq, {_mixed('order_date')} as order_date from r_orders
 union all select cast(substr(return_id, 2) as bigint), {_mixed('return_date')} from r_returns""",
     "nonstandard_date_counts": """
-select 'orders' as table_name, count_if(contains(order_date, '/')) as nonstandard_rows from r_orders
-union all select 'returns', count_if(contains(return_date, '-') and not regexp_matches(return_date, '^[0-9]{4}-'))
-from r_returns""",
+select 'orders' as table_name, count(*) as nonstandard_rows from r_orders where contains(order_date, '/')
+union all select 'returns', count(*) from r_returns
+where contains(return_date, '-') and not regexp_matches(return_date, '^[0-9]{4}-')""",
     "null_audit": """
-select 'customers' as table_name, 'email' as column_name, count_if(email is null) as null_rows,
+select 'customers' as table_name, 'email' as column_name, cast(count_if(email is null) as bigint) as null_rows,
        cast(count_if(email is null) as double) / nullif(count(*), 0) as null_share from r_customers
-union all select 'customers', 'birth_date', count_if(birth_date is null),
+union all select 'customers', 'birth_date', cast(count_if(birth_date is null) as bigint),
        cast(count_if(birth_date is null) as double) / nullif(count(*), 0) from r_customers
-union all select 'returns', 'return_reason', count_if(return_reason is null),
+union all select 'returns', 'return_reason', cast(count_if(return_reason is null) as bigint),
        cast(count_if(return_reason is null) as double) / nullif(count(*), 0) from r_returns""",
     "impute_cost": """
 select c.product_id, c.category, cast(c.unit_price_eur as double) as unit_price_eur,
@@ -339,7 +340,7 @@ select coalesce(a.country_code, v.country_code) as country_code, a.active_custom
        v.mean_ltv_eur, v.repeat_purchase_rate, v.churn_rate
 from (select country_code, count(distinct customer_id) as active_customers from c_orders group by 1) a
 full join (
-  select country_code, count(*) as customers, count_if(total_orders > 0) as purchasers,
+  select country_code, count(*) as customers, cast(count_if(total_orders > 0) as bigint) as purchasers,
          cast(sum(cast(total_net_revenue_eur as decimal(38,2))) as double) / count(*) as mean_ltv_eur,
          cast(count_if(total_orders > 1) as double) / nullif(count_if(total_orders > 0), 0) as repeat_purchase_rate,
          cast(count_if(lifecycle_stage = 'churned') as double) / nullif(count_if(total_orders > 0), 0) as churn_rate
