@@ -39,7 +39,7 @@ class Model:
     def __init__(self, read: Callable[[str], DataFrame], countries: Sequence[str] = COUNTRY_CODES,
                  categories: Sequence[str] = CATEGORIES, hold: Sequence[str] = ()):
         self._read, self._countries, self._categories, self._hold = read, countries, categories, set(hold)
-        self._staged: dict[str, DataFrame] = {}
+        self._staged: dict[tuple[str, bool], DataFrame] = {}
 
     @classmethod
     def over(cls, extracts: Mapping[str, DataFrame], **kw) -> Model:
@@ -62,10 +62,21 @@ class Model:
         }[name]()
 
     def staged(self, name: str) -> DataFrame:
-        if name not in self._staged:
+        held = name in self._hold
+        if (name, held) not in self._staged:
             df = stage(self.clean(name), name)
-            self._staged[name] = materialize(df, name) if name in self._hold else df
-        return self._staged[name]
+            self._staged[name, held] = materialize(df, name) if held else df
+        return self._staged[name, held]
+
+    def _lookup(self, name: str) -> DataFrame:
+        """A staged table that facts look values up in, written once.
+
+        Its stored size is then known exactly: Catalyst broadcasts it while it is
+        under the threshold and shuffles the join beyond, instead of guessing
+        from the sizes of everything it was derived from.
+        """
+        self._hold.add(name)
+        return self.staged(name)
 
     @cached_property
     def dim_country(self) -> DataFrame:
@@ -77,7 +88,7 @@ class Model:
 
     @cached_property
     def dim_product(self) -> DataFrame:
-        return dims.dim_product(self.staged("products"))
+        return dims.dim_product(self._lookup("products"))
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -88,11 +99,11 @@ class Model:
     @cached_property
     def fct_orders(self) -> DataFrame:
         return facts.fct_orders(self.staged("orders"), self.staged("order_items"), self.staged("payments"),
-                                self.staged("exchange_rates"))
+                                self._lookup("exchange_rates"))
 
     @cached_property
     def fct_order_items(self) -> DataFrame:
-        return facts.fct_order_items(self.staged("order_items"), self.staged("products"))
+        return facts.fct_order_items(self.staged("order_items"), self._lookup("products"))
 
     @cached_property
     def fct_returns(self) -> DataFrame:

@@ -80,6 +80,9 @@ def run(spark: SparkSession, read: Callable[[str], DataFrame], out: str, inciden
         def clean(self, name: str) -> DataFrame:
             return loaded[name]
 
+        def _lookup(self, name: str) -> DataFrame:
+            return self.staged(name)  # stored already
+
     m = Loaded(read, countries, categories)
     sinks.write_csv(q.report(data_tests(m) + integrity_tests(m)), f"{out}/data_tests")
     flags, stl = materialize(m.weekday_flags, "flags"), materialize(m.stl_flags, "stl")

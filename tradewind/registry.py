@@ -192,7 +192,7 @@ def _(m):
 
 @query("fx_fill_calendar")
 def _(m):
-    rates = m.raw("exchange_rates").withColumn("date", F.col("date").cast("date"))
+    rates = materialize(m.raw("exchange_rates").withColumn("date", F.col("date").cast("date")), "rates")
     edges = rates.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
     start, end = (F.date_add(edges.select(c).scalar(), d) for c, d in (("lo", -3), ("hi", 3)))
     return calendar.fill_forward_then_back(rates, start, end)

@@ -9,6 +9,7 @@ for the input tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -226,10 +227,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def extract_reader(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
-    """A function giving one extract by name; nothing is read for extracts a query does not use."""
+    """A function giving one extract by name; each table is looked up once, and only if a query uses it."""
 
+    @cache
+    def table(name: str) -> DataFrame:
+        return read_table(spark, sf_dir, name)
+
+    @cache
     def read(name: str) -> DataFrame:
-        tables = {t: read_table(spark, sf_dir, t) for t in EXTRACT_INPUTS[name]}
+        tables = {t: table(t) for t in EXTRACT_INPUTS[name]}
         return spark.sql(EXTRACT_SQL[name].replace("{each}", EACH_CURRENCY), **tables)
 
     return read
