@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradewind import sinks
 from tradewind.functions.dates import mixed_date
 from tradewind.functions.numbers import round_to
 from tradewind.functions.text import canonical, normalize_code, within_domain
@@ -68,12 +69,19 @@ def _(m):
 
 @query("load_counts")
 def _(m):
-    return warehouse.count_rows({n: m.clean(n) for n in schemas.RAW_SCHEMAS})
+    """Create or replace one table per clean extract, then count what was stored."""
+    spark = m.raw("orders").sparkSession
+    warehouse.load_tables({n: m.clean(n) for n in schemas.RAW_SCHEMAS}, "tradewind_raw",
+                          location=scratch_path(spark, "warehouse"))
+    return warehouse.count_rows(warehouse.read_tables(spark, list(schemas.RAW_SCHEMAS), "tradewind_raw"))
 
 
 @query("export_counts", "orders", "order_items")
 def _(m):
-    return warehouse.count_rows({n: m.table(n) for n in EXPORTED})
+    """Write the fourteen exports as CSV; rows are counted while they are written."""
+    spark = m.raw("orders").sparkSession
+    counts = sinks.export_csv({n: m.table(n) for n in EXPORTED}, scratch_path(spark, "exports"))
+    return spark.createDataFrame(sorted(counts.items()), "table_name string, row_count bigint")
 
 
 @query("fx_flatten")

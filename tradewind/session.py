@@ -12,6 +12,8 @@ CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # sets of months or incidents are small: keep grouping by hash until a task holds many groups
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "65536",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",

@@ -12,10 +12,15 @@ from pyspark.sql import functions as F
 BUCKETED = {"orders": "order_id", "order_items": "order_id", "payments": "order_id", "returns": "order_id"}
 
 
-def load_tables(tables: Mapping[str, DataFrame], database: str = "raw", buckets: int | None = None) -> None:
-    """Replace ``database.<name>`` by each frame; ``buckets`` clusters the order-grain tables."""
+def load_tables(tables: Mapping[str, DataFrame], database: str = "raw", buckets: int | None = None,
+                location: str | None = None) -> None:
+    """Replace ``database.<name>`` by each frame; ``buckets`` clusters the order-grain tables.
+
+    ``location`` is where a database that does not exist yet keeps its tables.
+    """
+    where = f" location '{location}'" if location else ""
     for name, df in tables.items():
-        df.sparkSession.sql(f"create database if not exists {database}")
+        df.sparkSession.sql(f"create database if not exists {database}{where}")
         writer = df.write.mode("overwrite").format("parquet")
         if buckets and name in BUCKETED:
             writer = writer.bucketBy(buckets, BUCKETED[name]).sortBy(BUCKETED[name])
