@@ -20,9 +20,9 @@ from tradewind.session import build_session  # noqa: E402
 HEADLINE = (
     "clean_customers", "clean_orders", "clean_items", "clean_products", "fx_fill_calendar",
     "fct_orders", "fct_order_items", "fct_returns", "monthly_revenue_kpis", "customer_ltv", "cohort_retention",
-    "product_performance", "marketing_roi", "returns_analysis", "daily_revenue", "weekday_anomalies",
-    "stl_poisson", "rfm_summary", "low_roas_scan", "detector_scores", "extract_claims", "groundedness_score",
-    "evidence", "measures_customers", "measures_marketing", "revenue_yoy", "test_relationships",
+    "product_performance", "marketing_roi", "returns_analysis", "weekday_anomalies", "stl_poisson", "rfm_summary",
+    "detector_scores", "extract_claims", "grounded_claims_large_pool", "evidence", "measures_customers",
+    "revenue_yoy",
 )
 
 
