@@ -101,18 +101,22 @@ def product_performance(products: DataFrame, items: DataFrame, returns: DataFram
     A return belongs to an order, so it counts against each product of that
     order. With ``fan_out`` an order with several returns also counts its lines
     that many times, as joining lines to returns does; without it lines count
-    once. Either way the rows are never multiplied: lines are first summed per
-    (product, order), returns are counted per order, and the product of the two
-    is taken after the join. Return ids are unique, which the data tests check.
-    A product has one unit cost, so its margin follows from its summed revenue
-    and units: lines need not be joined to products at all.
+    once. Either way the rows are never multiplied: returns are counted per
+    order, lines are summed per (product, order), and the two are multiplied.
+    The join on order_id leaves the lines where the sums per (product, order)
+    need them, so the lines cross the network once; AQE splits a hot order and
+    only then adds the exchange the split costs. Return ids are unique, which
+    the data tests check. A product has one unit cost, so its margin follows
+    from its summed revenue and units: lines are not joined to products at all.
     """
     per_order = returns.groupBy("order_id").agg(
         F.count("*").alias("_rows"), F.count_distinct("return_id").alias("_ids"))
-    per_line = items.groupBy("product_id", "order_id").agg(
-        F.sum("quantity").alias("_q"), F.sum("line_total_eur").alias("_t"))
+    lines = items.select("product_id", "order_id", "quantity", "line_total_eur").join(per_order, "order_id", "left")
+    per_line = lines.groupBy("product_id", "order_id").agg(
+        F.sum("quantity").alias("_q"), F.sum("line_total_eur").alias("_t"),
+        F.max("_rows").alias("_rows"), F.max("_ids").alias("_ids"))
     times = F.coalesce("_rows", F.lit(1)) if fan_out else F.lit(1)
-    sold = per_line.join(per_order, "order_id", "left").groupBy("product_id").agg(
+    sold = per_line.groupBy("product_id").agg(
         F.count("order_id").alias("_orders"), F.sum(F.col("_q") * times).alias("units_sold"),
         F.sum(F.col("_t") * times).alias("_t"), F.sum("_ids").alias("_returns"))
     orders, back = F.coalesce("_orders", F.lit(0)), F.coalesce("_returns", F.lit(0))
