@@ -1,4 +1,4 @@
-"""Column lists of the eight raw extracts and the fixed reference values."""
+"""Column lists of the eight raw extracts and the fixed values of the domain."""
 
 from __future__ import annotations
 
