@@ -2,8 +2,6 @@ import os
 from datetime import date
 from decimal import Decimal as D
 
-import pytest
-from pyspark.sql import functions as F
 
 from tradewind.operators import quality as q
 from tradewind.plans import marts, measures, pipeline
