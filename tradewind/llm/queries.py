@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import secrets
+from tradewind.llm import licenses, quality_rules, secrets
 from tradewind.llm.frames import table
 
 ORACLE: dict[str, str] = {}
@@ -25,4 +25,13 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(text(base).cast("binary"), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
-QUERIES = {f.__name__: f for f in (op6_secret_scans,)}
+def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
+
+
+QUERIES = {f.__name__: f for f in (op5_license_scans, op6_secret_scans, op7_quality_rules)}

@@ -129,3 +129,28 @@ def per_row(rows: np.ndarray, count: int) -> np.ndarray:
 def character_starts(data: np.ndarray) -> np.ndarray:
     """True where a code point starts in UTF-8."""
     return (data & 0xC0) != 0x80
+
+
+def count_in(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """True bytes of each row."""
+    total = np.zeros(len(mask) + 1, np.int64)
+    np.cumsum(mask, out=total[1:])
+    return total[offsets[1:]] - total[offsets[:-1]]
+
+
+def repeated(keys: np.ndarray) -> np.ndarray:
+    """True where a value occurs at another place too."""
+    order = np.argsort(keys, kind="stable")
+    same = keys[order][1:] == keys[order][:-1]
+    out = np.zeros(len(keys), bool)
+    out[order[1:][same]] = True
+    out[order[:-1][same]] = True
+    return out
+
+
+def repeats_earlier(keys: np.ndarray) -> np.ndarray:
+    """True where a value occurred at an earlier place."""
+    order = np.argsort(keys, kind="stable")
+    out = np.zeros(len(keys), bool)
+    out[order[1:][keys[order][1:] == keys[order][:-1]]] = True
+    return out
