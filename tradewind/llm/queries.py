@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import licenses, quality_rules, secrets
+from tradewind.llm import licenses, quality_rules, secrets, simhash
 from tradewind.llm.frames import table
 
 ORACLE: dict[str, str] = {}
@@ -34,4 +34,9 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op5_license_scans, op6_secret_scans, op7_quality_rules)}
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+QUERIES = {f.__name__: f for f in (op5_license_scans, op6_secret_scans, op7_quality_rules, op10_simhash_near_dedup)}
