@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import licenses, quality_rules, secrets, simhash
+from tradewind.llm import licenses, packing, quality_rules, secrets, simhash, token_counts
 from tradewind.llm.frames import table
 
 ORACLE: dict[str, str] = {}
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +27,15 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(text(base).cast("binary"), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op5_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
 
@@ -39,4 +50,5 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op5_license_scans, op6_secret_scans, op7_quality_rules, op10_simhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (
+    op1_packing, op4_token_counts, op5_license_scans, op6_secret_scans, op7_quality_rules, op10_simhash_near_dedup)}
