@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import licenses, packing, quality_rules, secrets, simhash, token_counts
+from tradewind.llm import decontaminate, html_extract, licenses, packing, quality_rules, secrets, simhash, token_counts
 from tradewind.llm.frames import table
 
 ORACLE: dict[str, str] = {}
@@ -32,6 +32,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -45,10 +49,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_packing, op4_token_counts, op5_license_scans, op6_secret_scans, op7_quality_rules, op10_simhash_near_dedup)}
+    op1_packing, op3_decontamination, op4_token_counts, op5_license_scans, op6_secret_scans, op7_quality_rules, op9_html_extraction, op10_simhash_near_dedup)}

@@ -114,11 +114,12 @@ def hash_of(word: bytes) -> np.uint64:
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hashes of every ``size`` consecutive words, rows ignored: entry i starts at word i."""
     n = max(0, len(words) - size + 1)
-    out = np.zeros(n, U)
+    out, factor = np.zeros(n, U), size
     with np.errstate(over="ignore"):
         for k in range(size):
-            out = mix(out + words[k:k + n] * U(2 * k + 1))
-    return out
+            factor = int(mix(np.array([factor + k], U))[0]) | 1
+            out += words[k:k + n] * U(factor)
+    return mix(out)
 
 
 def per_row(rows: np.ndarray, count: int) -> np.ndarray:
