@@ -154,40 +154,65 @@ def windows(own: np.ndarray, group: SizeGroup, size: int) -> Iterator[tuple[int,
                     yield group.ids[i], score, w, width + size - 1
 
 
+def benchmark_blocks(benchmark: DataFrame, item_col: str, item_text_col: str) -> list:
+    """Broadcasts of the items, each of about BLOCK_BYTES whatever the tables' sizes."""
+    items = benchmark.select(quoted(item_col).cast("long").alias("item_id"), quoted(item_text_col).cast("string").alias("text"))
+    items = items.where("text is not null")
+    blocks = (items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES + 1
+    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))
+    context = benchmark.sparkSession.sparkContext
+    return [context.broadcast([(r.item_id, r.text) for r in items.where(block == b).collect()]) for b in range(blocks)]
+
+
+class Searcher:
+    """An index that a task builds from its broadcast when first used."""
+
+    def __init__(self, source):
+        self.source, self.index = source, None
+
+    def matches(self, column: pa.Array) -> Iterator[tuple[int, int, float, int, int]]:
+        """(row of the column, item id, similarity, first word, words)."""
+        self.index = self.index or Benchmark(self.source.value)
+        for lo, _, data, offsets in tx.parts(column):
+            for row, *rest in self.index.matches(data, offsets):
+                yield lo + row, *rest
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, similarity, first_word, n_words): the best window of every document and item that match."""
-    items = benchmark.select(quoted(item_col).cast("long").alias("item_id"), quoted(item_text_col).cast("string").alias("text"))
-    items = items.where("text is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = total // BLOCK_BYTES + 1
     texts = keyed_texts(docs, id_col, text_col)
-    spark = docs.sparkSession
 
     def search(source):
-        built: list[Benchmark] = []  # once per task
+        searcher = Searcher(source)
 
         def run(batch):
-            if not built:
-                built.append(Benchmark(source.value))
-            index = built[0]
-            for lo, _hi, data, offsets in tx.parts(batch.column(1)):
-                found = list(index.matches(data, offsets))
-                if found:
-                    r, item, score, first, n = zip(*found, strict=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(pa.array([lo + k for k in r])), pa.array(item, pa.int64()),
-                         pa.array(score, pa.float64()), pa.array(first, pa.int64()), pa.array(n, pa.int64())],
-                        [c.split(" ")[0] for c in SCHEMA.split(", ")])
+            found = list(searcher.matches(batch.column(1)))
+            if found:
+                row, item, score, first, n = zip(*found, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(row)), pa.array(item, pa.int64()), pa.array(score, pa.float64()),
+                     pa.array(first, pa.int64()), pa.array(n, pa.int64())], [c.split(" ")[0] for c in SCHEMA.split(", ")])
 
         return map_batches(texts, run, SCHEMA)
 
-    results = []
-    for block in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        # a block of the benchmark holds about BLOCK_BYTES, whatever the tables' sizes
-        source = spark.sparkContext.broadcast([(r.item_id, r.text) for r in part.collect()])
-        results.append(search(source))
-    found = reduce(DataFrame.unionByName, results)
+    found = reduce(DataFrame.unionByName, [search(s) for s in benchmark_blocks(benchmark, item_col, item_text_col)])
     best = F.max_by(F.struct("similarity", "first_word", "n_words"), F.struct("similarity", -F.col("first_word")))
     return found.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+               item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that match no item, columns unchanged; each row is judged by its own text."""
+    place = docs.columns.index(text_col)
+    for source in benchmark_blocks(benchmark, item_col, item_text_col):
+        searcher = Searcher(source)
+
+        def run(batch, searcher=searcher):
+            clean = np.ones(batch.num_rows, bool)
+            for found in searcher.matches(batch.column(place).cast(pa.string())):
+                clean[found[0]] = False
+            yield batch.filter(pa.array(clean))
+
+        docs = map_batches(docs, run, docs.schema)
+    return docs

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import decontaminate, html_extract, licenses, packing, quality_rules, secrets, simhash, token_counts
+from tradewind.llm import cotraining, decontaminate, html_extract, licenses, packing, quality_rules, secrets, simhash, token_counts
 from tradewind.llm.frames import table
 
 ORACLE: dict[str, str] = {}
@@ -49,6 +49,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.COUNTS, "base_failed", "kept")
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return cotraining.score(docs, cotraining.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_main_text(table(spark, sf_dir, "pages"))
 
@@ -59,4 +64,4 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_packing, op3_decontamination, op4_token_counts, op5_license_scans, op6_secret_scans, op7_quality_rules, op9_html_extraction, op10_simhash_near_dedup)}
+    op1_packing, op3_decontamination, op4_token_counts, op5_license_scans, op6_secret_scans, op7_quality_rules, op8_quality_classifier, op9_html_extraction, op10_simhash_near_dedup)}

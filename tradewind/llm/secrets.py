@@ -204,3 +204,22 @@ def redact(text: str, spans, mark: str = "[SECRET]") -> str:
             out += [text[done:a], mark]
         done = max(done, b)
     return "".join(out) + text[done:]
+
+
+def redact_secrets(docs: DataFrame, text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
+    """``docs`` with every span replaced by a mark; ``size_col``, if there is one, follows the new text of changed rows."""
+    schema, place = docs.schema, docs.columns.index(text_col)
+    sized = docs.columns.index(size_col) if size_col in docs.columns else None
+
+    def run(batch):
+        texts = batch.column(place).cast(pa.string())
+        changed = {k: redact(texts[k].as_py(), spans) for k, spans in enumerate(scan_column(texts)) if spans}
+        columns = list(batch.columns)
+        if changed:
+            columns[place] = pa.array([changed.get(k, t) for k, t in enumerate(texts.to_pylist())], columns[place].type)
+            if sized is not None:
+                sizes = columns[sized].to_pylist()
+                columns[sized] = pa.array([len(changed[k]) if k in changed else n for k, n in enumerate(sizes)], columns[sized].type)
+        yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
+
+    return map_batches(docs, run, schema)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tradewind.llm import text as tx
 from tradewind.llm.components import components
-from tradewind.llm.frames import keyed_texts, map_batches, stored
+from tradewind.llm.frames import keyed_texts, map_batches, quoted, stored
 from tradewind.llm.xxh64 import hash_spans
 
 U = np.uint64
@@ -33,6 +33,7 @@ BITS = 64
 SEED = 42
 BUCKET_VARIANTS = 500_000
 FLUSH_VARIANTS = 4_000_000
+ROW, ID, COPIES = "__tw_row", "__tw_id", "__tw_copies"  # beside the columns of any table
 
 
 def fingerprints_of(data: np.ndarray, offsets: np.ndarray, size: int) -> np.ndarray:
@@ -67,15 +68,17 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray, size: int) -> np.ndar
     return out
 
 
-def fingerprint(df: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long of the same bits."""
+def fingerprint(keyed: DataFrame, size: int) -> DataFrame:
+    """(doc_id, fp) and what else ``keyed`` has: its ``text`` gives way to the fingerprint, a signed long of the same bits."""
+    names = [c for c in keyed.columns if c != "text"]
+    schema = keyed.select(*names).withColumn("fp", F.lit(0).cast("long")).schema
 
     def run(batch):
-        for lo, hi, data, offsets in tx.parts(batch.column(1)):
+        for lo, hi, data, offsets in tx.parts(batch.column("text")):
             fps = fingerprints_of(data, offsets, size).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(fps)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(lo, hi - lo) for c in names], pa.array(fps)], [*names, "fp"])
 
-    return map_batches(keyed_texts(df, id_col, text_col), run, "doc_id long, fp long")
+    return map_batches(keyed, run, schema)
 
 
 def flip_masks(radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -94,6 +97,7 @@ def link_buckets(fps: DataFrame, radius: int, buckets: int) -> DataFrame:
     """(a, b) links of distinct fingerprints ``fp``: pairs within ``radius`` that connect all such pairs."""
     ball, sphere = flip_masks(radius)
     masks = np.concatenate([ball, sphere])
+    code_type = np.uint16 if len(masks) <= 1 << 16 else np.uint32
 
     def pack(variants: list[np.ndarray], codes: list[np.ndarray]):
         z, code = np.concatenate(variants), np.concatenate(codes)
@@ -115,7 +119,7 @@ def link_buckets(fps: DataFrame, radius: int, buckets: int) -> DataFrame:
                 odd = x[np.bitwise_count(x) % 2 == 1]
                 for some, chosen, base in ((x, ball, 0), (odd, sphere, len(ball))):
                     variants.append((some[:, None] ^ chosen[None, :]).ravel())
-                    codes.append(np.tile(np.arange(base, base + len(chosen), dtype=np.uint32), len(some)))
+                    codes.append(np.tile(np.arange(base, base + len(chosen), dtype=code_type), len(some)))
                     held += len(variants[-1])
                 if held >= FLUSH_VARIANTS:
                     yield from pack(variants, codes)
@@ -125,7 +129,7 @@ def link_buckets(fps: DataFrame, radius: int, buckets: int) -> DataFrame:
 
     def meet(group: pa.Table) -> pa.Table:
         z = np.concatenate([np.frombuffer(v, U) for v in group.column("z").to_pylist()])
-        code = np.concatenate([np.frombuffer(v, np.uint32) for v in group.column("code").to_pylist()])
+        code = np.concatenate([np.frombuffer(v, code_type) for v in group.column("code").to_pylist()])
         inner = code < len(ball)
         zi, xi = z[inner], z[inner] ^ masks[code[inner]]
         order = np.lexsort((xi, zi))
@@ -148,25 +152,41 @@ def link_buckets(fps: DataFrame, radius: int, buckets: int) -> DataFrame:
             .groupBy("bucket").applyInArrow(meet, "a long, b long"))
 
 
-def group_fingerprints(fingerprinted: DataFrame, radius: int) -> DataFrame:
-    """(fp, component_id): the smallest doc_id reachable from each distinct fingerprint."""
-    spark = fingerprinted.sparkSession
-    distinct = stored(fingerprinted.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprints")
+def group_fingerprints(fps: DataFrame, radius: int) -> DataFrame:
+    """(fp, root): for each distinct fingerprint of ``fps`` one fingerprint that names its component."""
+    spark = fps.sparkSession
+    distinct = stored(fps.select("fp").distinct(), "fingerprints")
     ball, sphere = flip_masks(radius)
     per_fp = len(ball) + len(sphere) / 2
-    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")),
-                  int(distinct.count() * per_fp / BUCKET_VARIANTS) + 1)
-    spread = distinct.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "fp")
-    member = components(link_buckets(spread, radius, buckets))
-    root = distinct.join(member, distinct["fp"] == member["a"], "left").select(
-        "fp", "least", F.coalesce("b", "fp").alias("root"))
-    root = stored(root, "roots")
-    named = stored(root.groupBy("root").agg(F.min("least").alias("component_id")), "named")
-    return root.join(named, "root").select("fp", "component_id")
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(4 * tasks, int(distinct.count() * per_fp / BUCKET_VARIANTS) + 1)
+    member = components(link_buckets(distinct.repartition(tasks, "fp"), radius, buckets))
+    return distinct.join(member, distinct["fp"] == member["a"], "left").select("fp", F.coalesce("b", "fp").alias("root"))
 
 
 def near_duplicates(df: DataFrame, size: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp, component_id) of every row."""
-    fps = stored(fingerprint(df, size, id_col, text_col), "documents-fp")
-    grouped = stored(group_fingerprints(fps, radius), "groups")
+    """(doc_id, fp, component_id) of every row; the component's smallest doc_id names it."""
+    fps = stored(fingerprint(keyed_texts(df, id_col, text_col), size), "documents-fp")
+    least = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    root = stored(group_fingerprints(fps, radius).join(least, "fp"), "roots")
+    named = stored(root.groupBy("root").agg(F.min("least").alias("component_id")), "named")
+    grouped = stored(root.join(named, "root").select("fp", "component_id"), "groups")
     return fps.join(grouped, "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(df: DataFrame, size: int = 3, radius: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of every component, the one of the smallest id (then of the smallest row hash), columns unchanged.
+
+    Rows that agree in every column are told apart by nothing: one of them stays.
+    """
+    row = F.xxhash64(*[quoted(c) for c in df.columns])
+    keyed = df.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("string").alias("text"), row.alias("row"))
+    fps = stored(fingerprint(keyed, size).groupBy("doc_id", "row", "fp").agg(F.count("*").alias("copies")), "rows-fp")
+    root = stored(group_fingerprints(fps, radius), "roots")
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row", "copies")
+    kept = (fps.join(root, "fp").groupBy("root").agg(F.min(first).alias("k"))
+            .select(F.col("k.row").alias(ROW), F.col("k.doc_id").alias(ID), F.col("k.copies").alias(COPIES)))
+    chosen = df.withColumn(ROW, row).join(stored(kept, "kept"), ROW).where(quoted(id_col).cast("long").eqNullSafe(F.col(ID)))
+    columns = [quoted(c) for c in df.columns]
+    single = chosen.where(F.col(COPIES) == 1).select(*columns)
+    return single.unionByName(chosen.where(F.col(COPIES) > 1).select(*columns).distinct())
