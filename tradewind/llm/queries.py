@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import cotraining, decontaminate, html_extract, licenses, packing, quality_rules, secrets, simhash, token_counts
+from tradewind.llm import cotraining, decontaminate, html_extract, licenses, packing, quality_rules, secrets, simhash, suffix_dedup, token_counts
 from tradewind.llm.frames import table
 
 ORACLE: dict[str, str] = {}
@@ -32,6 +32,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    kept = F.sha2("kept", 256).alias("kept_sha256")
+    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                        F.size("spans").cast("long").alias("n_spans"), kept)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -64,4 +71,4 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_packing, op3_decontamination, op4_token_counts, op5_license_scans, op6_secret_scans, op7_quality_rules, op8_quality_classifier, op9_html_extraction, op10_simhash_near_dedup)}
+    op1_packing, op2_suffix_dedup, op3_decontamination, op4_token_counts, op5_license_scans, op6_secret_scans, op7_quality_rules, op8_quality_classifier, op9_html_extraction, op10_simhash_near_dedup)}
