@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import text as tx
-from tradewind.llm.frames import map_batches, quoted, stored
+from tradewind.llm.frames import map_batches, quoted, rewrite_batches, stored
 from tradewind.llm.quality_rules import measure
 
 U = np.uint64
@@ -301,4 +301,4 @@ def keep_good(docs: DataFrame, model: Model | None, text_col: str = "text", sour
                 for lo, hi, data, offsets in tx.parts(text)]
         yield batch.filter(pa.array(np.concatenate(kept) >= model.cutoff))
 
-    return map_batches(docs, run, docs.schema)
+    return rewrite_batches(docs, run)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradewind.llm import text as tx
-from tradewind.llm.frames import keyed_texts, map_batches, quoted
+from tradewind.llm.frames import keyed_texts, map_batches, quoted, rewrite_batches
 
 U = np.uint64
 SHINGLE, SIMILARITY = 5, 0.8
@@ -214,5 +214,5 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
                 clean[found[0]] = False
             yield batch.filter(pa.array(clean))
 
-        docs = map_batches(docs, run, docs.schema)
+        docs = rewrite_batches(docs, run)
     return docs

@@ -35,6 +35,12 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
     return df.mapInArrow(run, schema)
 
 
+def rewrite_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]) -> DataFrame:
+    """Like ``map_batches`` where ``fn`` keeps the columns; it finds them by place, so any names will do."""
+    placed = df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+    return map_batches(placed, fn, placed.schema).toDF(*df.columns)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path in the shared folder that the session names."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -133,7 +133,8 @@ class Rule:
 
 
 def words_of(version: str) -> str:
-    return version.replace(".", " ")
+    """The version's words; a last zero may be left out."""
+    return f"{version[:-2]}(?: 0)?" if version.count(".") == 1 and version.endswith(".0") else version.replace(".", " ")
 
 
 def build_rules() -> tuple[Rule, ...]:

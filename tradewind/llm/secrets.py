@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tradewind.llm import text as tx
-from tradewind.llm.frames import keyed_texts, map_batches
+from tradewind.llm.frames import keyed_texts, map_batches, rewrite_batches
 
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "pem", "der", "derhex", "jwt", "basic")
@@ -208,7 +208,7 @@ def redact(text: str, spans, mark: str = "[SECRET]") -> str:
 
 def redact_secrets(docs: DataFrame, text_col: str = "text", size_col: str = "n_chars") -> DataFrame:
     """``docs`` with every span replaced by a mark; ``size_col``, if there is one, follows the new text of changed rows."""
-    schema, place = docs.schema, docs.columns.index(text_col)
+    place = docs.columns.index(text_col)
     sized = docs.columns.index(size_col) if size_col in docs.columns else None
 
     def run(batch):
@@ -222,4 +222,4 @@ def redact_secrets(docs: DataFrame, text_col: str = "text", size_col: str = "n_c
                 columns[sized] = pa.array([len(changed[k]) if k in changed else n for k, n in enumerate(sizes)], columns[sized].type)
         yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
 
-    return map_batches(docs, run, schema)
+    return rewrite_batches(docs, run)

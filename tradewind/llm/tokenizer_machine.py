@@ -286,6 +286,10 @@ class CompiledTokenizer:
         self.machine = TokenMachine(model["vocab"], model["merges"])
         self.classes = _class_table()
         self.known, self.counts = np.zeros(0, tx.U), np.zeros(0, np.int64)
+        self.forget_ids()
+
+    def forget_ids(self) -> None:
+        self.encoded, self.sizes = np.zeros(0, tx.U), np.zeros(0, np.int64)
         self.pool, self.pool_at = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def class_of(self, cps: np.ndarray) -> np.ndarray:
@@ -369,18 +373,19 @@ class CompiledTokenizer:
                 np.concatenate([seg_row[owner], seg_row[special]])[order],
                 np.concatenate([np.full(len(starts), -1), kind[special]])[order])
 
-    def lookup(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    @staticmethod
+    def lookup(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of sorted hashes among the known ones, and which of them are known."""
-        slot = np.searchsorted(self.known, keys)
-        hit = slot < len(self.known)
-        hit[hit] = self.known[slot[hit]] == keys[hit]
+        slot = np.searchsorted(known, keys)
+        hit = slot < len(known)
+        hit[hit] = known[slot[hit]] == keys[hit]
         return slot, hit
 
     def count_tokens(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Tokens of each row."""
         starts, ends, row, special = self.pretokens(data, offsets)
         words, first, inverse = np.unique(tx.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        slot, hit = self.lookup(words)
+        slot, hit = self.lookup(self.known, words)
         counts = np.zeros(len(words), np.int64)
         counts[hit] = self.counts[slot[hit]]
         new = np.flatnonzero(~hit)
@@ -400,10 +405,9 @@ class CompiledTokenizer:
         """Token ids of all rows end to end, and the rows' offsets in them; the library encodes each new pre-token once."""
         starts, ends, row, special = self.pretokens(data, offsets)
         words, first, inverse = np.unique(tx.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.known) > self.KEPT_WORDS // 2:
-            self.known, self.counts = np.zeros(0, tx.U), np.zeros(0, np.int64)
-            self.pool, self.pool_at = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        slot, hit = self.lookup(words)
+        if len(self.encoded) > self.KEPT_WORDS // 2:
+            self.forget_ids()
+        slot, hit = self.lookup(self.encoded, words)
         new = np.flatnonzero(~hit)
         if len(new):
             raw = data.tobytes()
@@ -411,18 +415,18 @@ class CompiledTokenizer:
             found = [e.ids for e in self.library.encode_batch_fast(spelled, add_special_tokens=False)]
             sizes = np.array([len(f) for f in found], np.int64)
             held = len(self.pool)
-            self.pool = np.concatenate([np.asarray(self.pool, np.uint32), np.array([i for f in found for i in f], np.uint32)])
-            self.known = np.insert(self.known, slot[new], words[new])
-            self.counts = np.insert(self.counts, slot[new], sizes)
+            self.pool = np.concatenate([self.pool, np.array([i for f in found for i in f], np.uint32)])
+            self.encoded = np.insert(self.encoded, slot[new], words[new])
+            self.sizes = np.insert(self.sizes, slot[new], sizes)
             self.pool_at = np.insert(self.pool_at, slot[new], held + np.cumsum(sizes) - sizes)
-            slot = np.searchsorted(self.known, words)
-        sizes = np.where(special >= 0, 1, self.counts[slot][inverse])
+            slot = np.searchsorted(self.encoded, words)
+        sizes = np.where(special >= 0, 1, self.sizes[slot][inverse])
         edge = np.concatenate([[0], np.cumsum(sizes)])
         owner = np.repeat(np.arange(len(sizes)), sizes)
         at = self.pool_at[slot][inverse][owner] + np.arange(edge[-1]) - edge[owner]
         is_special = special[owner] >= 0
         at[is_special] = 0
-        ids = np.asarray(self.pool, np.uint32)[at] if len(self.pool) else np.zeros(edge[-1], np.uint32)
+        ids = self.pool[at] if len(self.pool) else np.zeros(edge[-1], np.uint32)
         ids[is_special] = special[owner][is_special]
         per_row = np.bincount(row, sizes, len(offsets) - 1).astype(np.int64)
         return ids, np.concatenate([[0], np.cumsum(per_row)])
