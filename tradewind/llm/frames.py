@@ -42,10 +42,9 @@ def rewrite_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Re
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path in the shared folder that the session names."""
+    """A new path in the shared folder that the session names; where it names none, in the warehouse, which is shared too."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{folder.rstrip('/')}/llm/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
