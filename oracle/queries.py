@@ -310,17 +310,12 @@ from doc_claims c""",
     "report_groundedness": "select * from rep_scored",
     "red_team_report": "select * from rep_team",
     "groundedness_lines": """
-select report_id, cast(unnest(range(9)) as bigint) as line_no, unnest([
-  '## ' || report_id,
-  '- Numeric claims checked: **' || numbers_checked || '**',
-  '- Grounded in evidence: **' || grounded || '** (' || format('{:.1f}', groundedness_rate * 100) || '%)',
-  '- Ungrounded: ' || case when ungrounded = '' then 'none' else replace(ungrounded, ' ', ', ') end,
-  '**Checker test:** ' || caught || '/' || trials || ' altered numbers were noticed ('
-    || format('{:.1f}', detection_rate * 100) || '%).',
-  '- A claim is grounded when an evidence number equals it at the precision it is printed with.',
-  '- Dates are no claims; the quoted thresholds 2.5 and 1.5 always pass.',
-  '- An altered number that equals another evidence number is not noticed.',
-  '- Only numbers are verified, not the conclusions drawn from them.']) as line
+select report_id, cast(unnest(range(5)) as bigint) as line_no, unnest([
+  '# ' || report_id,
+  'claims read: ' || numbers_checked,
+  'claims backed: ' || grounded || format(' ({:.1f}%)', groundedness_rate * 100),
+  'not backed: ' || case when ungrounded = '' then 'none' else replace(ungrounded, ' ', ', ') end,
+  'altered figures noticed: ' || caught || ' of ' || trials || format(' ({:.1f}%)', detection_rate * 100)]) as line
 from all_scored join all_team using (report_id)""",
     "eval_headline_extract": """
 select numbers_checked as checked, grounded, caught, trials from rep_scored join rep_team using (report_id)""",
@@ -383,6 +378,7 @@ from d_date d left join (select * from m_weekday where is_anomaly) a on d.date_d
 }
 SQL |= {f"clean_{k}": CLEAN[t] for k, t in CLEAN_KEYS.items()}
 SQL |= {f"stg_{t}": sql for t, sql in CLEAN.items()}
+SQL["stg_exchange_rates"] = f"select {RATE} from s_rates"
 
 ORACLE = {name: with_ctes(sql) for name, sql in SQL.items()}
 _YEARLY = {"revenue_yoy": _prior(12, "net_revenue_ly_eur", "revenue_yoy"),

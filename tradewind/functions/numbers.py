@@ -21,6 +21,17 @@ def round_to(c: Column, places: int) -> Column:
     return F.round(c.cast("double") * F.lit(scale)) / F.lit(scale)
 
 
+def whole_part(x: Column) -> Column:
+    """The whole part of a double that isn't negative, as a double: no value is too large for it."""
+    return x - x % F.lit(1.0)
+
+
+def round_half_up(x: Column, places: Column) -> Column:
+    """A double that isn't negative, rounded half up to a number of places given per row."""
+    unit = F.pow(F.lit(10.0), places)
+    return whole_part(x * unit + F.lit(0.5)) / unit
+
+
 def round_as_printed(c: Column, places: int) -> Column:
     """Round a double the way correctly rounding printf does: exact ties go to even.
 
@@ -35,7 +46,7 @@ def round_as_printed(c: Column, places: int) -> Column:
     tail = x - head
     hi = x * scale
     lo = (head * scale - hi) + tail * scale
-    whole = F.floor(hi).cast("double")
+    whole = whole_part(hi)
     over = (hi - whole) - F.lit(0.5)
     odd = (whole % F.lit(2.0)) == 1.0
     up = (over > 0) | ((over == 0) & ((lo > 0) | ((lo == 0) & odd)))

@@ -84,8 +84,8 @@ def nonstandard_dates(orders: DataFrame, returns: DataFrame) -> DataFrame:
             F.lit("returns").alias("table_name"), "nonstandard_rows"))
 
 
-def dq_lines(report: DataFrame) -> DataFrame:
-    """The report as one log line per applicable rule (``line``)."""
+def dq_messages(report: DataFrame) -> DataFrame:
+    """The report's applicable rules in words: (table_name, rule, rows_affected, message)."""
     n = F.col("rows_affected").cast("string")
     share = plain_number(F.col("share") * 100, 1)
     text = (
@@ -105,5 +105,9 @@ def dq_lines(report: DataFrame) -> DataFrame:
     silent = F.col("rule").isin("unknown_country", "cost_imputed", "spend_clipped") & (F.col("rows_affected") == 0)
     silent = silent | ((F.col("rule") == "duplicates_dropped") & (F.col("table_name") == "order_items")
                        & (F.col("rows_affected") == 0))
-    return report.where(~silent & text.isNotNull()).select(
-        "table_name", "rule", F.concat(F.lit("- "), F.col("table_name"), F.lit(": "), text).alias("line"))
+    return report.where(~silent & text.isNotNull()).select("table_name", "rule", "rows_affected", text.alias("message"))
+
+
+def dq_lines(report: DataFrame) -> DataFrame:
+    """The messages as lines of a log."""
+    return dq_messages(report).select("table_name", "rule", F.concat_ws(" | ", "table_name", "message").alias("line"))

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradewind.functions.dates import mixed_date, strict_date
 from tradewind.operators import rfm
 from tradewind.operators.anomaly import group_zscore, iqr_fence, weekday_baseline
-from tradewind.operators.calendar import fill_days
+from tradewind.operators.calendar import fill_days, fill_forward_then_back
 from tradewind.operators.stl import poisson_residuals
 from tradewind.plans import clean, dims, facts, marts
 from tradewind.plans.staging import stage
@@ -33,12 +35,15 @@ class Model:
     ``read`` gives a raw extract (or the country seed under ``country``). Nothing
     runs until a table is used, and a query only plans the tables it touches.
     ``hold`` names staged tables to write once to scratch, for callers that read
-    them in several marts.
+    them in several marts. ``calendar`` gives the first and last day of the model's calendar; without it the calendar
+    covers every day that orders, returns or spend name.
     """
 
     def __init__(self, read: Callable[[str], DataFrame], countries: Sequence[str] = COUNTRY_CODES,
-                 categories: Sequence[str] = CATEGORIES, hold: Sequence[str] = ()):
+                 categories: Sequence[str] = CATEGORIES, hold: Sequence[str] = (),
+                 calendar: tuple[date, date] | None = None):
         self._read, self._countries, self._categories, self._hold = read, countries, categories, set(hold)
+        self._limits = calendar
         self._staged: dict[tuple[str, bool], DataFrame] = {}
 
     @classmethod
@@ -65,9 +70,30 @@ class Model:
         held = name in self._hold
         if (name, held) not in self._staged:
             df = stage(self.clean(name), name)
+            if name == "exchange_rates":
+                df = self._filled(df)
             self._staged[name, held] = materialize(df, name) if held else df
         return self._staged[name, held]
 
+    @cached_property
+    def calendar(self) -> DataFrame:
+        """One row (lo, hi). Dates are read from the raw rows: the limits need no de-duplication."""
+        if self._limits:
+            lo, hi = (F.lit(d).cast("date") for d in self._limits)
+            return self.raw("country").agg(lo.alias("lo"), hi.alias("hi"))
+        days = (self.raw("orders").select(mixed_date(F.col("order_date")).alias("d"))
+                .unionByName(self.raw("returns").select(mixed_date(F.col("return_date")).alias("d")))
+                .unionByName(self.raw("marketing_spend").select(strict_date(F.col("date")).alias("d"))))
+        return days.agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+
+    def _filled(self, rates: DataFrame) -> DataFrame:
+        """A rate for every currency and day of the calendar, and of the rates' own days: the last one known, or the first."""
+        rates = materialize(rates, "rates")  # read three times: days, keys, values
+        ends = rates.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+        start = F.least(self.calendar.select("lo").scalar(), ends.select("lo").scalar())
+        end = F.greatest(self.calendar.select("hi").scalar(), ends.select("hi").scalar())
+        return fill_forward_then_back(rates, start, end).select("date", "currency_code", "rate_to_eur")
+
     def _lookup(self, name: str) -> DataFrame:
         """A staged table that facts look values up in, written once.
 
@@ -92,9 +118,7 @@ class Model:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        """Calendar over the observed order dates."""
-        days = self.staged("orders").agg(F.min("order_date").alias("lo"), F.max("order_date").alias("hi"))
-        return dims.dim_date(days)
+        return dims.dim_date(self.calendar)
 
     @cached_property
     def fct_orders(self) -> DataFrame:

@@ -9,97 +9,59 @@ from pyspark.sql import functions as F
 
 from tradewind.functions.numbers import grouped_number, plain_number
 
-# Evidence section -> (report section number, heading).
-_SECTIONS = {
-    "headline": (1, "Headline"),
-    "top_countries": (1, None),
-    "latest_month": (2, "Latest month"),
-    "anomalies": (3, "Unusual revenue days"),
-    "segments": (4, "Customer segments"),
-    "top_products": (5, "Best-selling products"),
-    "return_reasons": (6, "Main return reasons"),
-    "marketing": (7, "Marketing efficiency"),
-    "worst_marketing": (7, None),
-}
+# What each section says, in order: (evidence section, title, figures), a figure being (metric, label, form).
+LAYOUT = (
+    ("headline", "Totals", (("total_revenue_eur", "net revenue EUR", "whole"), ("total_orders", "orders", "whole"))),
+    ("top_countries", "Countries by net revenue", (("net_revenue_eur", "net revenue EUR", "whole"),)),
+    ("latest_month", "Month", (
+        ("net_revenue_eur", "net revenue EUR", "whole"), ("orders_count", "orders", "whole"),
+        ("avg_order_value_eur", "EUR per order", "two"), ("mom_revenue_growth_pct", "change in %", "signed"))),
+    ("anomalies", "Days out of line", (
+        ("direction", "kind", "text"), ("net_revenue_eur", "net revenue EUR", "whole"), ("seasonal_zscore", "z", "two"))),
+    ("segments", "Customer groups", (
+        ("customers", "customers", "whole"), ("total_revenue_eur", "revenue EUR", "whole"),
+        ("avg_recency_days", "mean days since the last order", "units"))),
+    ("top_products", "Products by revenue", (
+        ("category", "category", "text"), ("gross_revenue_eur", "revenue EUR", "whole"), ("margin_pct", "margin in %", "one"),
+        ("return_rate_pct", "returns in %", "one"))),
+    ("return_reasons", "Reasons for returns", (
+        ("returns_count", "returns", "whole"), ("total_refund_eur", "refunds EUR", "whole"))),
+    ("marketing", "Spend with a low return", (("underperforming_count", "rows of country, channel and month", "whole"),)),
+    ("worst_marketing", "Lowest returns on spend", (
+        ("spend_eur", "spend EUR", "whole"), ("blended_roas", "revenue per EUR", "two"))),
+)
+FIRST_LINE = 10  # entity lines follow the title by rank
+
+
+def _printed(form: str) -> Column:
+    v = F.col("value_num")
+    return {"whole": grouped_number(v, 0), "units": plain_number(v, 0), "one": plain_number(v, 1), "two": plain_number(v, 2),
+            "signed": plain_number(v, 1, sign=True), "text": F.col("value_str")}[form]
 
 
 def render(evidence: DataFrame) -> DataFrame:
-    """(section_no, line_no, line): seven sections in fixed order, absent evidence leaves its section out.
+    """(section_no, line_no, line): a title per section that has evidence, then a line per entity.
 
-    Works on the bounded evidence rows; numbers are rounded as printf does.
+    Every line is the entity and its figures by LAYOUT, an absent value shown as n/a. Works on the bounded evidence
+    rows; numbers are rounded as printf does.
     """
-    v = F.col("value_num")
-    printed = evidence.select("section", "rank", "entity", "metric", F.struct(
-        grouped_number(v, 0).alias("whole"), plain_number(v, 0).alias("units"), plain_number(v, 1).alias("one"),
-        plain_number(v, 2).alias("two"), plain_number(v, 1, sign=True).alias("signed"),
-        F.col("value_str").alias("text")).alias("t"))
-    wide = printed.groupBy("section", "rank", "entity").agg(
-        F.map_from_entries(F.collect_list(F.struct("metric", "t"))).alias("m"))
-
-    def shown(metric: str, form: str) -> Column:
-        return F.coalesce(F.try_element_at("m", F.lit(metric))[form], F.lit("n/a"))
-
-    def eur(metric: str) -> Column:
-        return F.concat(F.lit("EUR "), shown(metric, "whole"))
-
-    def pct(metric: str) -> Column:
-        return F.concat(shown(metric, "one"), F.lit("%"))
-
-    change = F.try_element_at("m", F.lit("mom_revenue_growth_pct"))["signed"]
-    growth = F.coalesce(F.concat(change, F.lit("% MoM")), F.lit("MoM n/a, first month"))
-    name = F.concat(F.lit("- **"), "entity", F.lit("**: "))
-    section = F.col("section")
-    line = (
-        F.when(section == "headline", F.concat(
-            F.lit("- Completed sales over all months: **"), eur("total_revenue_eur"), F.lit("** from **"),
-            shown("total_orders", "whole"), F.lit(" orders**.")))
-        .when(section == "latest_month", F.concat(
-            name, eur("net_revenue_eur"), F.lit(" net revenue, "), shown("orders_count", "whole"),
-            F.lit(" orders, average order EUR "), shown("avg_order_value_eur", "two"),
-            F.lit(" ("), growth, F.lit(").")))
-        .when(section == "anomalies", F.concat(
-            F.lit("- "), "entity", F.lit(": "), eur("net_revenue_eur"), F.lit(" net revenue, a "), shown("direction", "text"),
-            F.lit(" (z = "), shown("seasonal_zscore", "two"), F.lit(" against earlier same weekdays).")))
-        .when(section == "segments", F.concat(
-            name, shown("customers", "whole"), F.lit(" customers, "), eur("total_revenue_eur"),
-            F.lit(" revenue, last order "), shown("avg_recency_days", "units"),
-            F.lit(" days ago on average.")))
-        .when(section == "top_products", F.concat(
-            F.lit("- **"), "entity", F.lit("** ("), shown("category", "text"), F.lit("): "), eur("gross_revenue_eur"),
-            F.lit(" revenue, margin "), pct("margin_pct"), F.lit(", returned "), pct("return_rate_pct"), F.lit(".")))
-        .when(section == "return_reasons", F.concat(
-            name, shown("returns_count", "whole"), F.lit(" returns, "), eur("total_refund_eur"), F.lit(" refunded.")))
-        .when(section == "marketing", F.concat(
-            F.lit("- "), shown("underperforming_count", "whole"),
-            F.lit(" country, channel and month rows earn unusually little per spend (z-score < -1.5 in the channel).")))
-        .when(section == "worst_marketing", F.concat(
-            F.lit("  - "), "entity", F.lit(": "), eur("spend_eur"), F.lit(" spent, return "),
-            shown("blended_roas", "two"), F.lit("x."))))
-    numbers = F.create_map(*[F.lit(x) for k, v in _SECTIONS.items() for x in (k, v[0])])
-    # one line per entity; the sub-list of a section comes after its own line
-    after = F.when(section == "worst_marketing", F.lit(100)).otherwise(F.lit(0))
-    body = wide.where(section != "top_countries").select(
-        numbers[section].alias("section_no"), (F.col("rank") + after + 10).alias("line_no"), line.alias("line"))
-
-    label = F.concat("entity", F.lit(" ("), eur("net_revenue_eur"), F.lit(")"))
-    leaders = wide.where(section == "top_countries").groupBy("section").agg(
-        F.array_sort(F.collect_list(F.struct("rank", label.alias("t")))).alias("r")).select(
-        F.lit(1).alias("section_no"), F.lit(50).cast("long").alias("line_no"),
-        F.concat(F.lit("- Strongest countries: "),
-                 F.array_join(F.transform("r", lambda r: r["t"]), ", "), F.lit(".")).alias("line"))
-
+    spec = evidence.sparkSession.createDataFrame(
+        [(section, n, title, place, metric, label, form) for n, (section, title, figures) in enumerate(LAYOUT, 1)
+         for place, (metric, label, form) in enumerate(figures)],
+        "section string, section_no long, title string, place int, metric string, label string, form string")
+    shown = F.coalesce(*[F.when(F.col("form") == f, _printed(f)) for f in ("whole", "units", "one", "two", "signed", "text")],
+                       F.lit("n/a"))
+    figures = evidence.join(spec, ["section", "metric"]).select(
+        "section", "section_no", "title", "rank", "entity",
+        F.struct("place", F.concat_ws(" ", "label", shown).alias("said")).alias("f"))
+    told = F.array_join(F.transform(F.array_sort(F.collect_list("f")), lambda f: f["said"]), ", ")
+    body = figures.groupBy("section_no", "rank", "entity").agg(told.alias("told")).select(
+        "section_no", (F.col("rank") + FIRST_LINE).alias("line_no"), F.concat_ws(": ", "entity", "told").alias("line"))
     month = evidence.where("metric = 'latest_month'").agg(F.max("value_str")).scalar()
-    titles = F.create_map(*[F.lit(x) for k, v in _SECTIONS.items() if v[1] for x in (k, v[1])])
-    heading = F.when(section == "latest_month", F.concat(F.lit("## "), titles[section], F.lit(" ("), month, F.lit(")"))) \
-        .otherwise(F.concat(F.lit("## "), titles[section]))
-    heads = evidence.where(section.isin(*[k for k, v in _SECTIONS.items() if v[1]])).select("section").distinct().select(
-        numbers[section].alias("section_no"), F.lit(1).cast("long").alias("line_no"), heading.alias("line"))
-    note = evidence.where(section == "anomalies").select("section").distinct().select(
-        F.lit(3).alias("section_no"), F.lit(2).cast("long").alias("line_no"),
-        F.lit("Days with |z| > 2.5 on weekday-adjusted net revenue:").alias("line"))
-    lines = body.unionByName(leaders).unionByName(heads).unionByName(note)
-    return lines.select(F.col("section_no").cast("long").alias("section_no"),
-                        F.col("line_no").cast("long").alias("line_no"), "line")
+    title = F.when(F.col("section") == "latest_month", F.concat_ws(" ", "title", month)).otherwise(F.col("title"))
+    heads = figures.select("section", "section_no", "title").distinct().select(
+        "section_no", F.lit(1).cast("long").alias("line_no"), F.concat(F.lit("# "), title).alias("line"))
+    return body.unionByName(heads)
 
 
 def report_text(lines: DataFrame, report_id: str = "report") -> DataFrame:
@@ -110,60 +72,42 @@ def report_text(lines: DataFrame, report_id: str = "report") -> DataFrame:
         F.array_join(F.transform("_l", lambda r: r["line"]), "\n").alias("text"))
 
 
+def _share(c: str) -> Column:
+    return F.concat(F.lit(" ("), plain_number(F.col(c) * 100, 1), F.lit("%)"))
+
+
 def groundedness_lines(scores: DataFrame, trials: DataFrame, key: str = "report_id") -> DataFrame:
     """(report, line_no, line) of the groundedness evaluation, row-local after one join by report."""
-    rate = F.concat(plain_number(F.col("groundedness_rate") * 100, 1), F.lit("%"))
-    caught = F.concat(plain_number(F.col("detection_rate") * 100, 1), F.lit("%"))
     loose = F.when(F.size("ungrounded") == 0, "none").otherwise(F.array_join("ungrounded", ", "))
     lines = F.array(
-        F.concat(F.lit("## "), F.col(key).cast("string")),
-        F.format_string("- Numeric claims checked: **%d**", "numbers_checked"),
-        F.concat(F.format_string("- Grounded in evidence: **%d** (", "grounded"), rate, F.lit(")")),
-        F.concat(F.lit("- Ungrounded: "), loose),
-        F.concat(F.format_string("**Checker test:** %d/%d altered numbers were noticed (", "caught", "trials"),
-                 caught, F.lit(").")),
-        F.lit("- A claim is grounded when an evidence number equals it at the precision it is printed with."),
-        F.lit("- Dates are no claims; the quoted thresholds 2.5 and 1.5 always pass."),
-        F.lit("- An altered number that equals another evidence number is not noticed."),
-        F.lit("- Only numbers are verified, not the conclusions drawn from them."))
+        F.concat(F.lit("# "), F.col(key).cast("string")),
+        F.concat_ws(" ", F.lit("claims read:"), "numbers_checked"),
+        F.concat(F.concat_ws(" ", F.lit("claims backed:"), "grounded"), _share("groundedness_rate")),
+        F.concat(F.lit("not backed: "), loose),
+        F.concat(F.concat_ws(" ", F.lit("altered figures noticed:"), "caught", F.lit("of"), "trials"), _share("detection_rate")))
     return scores.join(trials, key).select(F.col(key), F.posexplode(lines).alias("line_no", "line"))
 
 
 def anomaly_eval_lines(scores: DataFrame, sweep: DataFrame, days: DataFrame, incidents: DataFrame) -> DataFrame:
-    """(part, line_no, line) of the detector evaluation: labels, detector table, threshold table."""
-    def pct(c: str) -> Column:
-        return F.concat(plain_number(F.col(c) * 100, 1), F.lit("%"))
-
+    """(part, line_no, line) of the detector evaluation: what is labelled, a line per detector, a line per threshold."""
     total = days.agg(F.count_distinct("date")).scalar()
     spans = incidents.groupBy("incident").agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    span = F.concat_ws(" ", "incident", F.concat(F.col("lo").cast("string"), F.lit(".."), F.col("hi").cast("string")))
+    span = F.concat_ws(" ", "incident", F.lit("from"), "lo", F.lit("to"), "hi")
+    labelled = incidents.agg(F.count_distinct("date")).scalar()
     labels = spans.agg(F.array_sort(F.collect_list(span)).alias("s")).select(
         F.lit(1).alias("part"), F.lit(0).alias("line_no"),
-        F.concat(F.lit("Labelled days: **"), incidents.agg(F.count_distinct("date")).scalar().cast("string"),
-                 F.lit("** ("), F.array_join("s", ", "), F.lit(") out of **"), total.cast("string"),
-                 F.lit("** days.")).alias("line"))
-
-    def row(*cells: Column) -> Column:
-        return F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
-
-    def body(df: DataFrame, part: int, order: str, line: Column) -> DataFrame:
-        rows = F.array_sort(F.collect_list(F.struct(F.col(order).cast("string").alias("k"), line.alias("line"))))
-        return df.agg(rows.alias("_r")).select(F.posexplode("_r").alias("i", "r")).select(
-            F.lit(part).alias("part"), (F.col("i") + 2).alias("line_no"), F.col("r.line").alias("line"))
-
-    def head(df: DataFrame, part: int, titles: Sequence[str], align: str) -> DataFrame:
-        rows = [f"| {' | '.join(titles)} |", align]
-        return df.limit(1).select(F.lit(part).alias("part"), F.posexplode(
-            F.array(*[F.lit(r) for r in rows])).alias("line_no", "line"))
-
-    detectors = row(F.col("detector"), *[F.col(c).cast("string") for c in ("flagged", "tp", "fp", "fn")],
-                    pct("precision"), pct("recall"), plain_number(F.col("f1"), 2), F.col("incidents_caught"))
-    thresholds = row(F.col("threshold").cast("string"), F.col("flagged").cast("string"), F.col("tp").cast("string"),
-                     pct("precision"), pct("recall"))
+        F.concat(F.concat_ws(" ", F.lit("days with an incident:"), labelled, F.lit("of"), total, F.lit("- ")),
+                 F.array_join("s", "; ")).alias("line"))
+
+    def told(df: DataFrame, part: int, key: str, counts: Sequence[str], shares: Sequence[str], *more: Column) -> DataFrame:
+        said = [F.concat_ws(" ", F.lit(c), F.col(c)) for c in counts]
+        said += [F.concat(F.lit(c), _share(c)) for c in shares]
+        line = F.concat(F.concat_ws(" ", F.lit(key), F.col(key).cast("string")), F.lit(": "), F.concat_ws(", ", *said, *more))
+        rows = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), line.alias("line"))))
+        return df.agg(rows.alias("_r")).select(F.posexplode("_r").alias("line_no", "r")).select(
+            F.lit(part).alias("part"), "line_no", F.col("r.line").alias("line"))
+
     return (labels
-            .unionByName(head(scores, 2, ("Detector", "Flagged", "True", "False", "Missed", "Precision", "Recall",
-                                          "F1", "Incidents caught"), "|---|---:|---:|---:|---:|---:|---:|---:|---|"))
-            .unionByName(body(scores, 2, "detector", detectors))
-            .unionByName(head(sweep, 3, ("abs(z) above", "Flagged", "True", "Precision", "Recall"),
-                              "|---:|---:|---:|---:|---:|"))
-            .unionByName(body(sweep, 3, "threshold", thresholds)))
+            .unionByName(told(scores, 2, "detector", ("flagged", "tp", "fp", "fn"), ("precision", "recall", "f1"),
+                              F.col("incidents_caught")))
+            .unionByName(told(sweep, 3, "threshold", ("flagged", "tp"), ("precision", "recall"))))

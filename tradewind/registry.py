@@ -107,9 +107,8 @@ def _(m):
 
 @query("dq_feed")
 def _(m):
-    # the log is a text the dashboard reads back, so it is written before it is parsed
-    return feeds.dq_feed(materialize(audit.dq_lines(
-        audit.dq_report({n: m.raw(n) for n in schemas.RAW_SCHEMAS}, adapter.VALID_CODES)), "dq_log"))
+    return feeds.dq_feed(audit.dq_messages(
+        audit.dq_report({n: m.raw(n) for n in schemas.RAW_SCHEMAS}, adapter.VALID_CODES)))
 
 
 # --- cleaning ----------------------------------------------------------------------------------
@@ -466,7 +465,7 @@ def _(m):
 
 @query("red_team_rate", "orders")
 def _(m):
-    return redteam.red_team(texts(m), "doc_id", "text", _pool(m))
+    return redteam.red_team(texts(m), "doc_id", "text", _pool(m), include_dates=False)
 
 
 def _red_team_report(m: Model, include_dates: bool) -> DataFrame:
@@ -492,7 +491,7 @@ def _groundedness_lines(m: Model) -> DataFrame:
     corpus = texts(m).select(F.concat(F.lit("document "), F.col("doc_id")).alias("report_id"), "text").unionByName(text)
     pool = claims.pool_array(evidence.evidence_numbers(facts))
     return report.groundedness_lines(claims.score_texts(corpus, "report_id", "text", pool),
-                                     redteam.red_team(corpus, "report_id", "text", pool))
+                                     redteam.red_team(corpus, "report_id", "text", pool, include_dates=False))
 
 
 @query("groundedness_lines", "orders")
@@ -502,7 +501,11 @@ def _(m):
 
 @query("eval_headline_extract", "orders")
 def _(m):
-    return feeds.eval_headline(materialize(_groundedness_lines(m).where("report_id = 'report'"), "lines"))
+    facts = _evidence(m)
+    text = report.report_text(report.render(facts))
+    pool = claims.pool_array(evidence.evidence_numbers(facts))
+    return feeds.eval_headline(claims.score_texts(text, "report_id", "text", pool),
+                               redteam.red_team(text, "report_id", "text", pool, include_dates=False))
 
 
 # --- data tests --------------------------------------------------------------------------------
