@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -22,7 +23,8 @@ HEADLINE = (
     "fct_orders", "fct_order_items", "fct_returns", "monthly_revenue_kpis", "customer_ltv", "cohort_retention",
     "product_performance", "marketing_roi", "returns_analysis", "weekday_anomalies", "stl_poisson", "rfm_summary",
     "detector_scores", "extract_claims", "grounded_claims_large_pool", "evidence", "measures_customers",
-    "revenue_yoy",
+    "revenue_yoy", "daily_revenue", "low_roas_scan", "groundedness_score", "measures_marketing", "test_relationships",
+    "red_team_rate", "export_counts", "data_test_report", "impute_cost",
 )
 
 
@@ -33,7 +35,7 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or list(HEADLINE)
     spark = build_session("tradewind-bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g", "spark.log.level": "ERROR",
-        "spark.ui.showConsoleProgress": "false"})
+        "spark.ui.showConsoleProgress": "false", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="tradewind-bench-")})
 
     def once(name: str) -> float:
         begin = time.perf_counter()

@@ -140,20 +140,22 @@ from (select *, coalesce(cast(tp as double) / nullif(flagged, 0), 0) as precisio
             from ({flags}) f left join truth t on f.date = t.date group by f.{key}) a) b"""
 
 
-def _prior(months: int, prior: str, change: str) -> str:
+def _prior(months: int, prior: str, change: str, period: str = "month") -> str:
     return f"""
-select n.country_code, n.month, n.net_revenue_eur, p.net_revenue_eur as {prior},
+select n.country_code, n.{period}, n.net_revenue_eur, p.net_revenue_eur as {prior},
        round((n.net_revenue_eur - p.net_revenue_eur) / nullif(p.net_revenue_eur, 0), 6) as {change}
-from x_months n left join x_months p
-  on n.country_code = p.country_code and n.month = cast(p.month + interval {months} month as date)"""
+from x_periods n left join x_periods p
+  on n.country_code = p.country_code and n.{period} = cast(p.{period} + interval {months} month as date)"""
 
 
-X_MONTHS = """x_months as (
-select country_code, cast(date_trunc('month', order_date) as date) as month,
+def _periods(period: str) -> str:
+    return f"""x_periods as (
+select country_code, cast(date_trunc('{period}', order_date) as date) as {period},
        cast(sum(net_amount_eur) as double) as net_revenue_eur from c_orders group by 1, 2)"""
 
 SQL: dict[str, str] = {
     "scan_csv_roundtrip": f"select {RAW_PRODUCT.format(c='category')} from r_products",
+    "scan_csv_reordered": f"select {RAW_PRODUCT.format(c='category')} from r_products",
     "load_counts": _count_all(CTE_OF),
     "export_counts": _count_all(EXPORT_OF),
     "fx_flatten": """select date, currency_code, cast(rate_to_eur as double) as rate_to_eur
@@ -244,6 +246,8 @@ group by 1, 2, 3, 4""",
     "marketing_roi": "select * from m_roi",
     "returns_analysis": "select * from m_returns",
     "daily_revenue": "select * from m_daily",
+    "revenue_by_country": """select country_code, cast(sum(cast(net_revenue_eur as decimal(38,2))) as double)
+                             as net_revenue_eur from m_kpis group by 1""",
     "top_countries": "select * from t_country",
     "latest_month_snapshot": "select * from m_kpis where month = (select max(month) from m_kpis)",
     "top_return_reasons": "select * from t_reason",
@@ -266,7 +270,7 @@ select (select cast(sum(net_amount_eur) as double) from done) as net_revenue_eur
        count(*) as customers from m_ltv""",
     "weekday_anomalies": """
 select date, net_revenue_eur, orders_count, dow, round(seasonal_baseline, 4) as seasonal_baseline,
-       round(residual, 4) as residual, round(seasonal_zscore, 4) as seasonal_zscore, iqr_anomaly, is_anomaly, direction
+       round(residual, 4) as residual, round(seasonal_zscore, 4) as seasonal_zscore, iqr_anomaly, zscore_anomaly, is_anomaly, direction
 from m_weekday""",
     "iqr_outliers": """
 select date, net_revenue_eur, orders_count, round(q1, 4) as q1, round(q3, 4) as q3, true as iqr_anomaly
@@ -366,6 +370,38 @@ from (select country_code, cast(date_trunc('month', date) as date) as month, cas
 full join (select country_code, cast(date_trunc('month', order_date) as date) as month,
                   cast(sum(net_amount_eur) as double) as net_revenue_eur from c_orders group by 1, 2) r
   on s.country_code is not distinct from r.country_code and s.month is not distinct from r.month""",
+    "measures_returns_quarterly": """
+select k.quarter, q.orders, coalesce(b.returned_orders, 0) as returned_orders, b.total_refunded_eur,
+       cast(coalesce(b.returned_orders, 0) as double) / nullif(q.orders, 0) as return_rate
+from (select distinct cast(date_trunc('quarter', d) as date) as quarter from (
+        select order_date as d from c_orders union all select return_date from c_returns) u) k
+left join (select cast(date_trunc('quarter', order_date) as date) as quarter, count(*) as orders
+           from c_orders group by 1) q on q.quarter is not distinct from k.quarter
+left join (select cast(date_trunc('quarter', return_date) as date) as quarter, count(distinct order_id) as returned_orders,
+                  cast(sum(refund_amount_eur) as double) as total_refunded_eur
+           from c_returns group by 1) b on b.quarter is not distinct from k.quarter""",
+    "measures_returns_total": """
+select (select count(*) from c_orders) as orders, count(distinct order_id) as returned_orders,
+       cast(sum(refund_amount_eur) as double) as total_refunded_eur,
+       cast(count(distinct order_id) as double) / (select count(*) from c_orders) as return_rate
+from c_returns""",
+    "measures_marketing_yearly": """
+select coalesce(s.year, r.year) as year, s.spend as marketing_spend_eur, r.net_revenue_eur,
+       r.net_revenue_eur / nullif(s.spend, 0) as blended_roas, s.spend / nullif(s.c, 0) as cost_per_conversion_eur,
+       s.k / nullif(s.i, 0) as click_through_rate
+from (select cast(date_trunc('year', date) as date) as year, cast(sum(spend_eur) as double) as spend,
+             cast(sum(impressions) as double) as i, cast(sum(clicks) as double) as k,
+             cast(sum(conversions) as double) as c from c_spend group by 1) s
+full join (select cast(date_trunc('year', order_date) as date) as year, cast(sum(net_amount_eur) as double) as net_revenue_eur
+           from c_orders group by 1) r on s.year is not distinct from r.year""",
+    "cancel_rate_filtered": """
+select channel, count_if(status = 'cancelled') as cancelled_orders, count(*) as orders,
+       count_if(status = 'cancelled') / cast(count(*) as double) as cancelled_order_rate
+from c_orders where country_code in ('NATION_1', 'NATION_2', 'NATION_3') group by 1""",
+    "scan_csv_rejects": """
+select 'orders' as table_name, c as column_name, (select count(*) from r_orders) as rows_read,
+       case c when 'net_amount_eur' then (select count(*) from r_orders where ingest_seq % 50 = 0) else 0 end as rejected
+from (select unnest(['gross_amount_local', 'discount_amount_eur', 'shipping_fee_eur', 'net_amount_eur']) as c) t""",
     "anomaly_overlay": """
 select d.date_day, a.net_revenue_eur as anomaly_revenue_eur
 from d_date d left join (select * from m_weekday where is_anomaly) a on d.date_day = a.date""",
@@ -381,8 +417,10 @@ SQL |= {f"stg_{t}": sql for t, sql in CLEAN.items()}
 SQL["stg_exchange_rates"] = f"select {RATE} from s_rates"
 
 ORACLE = {name: with_ctes(sql) for name, sql in SQL.items()}
-_YEARLY = {"revenue_yoy": _prior(12, "net_revenue_ly_eur", "revenue_yoy"),
-           "revenue_mom_calendar": _prior(1, "net_revenue_pm_eur", "revenue_mom")}
+_YEARLY = {"revenue_yoy": ("month", 12, "net_revenue_ly_eur", "revenue_yoy"),
+           "revenue_yoy_quarterly": ("quarter", 12, "net_revenue_ly_eur", "revenue_yoy"),
+           "revenue_yoy_yearly": ("year", 12, "net_revenue_ly_eur", "revenue_yoy"),
+           "revenue_mom_calendar": ("month", 1, "net_revenue_pm_eur", "revenue_mom")}
 
 
 def _splice(block: str, sql: str, uses: str) -> str:
@@ -391,6 +429,6 @@ def _splice(block: str, sql: str, uses: str) -> str:
     return head[:head.rindex("\nselect * from (")] + ",\n" + block + "\n" + sql
 
 
-for _name, _sql in _YEARLY.items():
-    ORACLE[_name] = _splice(X_MONTHS, _sql, "select 1 from c_orders")
+for _name, (_period, _months, _then, _change) in _YEARLY.items():
+    ORACLE[_name] = _splice(_periods(_period), _prior(_months, _then, _change, _period), "select 1 from c_orders")
 ORACLE["dq_feed"] = _splice(f"dq_rows as ({_dq()})", DQ_TEXT, _dq())

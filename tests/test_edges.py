@@ -33,8 +33,8 @@ def test_optional_sections_are_left_out(spark):
             ("top_countries", 1, "DE", "net_revenue_eur", 900.4, None), ("top_countries", 2, "FR", "net_revenue_eur", 300.5, None)]
     facts = spark.createDataFrame(rows, "section string, rank bigint, entity string, metric string, value_num double, value_str string")
     lines = [r.line for r in report.render(facts).orderBy("section_no", "line_no").collect()]
-    assert lines == ["## Headline", "- Completed sales over all months: **EUR 1,234,568** from **12 orders**.",
-                     "- Strongest countries: DE (EUR 900), FR (EUR 300)."]
+    assert lines == ["# Totals", "all: net revenue EUR 1,234,568, orders 12", "# Countries by net revenue",
+                     "DE: net revenue EUR 900", "FR: net revenue EUR 300"]
 
 
 def test_json_document_holds_the_same_facts(spark):

@@ -2,6 +2,7 @@ import os
 from datetime import date
 from decimal import Decimal as D
 
+import pytest
 from pyspark.sql import functions as F
 
 from tradewind.operators import quality as q
@@ -10,7 +11,8 @@ from tradewind.plans.model import EXPORTED
 from tradewind.registry import model
 from tradewind.scale import scratch_dir
 from tradewind.sources import adapter
-from tradewind.sources.csv import read_csv, read_extract, write_csv
+from tradewind.sources.csv import count_rejects, read_csv, read_extract, write_csv
+from tradewind.sources.schemas import RAW_SCHEMAS
 
 ORDER = "order_id string, customer_id string, order_date date, country_code string, status string, net_amount_eur decimal(12,2)"
 
@@ -93,6 +95,58 @@ def test_csv_keeps_quotes_blanks_and_record_order(spark, tmp_path):
     assert (row.customer_id, row.net_amount_eur, row.shipping_fee_eur) == ("C1", D("9.25"), None)
 
 
+ORDER_HEADER = ("order_id,customer_id,order_date,country_code,channel,status,currency_code,gross_amount_local,"
+                "discount_amount_eur,shipping_fee_eur,net_amount_eur")
+
+
+def test_cells_follow_the_header_and_none_is_lost(spark, tmp_path):
+    columns = ORDER_HEADER.split(",")
+    cells = dict(zip(columns, "O1,C1,2024-03-05,DE,web,completed,EUR,10.50,0,1.25,12.30".split(","), strict=True))
+    turned = columns[::-1] + ["remark"]
+    (tmp_path / "turned.csv").write_text(",".join(turned) + "\n" + ",".join({**cells, "remark": "x"}[c] for c in turned) + "\n")
+    row, = read_extract(spark, str(tmp_path / "turned.csv"), "orders").collect()
+    assert (row.order_id, row.net_amount_eur, row.shipping_fee_eur) == ("O1", D("12.30"), D("1.25"))
+    wide = {**cells, "net_amount_eur": "12345678901.00", "gross_amount_local": "ten", "shipping_fee_eur": "NA"}
+    (tmp_path / "wide.csv").write_text(ORDER_HEADER + "\n" + ",".join(wide.values()) + "\n")
+    path = str(tmp_path / "wide.csv")
+    with pytest.raises(Exception, match="takes decimal"):
+        read_extract(spark, path, "orders").collect()
+    row, = read_extract(spark, path, "orders", strict=False).collect()
+    assert row.net_amount_eur is None and row.shipping_fee_eur is None
+    rejects = {r.column_name: r.rejected for r in count_rejects(spark, path, RAW_SCHEMAS["orders"], "orders").collect()}
+    assert rejects == {"gross_amount_local": 1, "discount_amount_eur": 0, "shipping_fee_eur": 0, "net_amount_eur": 1}
+    (tmp_path / "lacking.csv").write_text("order_id,customer_id\nO1,C1\n")
+    with pytest.raises(ValueError, match="no column"):
+        read_extract(spark, str(tmp_path / "lacking.csv"), "orders")
+
+
+def test_days_without_a_fixing_take_the_last_one(spark, sf_dir):
+    m = model(spark, sf_dir)
+    orders = m.fct_orders.where("currency_code in ('USD', 'GBP', 'SEK')")
+    assert orders.where("fx_rate_to_eur = 1").count() == 0  # none of these was ever quoted at 1
+    one = m.staged("exchange_rates").where("currency_code = 'SEK' and date in ('1996-03-06', '1996-03-07')").collect()
+    assert len(one) == 2 and len({r.rate_to_eur for r in one}) == 1  # the seventh has no fixing of its own
+
+
+def test_a_status_filter_does_not_change_the_cancel_rate(spark):
+    orders = spark.createDataFrame([(1, "DE", "cancelled"), (2, "DE", "completed"), (3, "DE", "completed"), (4, "FR", "cancelled")],
+                                   "order_id long, country_code string, status string")
+    row, = measures.cancel_rate(orders, [], {"status": ["cancelled"], "country_code": ["DE"]}).collect()
+    assert (row.cancelled_orders, row.orders) == (1, 3)
+
+
+def test_a_broken_fact_fails_its_own_tests(spark, sf_dir):
+    m = model(spark, sf_dir)
+    good = m.fct_orders
+    broken = good.limit(3).withColumn("customer_id", F.lit("nobody")).withColumn("status", F.lit("lost"))
+    m.__dict__["fct_orders"] = good.unionByName(broken)
+    table = pipeline.tested_tables(m)
+    rows = q.report(pipeline.data_tests(table) + pipeline.integrity_tests(table)).where("table_name = 'fct_orders'").collect()
+    failed = {(r.test_name, r.column_name): r.failures for r in rows if r.failures}
+    assert failed == {("unique", "order_id"): 3, ("relationships", "customer_id"): 3, ("accepted_values", "status"): 3,
+                      ("no_duplicates", "order_id"): 3, ("no_orphans", "customer_id"): 3}
+
+
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
@@ -104,10 +158,16 @@ def test_whole_run(spark, sf_dir, tmp_path):
     m = model(spark, sf_dir)
     assert counts["fct_order_items"] == m.fct_order_items.count()
     for name in (*(f"exports/{t}" for t in EXPORTED), "analysis/revenue_anomalies", "data_tests", "evidence", "report",
-                 "groundedness", "anomaly_eval", "data_quality_report"):
+                 "groundedness", "anomaly_eval", "data_quality_report", "feeds/anomaly_feed", "feeds/headline_kpis"):
         assert os.path.exists(f"{tmp_path}/{name}/_SUCCESS"), name
     text = spark.read.text(f"{tmp_path}/report")
-    assert text.where(F.col("value").startswith("## ")).count() == 7
+    assert text.where(F.col("value").startswith("# ")).count() == 8
+    months = [(r.country_code, r.month) for r in spark.read.csv(f"{tmp_path}/exports/monthly_revenue_kpis", header=True).collect()]
+    assert months == sorted(months)
+    flags = spark.read.csv(f"{tmp_path}/analysis/daily_revenue_with_flags", header=True)
+    assert {"zscore_anomaly", "poisson_z"} <= set(flags.columns)
+    assert "first_order_date" in spark.read.csv(f"{tmp_path}/analysis/customer_rfm_segments", header=True).columns
+    assert counts["anomaly_feed"] == flags.where("stl_poisson_anomaly = 'true'").count()
     failures = spark.read.csv(f"{tmp_path}/data_tests", header=True).where("failures <> '0'").collect()
     # the planted unknown country fails its relationship test, and nothing else does
     assert {(r.test_name, r.column_name) for r in failures} == {("relationships", "country_code")}

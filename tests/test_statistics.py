@@ -56,12 +56,20 @@ def test_global_row_number_with_a_value_held_by_most_rows(spark):
     assert {(r.f, r.id): r.n for r in got} == expected
 
 
+def test_quantiles_of_values_that_lie_close_together(spark):
+    rng = random.Random(4)
+    values = [1_000_000 + rng.random() * 500 for _ in range(4000)] + [1e300, -1e300, 0.0, 5e-324] + [1_000_250.0] * 3000
+    probs = [0.001, 0.25, 0.5, 0.9, 1.0]
+    row, = exact_quantiles(spark.createDataFrame([(v,) for v in values], "v double"), "v", probs).collect()
+    np.testing.assert_allclose(row.q, np.quantile(values, probs), rtol=1e-12)
+
+
 def test_rfm_equals_pandas_quintiles(spark):
     rng = random.Random(11)
     rows = [(f"C{i:04d}", "DE", DAY0 + timedelta(days=rng.randrange(300)), rng.choice([1, 1, 1, 2, 3, 5, 8]),
              round(rng.lognormvariate(5, 1), 2)) for i in range(523)] + [("C9999", "DE", None, 0, 0.0)]
     ltv = spark.createDataFrame(rows, "customer_id string, country_code string, last_order_date date, total_orders long, "
-                                      "total_net_revenue_eur double")
+                                      "total_net_revenue_eur double").withColumn("first_order_date", F.col("last_order_date"))
     got = rfm.rfm_segments(rfm.rfm_scores(ltv)).toPandas().sort_values("customer_id").reset_index(drop=True)
     pdf = pd.DataFrame(rows[:-1], columns=["id", "c", "last", "f", "m"]).sort_values("id").reset_index(drop=True)
     age = (pd.to_datetime(pdf["last"]).max() - pd.to_datetime(pdf["last"])).dt.days

@@ -36,6 +36,11 @@ def month_start(c: Column) -> Column:
     return F.trunc(c, "MM")
 
 
+def period_start(c: Column, period: str) -> Column:
+    """First day of the year, quarter or month."""
+    return F.trunc(c, period)
+
+
 def months_apart(later_month: Column, earlier_month: Column) -> Column:
     """Whole months between two month starts (counts month boundaries)."""
     return F.months_between(later_month, earlier_month).cast("long")

@@ -51,7 +51,7 @@ def weekday_baseline(daily: DataFrame, value: str = "net_revenue_eur", day: str
         .withColumn("seasonal_zscore", ratio(F.col("residual"), F.col("_spread")))
     )
     flagged = F.coalesce(F.abs("seasonal_zscore") > Z_LIMIT, F.lit(False))
-    return (scored.withColumn("is_anomaly", flagged)
+    return (scored.withColumn("zscore_anomaly", flagged).withColumn("is_anomaly", flagged)
             .withColumn("direction", F.when(F.coalesce("residual", F.lit(0.0)) >= 0, "spike").otherwise("drop"))
             .drop("_spread"))
 

@@ -9,71 +9,62 @@ from pyspark.sql import functions as F
 
 from tradewind.scale import materialize
 
-# Buckets grow with the logarithm of the magnitude: about 0.1 % wide, at most
-# 710 * 1024 per sign over the whole range of doubles.
-_STEPS = 1024.0
-
-
-def _bucket(x: Column) -> Column:
-    return (F.signum(x) * F.floor(F.log1p(F.abs(x)) * _STEPS)).cast("long")
+# A range of values is cut into this many parts of equal width per round.
+PARTS = 4096
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group: str | None = None) -> DataFrame:
     """Linearly interpolated quantiles as rows (is_total, group, n, q array<double>).
 
-    Always gives the total over all rows; with ``group`` (a column with a bounded
-    vocabulary) also one row per group, from the same two passes:
-
-    1. values are counted per (group, monotone bucket), a histogram of bounded
-       size, and the few buckets holding the wanted positions are found;
-    2. the distinct values inside those buckets are counted.
+    Always gives the total over all rows; with ``group`` (a column with a bounded vocabulary) also one row per group.
+    Each wanted position starts with the range of all values. A round counts the values of every open range in equal parts
+    and keeps the part that holds the position, until a range is a single value. A range's two ends always fall into different
+    parts, so every round narrows it by a factor of PARTS, however densely the values lie; doubles run out after a few rounds.
 
-    Both aggregations combine before the exchange, so a hot value or a group
-    with most of the rows costs no more than any other, and no task holds a
-    whole group.
+    Counts combine before the exchange: a hot value, a dense range or a group with most of the rows costs no more than any
+    other, and no task holds more than the parts of one range. Ranges are few (two per probability and group).
     """
     g = F.col(group) if group else F.lit(None).cast("string")
     base = df.where(F.col(value).isNotNull()).select(g.alias("_g"), F.col(value).cast("double").alias("_x"))
-    base = base.withColumn("_b", _bucket(F.col("_x")))
-    # each count enters the total and, with groups, its own group
-    total = F.struct(F.lit(True).alias("total"), F.lit(None).cast(base.schema["_g"].dataType).alias("g"))
+    base = materialize(base, "values")
+    kind = base.schema["_g"].dataType
+    # each row enters the total and, with groups, its own group
+    total = F.struct(F.lit(True).alias("total"), F.lit(None).cast(kind).alias("g"))
     own = F.struct(F.lit(False).alias("total"), F.col("_g").alias("g"))
-    level = F.explode(F.array(total, own) if group else F.array(total)).alias("_l")
-
-    # bounded by the number of buckets per group, so written as one file and worked on in one task
-    hist = materialize(base.groupBy("_g", "_b").agg(F.count("*").alias("_c")), "histogram").coalesce(1)
-    hist = hist.select(level, "_b", "_c").groupBy("_l", "_b").agg(F.sum("_c").alias("_c"))
-    whole = Window.partitionBy("_l")
-    upto = whole.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumns({"_end": F.sum("_c").over(upto), "_n": F.sum("_c").over(whole)})
-    place = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
-    wanted = F.flatten(F.array(*[
-        F.array(
-            F.struct(F.lit(i).alias("i"), F.lit(0).alias("side"), F.floor(pos).alias("k")),
-            F.struct(F.lit(i).alias("i"), F.lit(1).alias("side"), F.ceil(pos).alias("k")),
-        ) for i, pos in enumerate(place)]))
-    begin = F.col("_end") - F.col("_c")
-    hits = hist.select("_l", "_b", "_n", begin.alias("_begin"), F.explode(F.filter(
-        wanted, lambda t: (t["k"] >= begin) & (t["k"] < F.col("_end")))).alias("_t"))
-
-    # at most two buckets per probability and group: few enough to filter the second scan with
-    few = hits.agg(F.collect_set("_b")).scalar()
-    inside = base.where(F.array_contains(few, F.col("_b"))).groupBy("_g", "_b", "_x").agg(F.count("*").alias("_m"))
-    inside = inside.select(level, "_b", "_x", "_m").groupBy("_l", "_b", "_x").agg(F.sum("_m").alias("_m"))
-    run = Window.partitionBy("_l", "_b").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = inside.withColumn("_to", F.sum("_m").over(run))
-
-    at = F.col("_t.k") - F.col("_begin")
-    found = hits.join(inside, ["_l", "_b"]).where((at >= F.col("_to") - F.col("_m")) & (at < F.col("_to")))
+    rows = base.select(F.explode(F.array(total, own) if group else F.array(total)).alias("_l"), "_x")
+
+    places = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
+    spans = rows.groupBy("_l").agg(F.count("*").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    at = F.col("_t.p") * (F.col("_n") - 1)
+    state = spans.withColumn("_t", F.explode(places)).select(
+        "_l", "_n", "_lo", "_hi", F.col("_t.i").alias("_i"), (at - F.floor(at)).alias("_between"),
+        F.explode(F.array(F.struct(F.lit(0).alias("side"), F.floor(at).alias("k")),
+                          F.struct(F.lit(1).alias("side"), F.ceil(at).alias("k")))).alias("_t"))
+    state = materialize(state.select("_l", "_n", "_i", "_between", "_t.side", "_t.k", "_lo", "_hi"), "positions")
+    names = state.columns
+    while state.where("_lo < _hi").limit(1).count():
+        ranges = state.where("_lo < _hi").select("_l", "_lo", "_hi").distinct()
+        # halves keep the width of a range finite
+        share = (F.col("_x") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
+        parts = (rows.join(F.broadcast(ranges), "_l").where("_x between _lo and _hi")
+                 .groupBy("_l", "_lo", "_hi", F.least(F.floor(share * PARTS), F.lit(PARTS - 1)).alias("_part"))
+                 .agg(F.count("*").alias("_c"), F.min("_x").alias("_a"), F.max("_x").alias("_z")))
+        upto = Window.partitionBy("_l", "_lo", "_hi").orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        parts = parts.withColumn("_end", F.sum("_c").over(upto))
+        # k counts from the first value of the range on
+        inside = (F.col("k") >= F.col("_end") - F.col("_c")) & (F.col("k") < F.col("_end"))
+        narrowed = state.where("_lo < _hi").join(parts, ["_l", "_lo", "_hi"]).where(inside).select(
+            "_l", "_n", "_i", "_between", "side", (F.col("k") - F.col("_end") + F.col("_c")).alias("k"),
+            F.col("_a").alias("_lo"), F.col("_z").alias("_hi"))
+        state = materialize(narrowed.unionByName(state.where("_lo >= _hi").select(*names)), "positions")
 
     def side(i: int, s: int) -> Column:
-        return F.max(F.when((F.col("_t.i") == i) & (F.col("_t.side") == s), F.col("_x")))
+        return F.max(F.when((F.col("_i") == i) & (F.col("side") == s), F.col("_lo")))
 
-    picks = found.groupBy("_l").agg(F.max("_n").alias("_n"), *[
-        side(i, s).alias(f"_v{i}_{s}") for i in range(len(probs)) for s in (0, 1)])
-    edges = [
-        F.col(f"_v{i}_0") + (F.col(f"_v{i}_1") - F.col(f"_v{i}_0")) * (pos - F.floor(pos))
-        for i, pos in enumerate(place)]
+    picks = state.groupBy("_l").agg(F.max("_n").alias("_n"), *[
+        side(i, s).alias(f"_v{i}_{s}") for i in range(len(probs)) for s in (0, 1)], *[
+        F.max(F.when(F.col("_i") == i, F.col("_between"))).alias(f"_f{i}") for i in range(len(probs))])
+    edges = [F.col(f"_v{i}_0") + (F.col(f"_v{i}_1") - F.col(f"_v{i}_0")) * F.col(f"_f{i}") for i in range(len(probs))]
     return picks.select(F.col("_l.total").alias("is_total"), F.col("_l.g").alias("group"), F.col("_n").alias("n"),
                         F.array(*edges).alias("q"))
 

@@ -19,12 +19,12 @@ def rfm_scores(ltv: DataFrame) -> DataFrame:
 
     The purchasers are written once, narrow, because five steps read them.
     Recency edges come from a day histogram (bounded by the calendar), monetary
-    edges from the bucketed exact quantiles, and the frequency rank, ties by
+    edges from the exact quantiles, and the frequency rank, ties by
     customer id, from the range-partitioned global row number.
     """
     buyers = materialize(
         ltv.where("total_orders > 0").select(
-            "customer_id", "country_code", "last_order_date", F.col("total_orders").alias("frequency"),
+            "customer_id", "country_code", "first_order_date", "last_order_date", F.col("total_orders").alias("frequency"),
             F.col("total_net_revenue_eur").cast("double").alias("monetary")),
         "buyers")
     as_of = buyers.agg(F.max("last_order_date")).scalar()
@@ -47,7 +47,7 @@ def rfm_scores(ltv: DataFrame) -> DataFrame:
                       "f_score": right_closed_bin(F.col("_rank"), F.col("_fe")),
                       "m_score": right_closed_bin(F.col("monetary"), F.col("_me"))}))
     return scored.select(
-        "customer_id", "country_code", "last_order_date", "recency_days", "frequency", "monetary",
+        "customer_id", "country_code", "first_order_date", "last_order_date", "recency_days", "frequency", "monetary",
         "r_score", "f_score", "m_score", (F.col("r_score") + F.col("f_score") + F.col("m_score")).alias("rfm_score"))
 
 

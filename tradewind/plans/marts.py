@@ -6,6 +6,8 @@ data tests check it), so counting rows counts distinct orders.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -154,7 +156,7 @@ def returns_analysis(returns: DataFrame) -> DataFrame:
         round_to(F.avg("days_to_return"), 1).alias("avg_days_to_return"))
 
 
-def daily_revenue(orders: DataFrame) -> DataFrame:
+def daily_revenue(orders: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Completed revenue and orders per day that has any."""
-    return completed(orders).groupBy(F.col("order_date").alias("date")).agg(
+    return completed(orders).groupBy(*by, F.col("order_date").alias("date")).agg(
         _money("net_amount_eur").alias("net_revenue_eur"), F.count("order_id").alias("orders_count"))

@@ -1,29 +1,42 @@
 """Query-time measures: aggregates under any grouping and filter.
 
 Base measures count every order status. A ratio with a zero denominator is null.
-Filters are applied by the caller (``orders.where(...)``), as a report page would.
+Filters are applied by the caller (``orders.where(...)``), as a report page would; a measure that lifts part of a filter
+takes it as an argument. ``by`` may name any columns that the facts have, and the periods ``year``, ``quarter`` and
+``month`` of each fact's own date.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradewind.functions.dates import month_start
+from tradewind.functions.dates import month_start, period_start
 from tradewind.functions.numbers import ratio
 
 
+PERIODS = {"year": 12, "quarter": 3, "month": 1}  # months of each
+
+
 def _null_safe(left: DataFrame, right: DataFrame, by: Sequence[str], how: str) -> DataFrame:
-    """Join two grouped results on ``by``, matching null groups, keeping one copy of the keys."""
-    other = right.select(*[F.col(c).alias(f"_{c}") if c in by else F.col(c) for c in right.columns])
-    cond = F.lit(True)
-    for c in by:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    joined = left.join(other, cond, how)
-    keys = [F.coalesce(c, f"_{c}").alias(c) for c in by]
-    return joined.select(*keys, *[c for c in joined.columns if c not in by and c[1:] not in by])
+    """Join two grouped results on ``by``, matching null groups, keeping one copy of the keys.
+
+    Keys meet as one struct, which compares nulls as equal: an equi-join under any grouping, also none.
+    """
+    def keyed(df: DataFrame, side: str) -> DataFrame:
+        key = F.struct(F.lit(0).alias("_all"), *[F.col(c) for c in by]).alias(side)
+        return df.select(key, *[c for c in df.columns if c not in by])
+
+    joined = keyed(left, "_l").join(keyed(right, "_r"), F.col("_l") == F.col("_r"), how)
+    key = F.coalesce("_l", "_r")
+    return joined.select(*[key[c].alias(c) for c in by], *[c for c in joined.columns if c not in ("_l", "_r")])
+
+
+def _dated(df: DataFrame, day: str, by: Sequence[str]) -> DataFrame:
+    """``df`` with the periods that ``by`` names."""
+    return df.withColumns({p: period_start(F.col(day), p) for p in PERIODS if p in by})
 
 
 def order_measures(orders: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -33,33 +46,33 @@ def order_measures(orders: DataFrame, by: Sequence[str]) -> DataFrame:
     return sums.withColumn("avg_order_value_eur", ratio(F.col("net_revenue_eur"), F.col("orders")))
 
 
-def _monthly(orders: DataFrame, by: Sequence[str]) -> DataFrame:
-    return orders.groupBy(*by, month_start(F.col("order_date")).alias("month")).agg(
-        F.sum("net_amount_eur").cast("double").alias("net_revenue_eur"))
-
-
-def revenue_against(orders: DataFrame, months: int, prior: str, change: str, by: Sequence[str] = ()) -> DataFrame:
-    """Monthly revenue beside the revenue ``months`` calendar months earlier.
+def revenue_against(orders: DataFrame, months: int, prior: str, change: str, by: Sequence[str] = (),
+                    period: str = "month") -> DataFrame:
+    """Revenue per period beside the revenue of the period ``months`` calendar months earlier.
 
-    A shifted self-join of the monthly rows, so a missing month gives null
-    instead of an earlier month's figure.
+    A shifted self-join of the period rows, so a missing period gives null
+    instead of an earlier one's figure.
     """
-    now = _monthly(orders, by)
-    then = now.select(*by, F.add_months("month", months).alias("month"), F.col("net_revenue_eur").alias(prior))
-    both = now.join(then, [*by, "month"], "left")
+    now = _dated(orders, "order_date", [period]).groupBy(*by, period).agg(
+        F.sum("net_amount_eur").cast("double").alias("net_revenue_eur"))
+    then = now.select(*by, F.add_months(period, months).alias(period), F.col("net_revenue_eur").alias(prior))
+    both = now.join(then, [*by, period], "left")
     return both.withColumn(change, ratio(F.col("net_revenue_eur") - F.col(prior), F.col(prior)))
 
 
-def revenue_yoy(orders: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return revenue_against(orders, 12, "net_revenue_ly_eur", "revenue_yoy", by)
+def revenue_yoy(orders: DataFrame, by: Sequence[str] = (), period: str = "month") -> DataFrame:
+    return revenue_against(orders, 12, "net_revenue_ly_eur", "revenue_yoy", by, period)
 
 
 def revenue_mom_calendar(orders: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return revenue_against(orders, 1, "net_revenue_pm_eur", "revenue_mom", by)
 
 
-def cancel_rate(orders: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Cancelled orders over all orders."""
+def cancel_rate(orders: DataFrame, by: Sequence[str], where: Mapping[str, Sequence] | None = None) -> DataFrame:
+    """Cancelled orders over all orders; of the filter ``where`` (column: values) the one on status is lifted."""
+    for column, values in (where or {}).items():
+        if column != "status":
+            orders = orders.where(F.col(column).isin(*values))
     sums = orders.groupBy(*by).agg(F.count_if(F.col("status") == "cancelled").alias("cancelled_orders"),
                                    F.count("order_id").alias("orders"))
     return sums.withColumn("cancelled_order_rate", ratio(F.col("cancelled_orders"), F.col("orders")))
@@ -101,31 +114,28 @@ def product_measures(items: DataFrame, products: DataFrame, by: Sequence[str]) -
     return sums.select(*by, "gross_margin_eur", ratio(F.col("gross_margin_eur"), F.col("_t")).alias("gross_margin_share"))
 
 
-def return_measures(returns: DataFrame, orders: DataFrame) -> DataFrame:
-    """Per month: returned orders over orders, and refunds.
+def return_measures(returns: DataFrame, orders: DataFrame, by: Sequence[str] = ("month",)) -> DataFrame:
+    """Returned orders over orders, and refunds.
 
     Each fact is aggregated on its own date before the two meet. Returned orders
     are counted distinct in two steps.
     """
-    per_order = returns.groupBy(month_start(F.col("return_date")).alias("month"), "order_id").agg(
-        F.sum("refund_amount_eur").alias("_r"))
-    back = per_order.groupBy("month").agg(F.count("order_id").alias("returned_orders"),
-                                          F.sum("_r").cast("double").alias("total_refunded_eur"))
-    sold = orders.groupBy(month_start(F.col("order_date")).alias("month")).agg(F.count("order_id").alias("orders"))
-    both = _null_safe(sold, back, ["month"], "full")
+    per_order = _dated(returns, "return_date", by).groupBy(*by, "order_id").agg(F.sum("refund_amount_eur").alias("_r"))
+    back = per_order.groupBy(*by).agg(F.count("order_id").alias("returned_orders"),
+                                      F.sum("_r").cast("double").alias("total_refunded_eur"))
+    sold = _dated(orders, "order_date", by).groupBy(*by).agg(F.count("order_id").alias("orders"))
+    both = _null_safe(sold, back, by, "full")
     returned = F.coalesce("returned_orders", F.lit(0))
     return both.withColumn("returned_orders", returned).withColumn(
         "return_rate", ratio(F.col("returned_orders"), F.col("orders")))
 
 
-def marketing_measures(spend: DataFrame, orders: DataFrame) -> DataFrame:
-    """Spend, true blended return, cost per conversion and click-through by (country, month)."""
-    by = ["country_code", "month"]
-    spent = spend.groupBy("country_code", month_start(F.col("date")).alias("month")).agg(
+def marketing_measures(spend: DataFrame, orders: DataFrame, by: Sequence[str] = ("country_code", "month")) -> DataFrame:
+    """Spend, true blended return, cost per conversion and click-through."""
+    spent = _dated(spend, "date", by).groupBy(*by).agg(
         F.sum("spend_eur").cast("double").alias("marketing_spend_eur"), F.sum("impressions").alias("_i"),
         F.sum("clicks").alias("_k"), F.sum("conversions").alias("_c"))
-    earned = orders.groupBy("country_code", month_start(F.col("order_date")).alias("month")).agg(
-        F.sum("net_amount_eur").cast("double").alias("net_revenue_eur"))
+    earned = _dated(orders, "order_date", by).groupBy(*by).agg(F.sum("net_amount_eur").cast("double").alias("net_revenue_eur"))
     both = _null_safe(spent, earned, by, "full")
     return both.select(
         *by, "marketing_spend_eur", "net_revenue_eur",

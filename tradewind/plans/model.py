@@ -20,6 +20,7 @@ from tradewind.scale import materialize
 from tradewind.sources.schemas import CATEGORIES, COUNTRY_CODES
 
 LOW_ROAS_Z = -1.5
+ALL = "ALL"  # the series over all countries
 
 # Tables the dashboards and the export read, in export order.
 EXPORTED = (
@@ -28,6 +29,18 @@ EXPORTED = (
     "marketing_roi", "returns_analysis",
 )
 
+# Marts and analysis tables that are published sorted.
+SORTED = {
+    "monthly_revenue_kpis": ("country_code", "month"),
+    "cohort_retention": ("cohort_month", "months_since_first_order"),
+    "marketing_roi": ("country_code", "month", "channel"),
+    "returns_analysis": ("month", "return_reason"),
+    "revenue_anomalies": ("date",),
+    "daily_revenue_with_flags": ("date",),
+    "underperforming_marketing_spend": ("z_roas", "country_code", "month", "channel"),
+    "anomaly_feed": ("date",),
+}
+
 
 class Model:
     """Cleaned, staged, dimensional and analytic tables by name.
@@ -188,7 +201,12 @@ class Model:
 
     @cached_property
     def stl_flags(self) -> DataFrame:
-        return poisson_residuals(self.dense_daily)
+        """The decomposition of every country's daily series, and of all countries together (country_code ALL)."""
+        known = self.staged("orders").where("country_code is not null")
+        daily = fill_days(materialize(marts.daily_revenue(known, ["country_code"]), "daily_by_country"),
+                          ["net_revenue_eur", "orders_count"], by=["country_code"])
+        total = self.dense_daily.withColumn("country_code", F.lit(ALL))
+        return poisson_residuals(daily.unionByName(total), by=["country_code"])
 
     @cached_property
     def rfm_scores(self) -> DataFrame:

@@ -3,50 +3,64 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tradewind import sinks
 from tradewind.operators import claims, redteam
 from tradewind.operators import quality as q
 from tradewind.operators.scoring import incident_days, score_detectors, sweep_thresholds
-from tradewind.plans import audit, evidence, report
-from tradewind.plans.model import EXPORTED, Model
+from tradewind.plans import audit, evidence, feeds, report
+from tradewind.plans.model import ALL, EXPORTED, SORTED, Model
 from tradewind.scale import materialize
+from tradewind.sources.fx_payload import require_rates
 from tradewind.sources.schemas import CATEGORIES, COUNTRY_CODES, ORDER_STATUSES, RAW_SCHEMAS
 from tradewind.sources.warehouse import load_tables, read_tables
 
 
-def data_tests(m: Model, statuses: Sequence[str] = ORDER_STATUSES, kind: str | None = None) -> list[DataFrame]:
-    """The model's declared tests: nine unique keys, nine non-null keys, four relationships, one value list.
+# Columns that the tests read, by table.
+TESTED = {
+    "stg_customers": ("customer_id",), "stg_products": ("product_id",), "stg_orders": ("order_id",),
+    "dim_country": ("country_code",), "dim_customer": ("customer_id", "country_code"), "dim_product": ("product_id",),
+    "dim_date": ("date_day",), "fct_orders": ("order_id", "customer_id", "status", "net_amount_eur"),
+    "fct_returns": ("return_id", "order_id"), "fct_marketing_spend": ("country_code",),
+}
+KEYS = (("stg_customers", "customer_id"), ("stg_products", "product_id"), ("stg_orders", "order_id"),
+        ("dim_country", "country_code"), ("dim_customer", "customer_id"), ("dim_product", "product_id"),
+        ("dim_date", "date_day"), ("fct_orders", "order_id"), ("fct_returns", "return_id"))
+LINKS = (("dim_customer", "country_code", "dim_country", "country_code"),
+         ("fct_orders", "customer_id", "dim_customer", "customer_id"),
+         ("fct_returns", "order_id", "fct_orders", "order_id"),
+         ("fct_marketing_spend", "country_code", "dim_country", "country_code"))
 
-    Tests read the staged key columns the facts take over unchanged, so no fact
-    join is computed only to count its keys.
-    """
-    orders, returns = m.staged("orders"), m.staged("returns")
-    keys = [
-        ("stg_customers", m.staged("customers"), "customer_id"), ("stg_products", m.staged("products"), "product_id"),
-        ("stg_orders", orders, "order_id"), ("dim_country", m.dim_country, "country_code"),
-        ("dim_customer", m.dim_customer, "customer_id"), ("dim_product", m.dim_product, "product_id"),
-        ("dim_date", m.dim_date, "date_day"), ("fct_orders", m.fct_orders, "order_id"),
-        ("fct_returns", m.fct_returns, "return_id")]
-    links = [
-        (m.dim_customer, "dim_customer", "country_code", m.dim_country, "country_code"),
-        (orders, "fct_orders", "customer_id", m.staged("customers"), "customer_id"),
-        (returns, "fct_returns", "order_id", orders, "order_id"),
-        (m.staged("marketing_spend"), "fct_marketing_spend", "country_code", m.dim_country, "country_code")]
+
+def tested_tables(m: Model) -> Callable[[str], DataFrame]:
+    """The tested columns of a table as built, stored when first asked for: all its tests read the same copy."""
+    @cache
+    def stored(name: str) -> DataFrame:
+        table = m.staged(name[4:]) if name.startswith("stg_") else m.table(name)
+        return materialize(table.select(*TESTED[name]), f"tested_{name}")
+
+    return stored
+
+
+def data_tests(table: Callable[[str], DataFrame], statuses: Sequence[str] = ORDER_STATUSES,
+               kind: str | None = None) -> list[DataFrame]:
+    """The model's declared tests on the tables they name: nine unique and non-null keys, four relationships, one value list."""
     tests = {
-        "unique": lambda: [q.unique(df, t, k) for t, df, k in keys],
-        "not_null": lambda: [q.not_null(df, t, k) for t, df, k in keys],
-        "relationships": lambda: [q.relationship(*link) for link in links],
-        "accepted_values": lambda: [q.accepted_values(orders, "fct_orders", "status", statuses)],
+        "unique": lambda: [q.unique(table(t), t, k) for t, k in KEYS],
+        "not_null": lambda: [q.not_null(table(t), t, k) for t, k in KEYS],
+        "relationships": lambda: [q.relationship(table(t), t, c, table(parent), k) for t, c, parent, k in LINKS],
+        "accepted_values": lambda: [q.accepted_values(table("fct_orders"), "fct_orders", "status", statuses)],
     }
     return [t for name, make in tests.items() if kind in (None, name) for t in make()]
 
 
-def integrity_tests(m: Model) -> list[DataFrame]:
+def integrity_tests(table: Callable[[str], DataFrame]) -> list[DataFrame]:
     """Warehouse checks: duplicate orders, negative revenue, orders without a known customer."""
-    orders, customers = m.fct_orders, m.staged("customers")
+    orders, customers = table("fct_orders"), table("dim_customer")
     return [q.duplicates(orders, "fct_orders", "order_id"),
             q.negative(orders, "fct_orders", "net_amount_eur"),
             q.orphans(orders, "fct_orders", "customer_id", customers, "customer_id")]
@@ -71,7 +85,9 @@ def run(spark: SparkSession, read: Callable[[str], DataFrame], out: str, inciden
     a failure is raised by the caller's own policy.
     """
     source = Model(read, countries, categories)
-    load_tables({name: source.clean(name) for name in RAW_SCHEMAS}, database, buckets)
+    cleaned = {name: source.clean(name) for name in RAW_SCHEMAS}
+    cleaned["exchange_rates"] = require_rates(cleaned["exchange_rates"])
+    load_tables(cleaned, database, buckets)
     sinks.write_lines(audit.dq_lines(audit.dq_report({n: read(n) for n in RAW_SCHEMAS}, countries)),
                       f"{out}/data_quality_report", ["table_name", "rule"])
     loaded = read_tables(spark, list(RAW_SCHEMAS), database)
@@ -84,14 +100,29 @@ def run(spark: SparkSession, read: Callable[[str], DataFrame], out: str, inciden
             return self.staged(name)  # stored already
 
     m = Loaded(read, countries, categories)
-    sinks.write_csv(q.report(data_tests(m) + integrity_tests(m)), f"{out}/data_tests")
-    flags, stl = materialize(m.weekday_flags, "flags"), materialize(m.stl_flags, "stl")
-    counts = sinks.export_csv({name: m.table(name) for name in EXPORTED}, f"{out}/exports")
+    table = tested_tables(m)
+    sinks.write_csv(q.report(data_tests(table) + integrity_tests(table)), f"{out}/data_tests")
+    flags = materialize(m.weekday_flags, "flags")
+    by_country = materialize(m.stl_flags, "stl")
+    stl = by_country.where(F.col("country_code") == ALL)
+    counts = sinks.export_csv({name: m.table(name) for name in EXPORTED}, f"{out}/exports", SORTED)
     joined = flags.join(stl.select("date", "poisson_z", "stl_poisson_anomaly"), "date", "left")
     counts |= sinks.export_csv({
         "revenue_anomalies": flags.where("is_anomaly"), "daily_revenue_with_flags": joined,
         "customer_rfm_segments": m.rfm_segments, "rfm_segment_summary": m.rfm_summary,
-        "underperforming_marketing_spend": m.low_roas}, f"{out}/analysis")
+        "underperforming_marketing_spend": m.low_roas}, f"{out}/analysis", SORTED)
+    kpis, returns = materialize(m.monthly_revenue_kpis, "kpis"), materialize(m.returns_analysis, "returns")
+    counts |= sinks.export_csv({
+        "headline_kpis": feeds.headline_kpis(m.staged("orders"), m.staged("customers")),
+        "monthly_total": feeds.monthly_total(kpis), "revenue_by_country": feeds.revenue_by_country(kpis),
+        "top_countries": feeds.top_countries(kpis), "latest_month": feeds.latest_month(kpis),
+        "returns_by_reason": feeds.returns_by_reason(returns), "top_return_reasons": feeds.top_return_reasons(returns),
+        "top_products": feeds.top_products(m.product_performance), "channel_cpc": feeds.channel_cpc(m.marketing_roi),
+        "segment_caption": feeds.segment_caption(m.rfm_summary),
+        # the decomposition's flag where there is one, as the dashboard shows it
+        "anomaly_feed": feeds.anomaly_feed(joined, "stl_poisson_anomaly", "poisson_z"),
+        "data_quality": feeds.dq_feed(audit.dq_messages(audit.dq_report({n: read(n) for n in RAW_SCHEMAS}, countries)))},
+        f"{out}/feeds", SORTED)
 
     facts = materialize(gather_evidence(m), "evidence")
     sinks.write_document(evidence.evidence_json(facts), f"{out}/evidence")

@@ -19,7 +19,7 @@ from tradewind.operators.calendar import fill_days
 from tradewind.operators.scoring import incident_days, score_detectors, sweep_thresholds
 from tradewind.operators.stl import poisson_residuals
 from tradewind.plans import audit, clean, evidence, feeds, marts, measures, pipeline, report
-from tradewind.plans.model import EXPORTED, Model
+from tradewind.plans.model import ALL, EXPORTED, Model
 from tradewind.plans.staging import stage
 from tradewind.scale import materialize, scratch_path
 from tradewind.session import apply_conf
@@ -67,13 +67,37 @@ def _(m):
     return csv.read_extract(spark, path, "products")
 
 
+@query("scan_csv_reordered")
+def _(m):
+    """The same extract with its columns in another order: cells follow the header."""
+    raw = m.raw("products")
+    spark = raw.sparkSession
+    path = scratch_path(spark, "products_csv")
+    csv.write_csv(raw.select(*reversed(raw.columns)), path)
+    return csv.read_extract(spark, path, "products")
+
+
+@query("scan_csv_rejects")
+def _(m):
+    """Amounts too wide for their type are counted, not lost."""
+    raw = m.raw("orders")
+    spark = raw.sparkSession
+    path = scratch_path(spark, "orders_csv")
+    wide = F.when(F.col("ingest_seq") % 50 == 0, "98765432109876.54").otherwise(F.col("net_amount_eur").cast("string"))
+    csv.write_csv(raw.withColumn("net_amount_eur", wide).drop("ingest_seq"), path)
+    return csv.count_rejects(spark, path, schemas.RAW_SCHEMAS["orders"], "orders")
+
+
 @query("load_counts")
 def _(m):
-    """Create or replace one table per clean extract, then count what was stored."""
+    """Create or replace one table per clean extract, then count what was stored, in a database of this call's own."""
     spark = m.raw("orders").sparkSession
-    warehouse.load_tables({n: m.clean(n) for n in schemas.RAW_SCHEMAS}, "tradewind_raw",
-                          location=scratch_path(spark, "warehouse"))
-    return warehouse.count_rows(warehouse.read_tables(spark, list(schemas.RAW_SCHEMAS), "tradewind_raw"))
+    path = scratch_path(spark, "warehouse")
+    database = path.rsplit("/", 1)[1].replace("-", "_")
+    warehouse.load_tables({n: m.clean(n) for n in schemas.RAW_SCHEMAS}, database, location=path)
+    counts = materialize(warehouse.count_rows(warehouse.read_tables(spark, list(schemas.RAW_SCHEMAS), database)), "counts")
+    spark.sql(f"drop database {database} cascade")
+    return counts
 
 
 @query("export_counts", "orders", "order_items")
@@ -88,6 +112,7 @@ def _(m):
 def _(m):
     rates = m.raw("exchange_rates")
     # one payload per month, as a rate service would answer for that range
+    rates = rates.groupBy("date", "currency_code").agg(F.max("rate_to_eur").alias("rate_to_eur"))
     day = rates.groupBy("date").agg(F.map_from_entries(F.collect_list(
         F.struct("currency_code", F.col("rate_to_eur").cast("double")))).alias("r"))
     month = day.groupBy(F.substring("date", 1, 7).alias("m")).agg(
@@ -236,6 +261,11 @@ for _name in ("dim_country", "dim_customer", "dim_product", "dim_date", "fct_ord
     query(_name)(lambda m, t=_name: m.table(t))
 
 
+@query("revenue_by_country")
+def _(m):
+    return feeds.revenue_by_country(m.monthly_revenue_kpis)
+
+
 @query("top_countries")
 def _(m):
     return feeds.top_countries(m.monthly_revenue_kpis)
@@ -310,7 +340,7 @@ def _(m):
 
 @query("stl_anomaly_feed")
 def _(m):
-    return feeds.anomaly_feed(materialize(m.stl_flags, "stl"), "stl_poisson_anomaly", "poisson_z")
+    return feeds.anomaly_feed(materialize(m.stl_flags.where(F.col("country_code") == ALL), "stl"), "stl_poisson_anomaly", "poisson_z")
 
 
 @query("rfm_scores")
@@ -512,7 +542,7 @@ def _(m):
 
 
 def _tests(m: Model, kind: str) -> DataFrame:
-    return q.report(pipeline.data_tests(m, schemas.ORDER_STATUSES, kind))
+    return q.report(pipeline.data_tests(pipeline.tested_tables(m), schemas.ORDER_STATUSES, kind))
 
 
 @query("test_unique")
@@ -537,12 +567,13 @@ def _(m):
 
 @query("test_integrity")
 def _(m):
-    return q.report(pipeline.integrity_tests(m))
+    return q.report(pipeline.integrity_tests(pipeline.tested_tables(m)))
 
 
-@query("data_test_report", "customers", "products", "orders", "order_items", "payments", "returns", "exchange_rates")
+@query("data_test_report")
 def _(m):
-    return q.report(pipeline.data_tests(m, schemas.ORDER_STATUSES) + pipeline.integrity_tests(m))
+    table = pipeline.tested_tables(m)
+    return q.report(pipeline.data_tests(table, schemas.ORDER_STATUSES) + pipeline.integrity_tests(table))
 
 
 # --- measures ----------------------------------------------------------------------------------
@@ -558,6 +589,16 @@ def _(m):
     return _rounded(measures.revenue_yoy(m.staged("orders"), ["country_code"]), 6, "revenue_yoy")
 
 
+@query("revenue_yoy_quarterly")
+def _(m):
+    return _rounded(measures.revenue_yoy(m.staged("orders"), ["country_code"], "quarter"), 6, "revenue_yoy")
+
+
+@query("revenue_yoy_yearly")
+def _(m):
+    return _rounded(measures.revenue_yoy(m.staged("orders"), ["country_code"], "year"), 6, "revenue_yoy")
+
+
 @query("revenue_mom_calendar")
 def _(m):
     return _rounded(measures.revenue_mom_calendar(m.staged("orders"), ["country_code"]), 6, "revenue_mom")
@@ -568,6 +609,13 @@ def _(m):
     return measures.cancel_rate(m.staged("orders"), ["country_code"])
 
 
+@query("cancel_rate_filtered")
+def _(m):
+    """Under a filter on country and status: the one on status is lifted."""
+    shown = {"country_code": ["NATION_1", "NATION_2", "NATION_3"], "status": ["cancelled"]}
+    return measures.cancel_rate(m.staged("orders"), ["channel"], shown)
+
+
 @query("measures_customers")
 def _(m):
     return measures.customer_measures(m.staged("orders"), m.customer_ltv, ["country_code"])
@@ -593,6 +641,21 @@ def _(m):
     return measures.marketing_measures(m.staged("marketing_spend"), m.staged("orders"))
 
 
+@query("measures_returns_quarterly")
+def _(m):
+    return measures.return_measures(m.staged("returns"), m.staged("orders"), ["quarter"])
+
+
+@query("measures_returns_total")
+def _(m):
+    return measures.return_measures(m.staged("returns"), m.staged("orders"), [])
+
+
+@query("measures_marketing_yearly")
+def _(m):
+    return measures.marketing_measures(m.staged("marketing_spend"), m.staged("orders"), ["year"])
+
+
 @query("anomaly_overlay")
 def _(m):
     return measures.anomaly_overlay(m.dim_date, m.revenue_anomalies)

@@ -2,26 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``.
-
-    Only a local-mode session (tests) may fall back to a temporary folder: on a
-    cluster a machine-local path would vanish with its executor.
-    """
+    """The shared folder named by ``spark.checkpoint.dir``; where none is named, one in the warehouse, which is shared too."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tradewind-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

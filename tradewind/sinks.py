@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 from tradewind.sources.csv import write_csv
 
 
-def export_csv(tables: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
+def export_csv(tables: Mapping[str, DataFrame], folder: str,
+               order: Mapping[str, Sequence[str]] | None = None) -> dict[str, int]:
     """Write every table as header CSV under ``folder`` and return its row count.
 
-    Rows are counted while they are written, so no table is computed twice.
+    Rows are counted while they are written, so no table is computed twice. Tables that ``order`` names are written
+    sorted, file by file in the order of the file names.
     """
     counts = {}
     for name, df in tables.items():
         seen = Observation(name)
+        if order and name in order:
+            df = df.orderBy(*order[name])
         write_csv(df.observe(seen, F.count(F.lit(1)).alias("rows")), f"{folder.rstrip('/')}/{name}")
         counts[name] = seen.get["rows"]
     return counts

@@ -2,28 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tradewind.sources.schemas import NA_TOKENS, ORDERED_EXTRACTS, RAW_SCHEMAS
 
 
+def _cell(name: str, kind: T.DataType, strict: bool) -> Column:
+    """A text cell as its declared type: missing-value tokens are null, anything else must convert."""
+    text = F.col(f"`{name}`")
+    text = F.when(~text.isin(*NA_TOKENS), text)
+    if isinstance(kind, T.StringType):
+        return text.alias(name)
+    value = text.try_cast(kind)
+    if strict:
+        said = F.concat(F.lit(f"column {name} takes {kind.simpleString()}, not "), text)
+        value = F.when(text.isNotNull() & value.isNull(), F.raise_error(said).cast(kind)).otherwise(value)
+    return value.alias(name)
+
+
+def read_text(spark: SparkSession, path: str, columns: Sequence[str], multi_line: bool = False) -> DataFrame:
+    """All columns of a header CSV as text, found by their names in the header.
+
+    Files whose header differs from the first file's fail, as does a header that lacks one of ``columns``;
+    the order of the columns is free. Quoted line breaks need ``multi_line``.
+    """
+    df = spark.read.csv(path, header=True, mode="FAILFAST", escape='"', multiLine=multi_line, enforceSchema=False)
+    lacking = [c for c in columns if c not in df.columns]
+    if lacking:
+        raise ValueError(f"{path} has no column {', '.join(lacking)}")
+    return df
+
+
 def read_csv(spark: SparkSession, path: str, schema: str, with_order: bool = False,
-             multi_line: bool = False) -> DataFrame:
-    """Read header CSV with a fixed schema; missing-value tokens become null.
+             multi_line: bool = False, strict: bool = True) -> DataFrame:
+    """Read header CSV into the columns and types of ``schema``; missing-value tokens become null.
 
-    ``with_order`` adds ``ingest_seq``, the record's place in the extract as
-    (file, block start, row within the split). It is computed per task: no
-    shuffle, no counting pass.
+    A cell that does not fit its type fails the job, or with ``strict`` off becomes null and is counted by
+    ``count_rejects``. ``with_order`` adds ``ingest_seq``, the record's place in the extract as (file, block start, row
+    within the split). It is computed per task: no shuffle, no counting pass.
     """
-    df = spark.read.schema(schema).csv(path, header=True, mode="PERMISSIVE", escape='"',
-                                       multiLine=multi_line, enforceSchema=True)
-    cols = [
-        F.when(~F.col(f.name).isin(*NA_TOKENS), F.col(f.name)).alias(f.name)
-        if isinstance(f.dataType, T.StringType) else F.col(f.name)
-        for f in df.schema
-    ]
+    fields = T.StructType.fromDDL(schema).fields
+    df = read_text(spark, path, [f.name for f in fields], multi_line)
+    cols = [_cell(f.name, f.dataType, strict) for f in fields]
     if with_order:
         cols.append(F.struct(F.col("_metadata.file_path").alias("file"),
                              F.col("_metadata.file_block_start").alias("block"),
@@ -31,9 +55,21 @@ def read_csv(spark: SparkSession, path: str, schema: str, with_order: bool = Fal
     return df.select(*cols)
 
 
-def read_extract(spark: SparkSession, path: str, name: str, multi_line: bool = False) -> DataFrame:
+def count_rejects(spark: SparkSession, path: str, schema: str, table: str, multi_line: bool = False) -> DataFrame:
+    """(table_name, column_name, rows_read, rejected): cells of typed columns that do not fit, in one pass."""
+    fields = [f for f in T.StructType.fromDDL(schema).fields if not isinstance(f.dataType, T.StringType)]
+    df = read_text(spark, path, [f.name for f in fields], multi_line)
+    given = {f.name: F.when(~F.col(f"`{f.name}`").isin(*NA_TOKENS), F.col(f"`{f.name}`")) for f in fields}
+    counts = df.agg(F.count("*").alias("rows_read"), *[
+        F.count_if(given[f.name].isNotNull() & given[f.name].try_cast(f.dataType).isNull()).alias(f.name) for f in fields])
+    rows = F.explode(F.array(*[F.struct(F.lit(f.name).alias("c"), F.col(f"`{f.name}`").alias("n")) for f in fields]))
+    return counts.select("rows_read", rows.alias("_r")).select(
+        F.lit(table).alias("table_name"), F.col("_r.c").alias("column_name"), "rows_read", F.col("_r.n").alias("rejected"))
+
+
+def read_extract(spark: SparkSession, path: str, name: str, multi_line: bool = False, strict: bool = True) -> DataFrame:
     """One of the eight raw extracts by name."""
-    return read_csv(spark, path, RAW_SCHEMAS[name], name in ORDERED_EXTRACTS, multi_line)
+    return read_csv(spark, path, RAW_SCHEMAS[name], name in ORDERED_EXTRACTS, multi_line, strict)
 
 
 def read_extracts(spark: SparkSession, folder: str, suffix: str = "_raw.csv") -> dict[str, DataFrame]:
