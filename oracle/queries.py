@@ -133,9 +133,9 @@ from (select *, coalesce(cast(tp as double) / nullif(flagged, 0), 0) as precisio
       from (select f.{key}, count_if(f.flagged) as flagged, count_if(f.flagged and t.date is not null) as tp,
                    count_if(f.flagged and t.date is null) as fp,
                    (select count(distinct date) from truth) - count_if(f.flagged and t.date is not null) as fn,
-                   'Checkout outage: ' || case when bool_or(f.flagged and coalesce(t.incident, '') = 'Checkout outage')
+                   'doubled import: ' || case when bool_or(f.flagged and coalesce(t.incident, '') = 'doubled import')
                                                then 'yes' else 'no' end ||
-                   ', Flash-sale spike: ' || case when bool_or(f.flagged and coalesce(t.incident, '') = 'Flash-sale spike')
+                   ', lost feed: ' || case when bool_or(f.flagged and coalesce(t.incident, '') = 'lost feed')
                                                then 'yes' else 'no' end as incidents_caught
             from ({flags}) f left join truth t on f.date = t.date group by f.{key}) a) b"""
 

@@ -103,9 +103,9 @@ select o_orderkey + 1000000000 as ingest_seq, {_ORDER_ID}, {_ORDER_TAIL} from {{
 where o_orderkey % 100 = 0
 """
 
-# Planted incidents: three days almost without orders, two days with five times as many.
-_OUTAGE = "cast(o_orderdate as date) between cast('1997-06-10' as date) and cast('1997-06-12' as date)"
-_SPIKE = "cast(o_orderdate as date) between cast('1999-03-03' as date) and cast('1999-03-04' as date)"
+# Planted incidents: four days almost without orders, two days with five times as many.
+_OUTAGE = "cast(o_orderdate as date) between cast('1997-09-15' as date) and cast('1997-09-18' as date)"
+_SPIKE = "cast(o_orderdate as date) between cast('1998-05-18' as date) and cast('1998-05-19' as date)"
 _COPIES = "\n".join(
     f"""union all
 select o_orderkey + {k}000000000000 as ingest_seq,
@@ -116,7 +116,7 @@ select o_orderkey as ingest_seq, {_ORDER_ID}, {_ORDER_TAIL} from {{orders}}
 where not ({_OUTAGE}) or o_orderkey % 12 = 0
 {_COPIES}
 """
-INCIDENTS = (("Checkout outage", "1997-06-10", "1997-06-12"), ("Flash-sale spike", "1999-03-03", "1999-03-04"))
+INCIDENTS = (("doubled import", "1998-05-18", "1998-05-19"), ("lost feed", "1997-09-15", "1997-09-18"))
 
 ORDER_ITEMS = """
 select concat('O', cast(l_orderkey as string)) as order_id, concat('P', cast(l_partkey as string)) as product_id,
