@@ -33,7 +33,7 @@ from tradewind.llm.suffix_array import repeated_groups
 
 U = np.uint64
 GRAM = 32
-SHARD_BYTES, BUCKET_ANCHORS = 2 << 20, 400_000
+SHARD_BYTES, BUCKET_ANCHORS = 4 << 20, 400_000
 HOT = 1024
 PLACE_BITS, BLOCK = 21, 1 << 20
 FACTORS = [U(int(f) | 1) for f in tx.mix(np.arange(1, 9, dtype=U))]
@@ -245,7 +245,11 @@ def windows_of(records: np.ndarray, shards: np.ndarray, length: int) -> tuple[np
 
 
 def settle_contexts(rows: pa.Table, length: int, routes: int) -> pa.Table:
-    """Ranges from a shard of contexts, and the windows of hot contexts, packed for the merge."""
+    """Ranges from a shard of contexts, and the windows of hot contexts, packed for the merge.
+
+    Ranges pass the merge unchanged, so they stay on this shard's own route.
+    """
+    own = rows.column("route")[0].as_py()
     records = [np.frombuffer(v, RECORD) for v in rows.column("records").to_pylist()]
     shards = np.repeat(np.array(rows.column("shard").to_pylist(), np.int64), [len(r) for r in records])
     records = np.concatenate(records)
@@ -285,18 +289,17 @@ def settle_contexts(rows: pa.Table, length: int, routes: int) -> pa.Table:
         window_ranges(ranges, windows[window[removed]], length)
 
     hot = distinct[records["hot"][distinct] == 1]
-    out = [(s % routes, s, r, b"") for s, r in ranges.rows()]
+    out = []
     if len(hot):
         windows, owner, within = windows_of(records[hot], shards[hot], length)
         start = at[hot][owner] + within
         windows["w1"] = tx.span_hashes(data, start, start + length)
         windows["w2"] = tx.span_hashes(data[::-1], len(data) - start - length, len(data) - start)
         kept, removed = merged([sorted_run(windows)])
-        local = Ranges()
-        window_ranges(local, removed, length)
-        out += [(s % routes, s, r, b"") for s, r in local.rows()]
+        window_ranges(ranges, removed, length)
         order, route, lo, hi = dealt(kept["w1"], routes)
         out += [(r, -1, b"", kept[np.sort(order[a:b])].tobytes()) for r, a, b in zip(route.tolist(), lo, hi, strict=True)]
+    out += [(own, s, r, b"") for s, r in ranges.rows()]
     route, shard, found, sent = zip(*out, strict=True) if out else ((), (), (), ())
     return pa.table({"route": pa.array(route, pa.int64()), "shard": pa.array(shard, pa.int64()),
                      "ranges": pa.array(found, pa.binary()), "windows": pa.array(sent, pa.binary())})
@@ -371,7 +374,7 @@ def remove_repeats(df: DataFrame, length: int = 100, id_col: str = "doc_id", tex
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shards = total // SHARD_BYTES + 1
     buckets = max(tasks, total // (BUCKET_ANCHORS * (length - GRAM + 2) // 2) + 1)
-    routes = max(2 * tasks, 2 * shards)
+    routes = max(2 * tasks, 3 * shards)
     keyed = texts.withColumn("text_hash", F.xxhash64("text"))
     shard = F.pmod(F.xxhash64("text_hash", "doc_id"), F.lit(shards))
     # one exchange of the texts serves all three passes
