@@ -475,13 +475,9 @@ def _(m):
     return claims.ground_against_pool(found, numbers)
 
 
-def _pool(m: Model):
-    return claims.pool_array(evidence.evidence_numbers(_evidence(m)))
-
-
 @query("groundedness_score", "orders")
 def _(m):
-    scored = claims.score_texts(texts(m), "doc_id", "text", _pool(m))
+    scored = claims.score_against_pool(texts(m), "doc_id", "text", evidence.evidence_numbers(_evidence(m)))
     return scored.withColumn("ungrounded", F.array_join("ungrounded", " "))
 
 
@@ -495,7 +491,7 @@ def _(m):
 
 @query("red_team_rate", "orders")
 def _(m):
-    return redteam.red_team(texts(m), "doc_id", "text", _pool(m), include_dates=False)
+    return redteam.red_team_against_pool(texts(m), "doc_id", "text", evidence.evidence_numbers(_evidence(m)))
 
 
 def _red_team_report(m: Model, include_dates: bool) -> DataFrame:
