@@ -124,25 +124,31 @@ class Linear:
     bias: float
 
     def margin(self, x: np.ndarray) -> np.ndarray:
-        return x @ self.weights + self.bias
+        return x @ self.weights.astype(x.dtype) + self.bias
 
     @classmethod
     def fit(cls, x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int = 150) -> "Linear":
-        """Logistic regression with equal weight of both classes, by Adam on all rows."""
-        mean, spread = x.mean(axis=0), x.std(axis=0)
+        """Logistic regression with equal weight of both classes, by Adam on all rows; rows with y < 0 are left out.
+
+        Features are scaled inside the sums, so that no scaled copy of the matrix is made.
+        """
+        mean = x.mean(axis=0, dtype=np.float64)
+        spread = np.sqrt(np.maximum(np.einsum("ij,ij->j", x, x) / len(x) - mean * mean, 0.0))
         scale = 1 / (spread + spread.mean() * 0.5 + 1e-9)
-        z = ((x - mean) * scale).astype(np.float32)
-        share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum())).astype(np.float32)
-        w, b = np.zeros(x.shape[1], np.float32), 0.0
+        good, bad = y == 1, y == 0
+        share = good * (0.5 / max(1, good.sum())) + bad * (0.5 / max(1, bad.sum()))
+        w, b = np.zeros(x.shape[1]), 0.0
         first, second = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
         for t in range(1, steps + 1):
-            error = share * (sigmoid(z @ w + b) - y).astype(np.float32)
-            g = np.append(error @ z + penalty * w, error.sum())
+            v = w * scale
+            error = share * (sigmoid(x @ v.astype(np.float32) - mean @ v + b) - good)
+            total = error.sum()
+            g = np.append((error.astype(np.float32) @ x - total * mean) * scale + penalty * w, total)
             first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g * g
             move = 0.05 * (first / (1 - 0.9 ** t)) / (np.sqrt(second / (1 - 0.99 ** t)) + 1e-8)
-            w -= move[:-1].astype(np.float32)
+            w -= move[:-1]
             b -= move[-1]
-        weights = (w * scale).astype(np.float64)
+        weights = w * scale
         return cls(weights, float(b - mean @ weights))
 
 
@@ -194,8 +200,7 @@ def co_train(x_content, x_metadata, y, fold, max_false_rejection: float) -> Mode
     models = [None, None]
     for turn in range(ROUNDS + 1):
         for k, x in enumerate(views):
-            known = labels[k] >= 0
-            models[k] = Linear.fit(x[known], labels[k][known])
+            models[k] = Linear.fit(x, labels[k])
         if turn == ROUNDS or not len(pool):
             break
         proposals = []
@@ -264,9 +269,18 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = 6000, unlabelled: in
     rows = rows.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(4))).orderBy("doc_id").toArrow()
     if not rows.num_rows:
         return None
-    content = np.stack([np.frombuffer(r, np.float16) for r in rows["content"].to_pylist()]).astype(np.float32)
-    metadata = np.stack([np.frombuffer(r, np.uint8) for r in rows["metadata"].to_pylist()]).astype(np.float32)
-    return co_train(content, metadata, rows["quality"].to_numpy(), rows["fold"].to_numpy(), max_false_rejection)
+    return co_train(matrix(rows["content"], np.float16), matrix(rows["metadata"], np.uint8), rows["quality"].to_numpy(),
+                    rows["fold"].to_numpy(), max_false_rejection)
+
+
+def matrix(column: pa.ChunkedArray, kind) -> np.ndarray:
+    """Rows of packed numbers as one matrix."""
+    out = None
+    for k, row in enumerate(column):
+        values = np.frombuffer(row.as_buffer(), kind)
+        out = np.zeros((len(column), len(values)), np.float32) if out is None else out
+        out[k] = values
+    return out
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
