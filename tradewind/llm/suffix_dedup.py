@@ -247,7 +247,7 @@ def windows_of(records: np.ndarray, shards: np.ndarray, length: int) -> tuple[np
 def settle_contexts(rows: pa.Table, length: int, routes: int) -> pa.Table:
     """Ranges from a shard of contexts, and the windows of hot contexts, packed for the merge.
 
-    Ranges pass the merge unchanged, so they stay on this shard's own route.
+    Ranges pass the merge unchanged on any route, so they are dealt evenly from this shard's own route on.
     """
     own = rows.column("route")[0].as_py()
     records = [np.frombuffer(v, RECORD) for v in rows.column("records").to_pylist()]
@@ -299,7 +299,7 @@ def settle_contexts(rows: pa.Table, length: int, routes: int) -> pa.Table:
         window_ranges(ranges, removed, length)
         order, route, lo, hi = dealt(kept["w1"], routes)
         out += [(r, -1, b"", kept[np.sort(order[a:b])].tobytes()) for r, a, b in zip(route.tolist(), lo, hi, strict=True)]
-    out += [(own, s, r, b"") for s, r in ranges.rows()]
+    out += [((own + k) % routes, s, r, b"") for k, (s, r) in enumerate(ranges.rows())]
     route, shard, found, sent = zip(*out, strict=True) if out else ((), (), (), ())
     return pa.table({"route": pa.array(route, pa.int64()), "shard": pa.array(shard, pa.int64()),
                      "ranges": pa.array(found, pa.binary()), "windows": pa.array(sent, pa.binary())})
