@@ -304,6 +304,39 @@ def test_certified_cutoffs_limit_false_rejections(spark):
     assert sum(not kept[r[0]] for r in good) <= 0.1 * len(good) and not any(kept[r[0]] for r in bad)
 
 
+def test_cutoffs_at_production_parameters(spark):
+    good, bad = [], []
+    for n, (lang, size) in enumerate([("de", 217), ("en", 900), ("fr", 300), (None, 250), ("", 140), ("pt", 100)]):
+        good += [(10000 * n + k, tables.prose(10000 * n + k, 40), lang, "s", 1) for k in range(size)]
+        bad += [(10000 * n + 5000 + k, " ".join(w + "###" for w in tables.prose(k, 40).split()), lang, "s", 1) for k in range(20)]
+    labels = spark.createDataFrame([(r[0], 1) for r in good] + [(r[0], 0) for r in bad], "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality_rules.judge(tables.frame(spark, good + bad, False), labels).collect()}
+    for lang in ("de", "en", "fr", None):
+        own = [r for r in good if r[2] == lang]
+        assert sum(not got[r[0]].kept for r in own) <= 0.02 * len(own), lang
+        assert not any(got[r[0]].kept for r in bad if r[2] == lang), lang
+    # too few rows for a test: the base rules alone decide, and the other strata lose nothing by it
+    assert all(got[r[0]].kept != got[r[0]].base_failed for r in good + bad if r[2] in ("", "pt"))
+    assert quality_rules.least_rows(0.02, 0.05) == 149 and quality_rules.least_rows(0.02, 0.05 / 4) == 217
+
+
+def test_rules_share_the_limit(spark):
+    """Rows rejected by different rules add up: no step is certified whose rules are harmless only one by one."""
+    columns = ("doc_id", "stratum", *quality_rules.COUNTS, *quality_rules.MEASURES)
+
+    def row(k):
+        shares = [0.95 if 1 <= k % 50 <= 2 and m == k % 50 else 0.0 for m in range(len(quality_rules.MEASURES))]
+        return (k, "en", 50, 250, 0, 0, 0, *shares)
+
+    df = spark.createDataFrame([row(k) for k in range(1000)], quality_rules.SCHEMA)
+    assert df.columns == list(columns)
+    labels = spark.createDataFrame([(k, 1) for k in range(1000)], "doc_id long, quality int")
+    one = {"capitals": quality_rules.RULES["capitals"]}
+    both = one | {"digits": quality_rules.RULES["digits"]}
+    assert quality_rules.cutoffs(df, labels, 0.04, 0.05, one).count() == 1
+    assert quality_rules.cutoffs(df, labels, 0.04, 0.05, both).count() == 0
+
+
 # --- empty tables ------------------------------------------------------------------------------
 
 

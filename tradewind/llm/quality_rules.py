@@ -1,13 +1,13 @@
 """Quality rules whose cutoffs come from labelled holdouts with a guaranteed limit on false rejections.
 
 Two fixed base rules reject first. Each further rule compares one measure of the text with a cutoff per stratum (the
-document's language). Labelled good rows that pass the base rules are the holdout. For a stratum and rule, cutoffs are
-tried from the loosest to the tightest, and the last is taken whose false rejections pass an exact binomial test: if the true
-rate were ``limit`` or more, so few rejections of good rows would have a chance of at most ``alpha``. Testing along one fixed
-order and stopping at the first failure needs no correction inside a sequence; ``alpha`` is divided by the
-number of sequences (rules x strata, Bonferroni), and the limit by the number of rules, so that with probability
-``1 - alpha`` all rules together wrongly reject at most ``limit`` of the good rows in every stratum. A stratum with too few
-labels has no cutoff and rejects by the base rules alone.
+document's language). Labelled good rows that pass the base rules are the holdout. A stratum has one sequence of steps, from
+the loosest to the tightest, and a step tightens all rules together; the last is taken whose false rejections, by any rule,
+pass an exact binomial test: if the true rate were ``limit`` or more, so few rejections of good rows would have a chance of at
+most ``alpha``. Testing along one fixed order and stopping at the first failure needs no correction inside a sequence, and all
+rules are counted at once, so only ``alpha`` is divided, by the number of strata that hold enough rows for any test: with
+probability ``1 - alpha`` all rules together wrongly reject at most ``limit`` of the good rows in every stratum. A stratum
+with fewer than ``least_rows`` has no cutoff and rejects by the base rules alone.
 
 Null and empty texts have no words, so the base rules reject them. Rows are never dropped or merged. A document whose labels
 disagree counts as good. Labels without a document, and null ids or labels, are ignored. Null strata form one stratum.
@@ -33,7 +33,8 @@ SYMBOLS = tx.lookup(lambda b: chr(b) in "#*$%&|<>")
 UPPER = tx.lookup(lambda b: 0x41 <= b <= 0x5A)
 DIGITS = tx.lookup(lambda b: 0x30 <= b <= 0x39)
 
-#: rule: (measure, cutoffs from the loosest to the tightest); a row is rejected where the measure is above the cutoff
+#: rule: (measure, cutoffs from the loosest to the tightest); a row is rejected where the measure is above the cutoff. The
+#: grids end at the same step, so shorter ones join the sequence later.
 SHARES = (0.9, 0.8, 0.7, 0.6, 0.5, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.175, 0.15, 0.125, 0.1, 0.08, 0.06, 0.05, 0.04, 0.03, 0.02)
 RULES = {
     "symbols": ("symbol_share", SHARES),
@@ -115,6 +116,11 @@ def certified(rejected: list[int], total: int, limit: float, alpha: float) -> in
     return len(rejected)
 
 
+def least_rows(limit: float, alpha: float) -> int:
+    """The fewest good rows of which none is rejected that pass the test."""
+    return max(1, math.ceil(math.log(alpha) / math.log1p(-limit) - 1e-9))
+
+
 def with_measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
     """(doc_id, stratum, counts, measures) of every row."""
     narrow = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(stratum_col).cast("string").alias("stratum"),
@@ -136,34 +142,34 @@ def base_failed():
 
 
 def cutoffs(measured: DataFrame, labels: DataFrame, limit: float, alpha: float, rules: dict = RULES) -> DataFrame:
-    """(stratum, rule, cutoff): one row for each sequence that certifies a cutoff."""
+    """(stratum, rule, cutoff): the rules of the tightest certified step of each stratum that certifies one."""
     good = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
             .where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
             .where("quality = 1").select("doc_id"))
     holdout = measured.where(~base_failed()).join(good, "doc_id", "left_semi")
+    steps = max(len(grid) for _, grid in rules.values())
 
     def cutoffs_below(measure_name, grid):
-        below = [F.when(F.col(measure_name) > float(c), 1).otherwise(0) for c in grid]
-        return reduce(operator.add, below).alias("above")
+        return reduce(operator.add, [F.when(F.col(measure_name) > float(c), 1).otherwise(0) for c in grid])
 
-    bins = F.array(*[F.struct(F.lit(name).alias("rule"), cutoffs_below(*rule)) for name, rule in rules.items()])
-    counts = stored(holdout.select("stratum", F.explode(bins).alias("b")).groupBy("stratum", "b.rule", "b.above")
-                    .agg(F.count("*").alias("n")), "histogram")  # bounded by strata x rules x cutoffs
-    strata = counts.agg(F.count_distinct(F.coalesce("stratum", F.lit(""))).alias("strata")).scalar()
-    share, n_rules = limit / len(rules), len(rules)
+    # the grids end together, so a row is rejected by some rule in as many of the last steps as the strictest rule says
+    above = reduce(lambda a, b: F.greatest(a, b), [cutoffs_below(*rule) for rule in rules.values()])
+    counts = stored(holdout.select("stratum", above.alias("above")).groupBy("stratum", "above")
+                    .agg(F.count("*").alias("n")), "histogram")  # bounded by strata x steps
+    # how many rows a stratum has says nothing about how many of them are rejected
+    strata = (counts.groupBy("stratum").agg(F.sum("n").alias("n")).where(F.col("n") >= least_rows(limit, alpha))
+              .agg(F.count("*").alias("strata")).scalar())
 
     def choose(group: pd.DataFrame) -> pd.DataFrame:
-        name = group["rule"].iloc[0]
-        grid = rules[name][1]
-        above = np.zeros(len(grid) + 1, np.int64)
-        np.add.at(above, group["above"].to_numpy(), group["n"].to_numpy())
-        # the measure of a row in bin j is above the j tightest of the descending cutoffs
-        rejected = [int(above[len(grid) - k:].sum()) for k in range(len(grid))]
-        passed = certified(rejected, int(above.sum()), share, alpha / (n_rules * int(group["strata"].iloc[0])))
-        out = [(group["stratum"].iloc[0], name, grid[passed - 1])] if passed else []
+        last = np.zeros(steps + 1, np.int64)
+        np.add.at(last, group["above"].to_numpy(), group["n"].to_numpy())
+        rejected = [int(last[steps - k:].sum()) for k in range(steps)]
+        passed = certified(rejected, int(last.sum()), limit, alpha / max(1, int(group["strata"].iloc[0])))
+        out = [(group["stratum"].iloc[0], name, grid[passed - 1 - steps + len(grid)])
+               for name, (_, grid) in rules.items() if passed > steps - len(grid)]
         return pd.DataFrame(out, columns=["stratum", "rule", "cutoff"])
 
-    return (counts.withColumn("strata", strata).groupBy("stratum", "rule")
+    return (counts.withColumn("strata", strata).groupBy("stratum")
             .applyInPandas(choose, "stratum string, rule string, cutoff double"))
 
 
