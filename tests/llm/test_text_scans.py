@@ -248,6 +248,67 @@ def test_structure_must_hold():
     assert secrets.base_digest([]) == hashlib.sha256(b"").hexdigest()
 
 
+SCRYPT = der(0x30, der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x05\x0d"), der(0x30, der(4, b"saltsalt"), der(2, b"\x08")))
+ENCRYPTED = der(0x30, SCRYPT, der(4, b"\xff" * 96 + b"\xfb\xef\xbe\xfb" * 12))
+ENCRYPTED64 = base64.b64encode(ENCRYPTED).decode()
+
+
+def wrap(run, width=64, end="\n"):
+    return end.join(run[k:k + width] for k in range(0, len(run), width))
+
+
+def openssh():
+    def field(x):
+        return len(x).to_bytes(4, "big") + x
+
+    return (b"openssh-key-v1\0" + field(b"none") * 2 + field(b"") + (1).to_bytes(4, "big") + field(b"\1" * 51) + field(b"\2" * 136))
+
+
+def test_encrypted_keys():
+    assert secrets.is_der_key(ENCRYPTED) and not secrets.is_der_key(ENCRYPTED[:-1]) and not secrets.is_der_key(ENCRYPTED + b"\0")
+    digest = der(0x30, der(0x30, der(6, b"\x60\x86\x48\x01\x65\x03\x04\x02\x01"), der(5)), der(4, b"\7" * 32))
+    assert not secrets.is_der_key(digest)
+    block = "-----BEGIN ENCRYPTED PRIVATE KEY-----\n" + wrap(ENCRYPTED64) + "\n-----END ENCRYPTED PRIVATE KEY-----"
+    assert ("pem", 2, 2 + len(block)) in secrets.find_spans("a " + block + " b")
+
+
+def test_pem_header_lines():
+    def block(head, body, end="\n"):
+        return f"-----BEGIN RSA PRIVATE KEY-----{end}{head}{body}{end}-----END RSA PRIVATE KEY-----"
+
+    def whole(text):
+        return ("pem", 0, len(text)) in secrets.find_spans(text)
+
+    legacy = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233445566778899AABBCCDDEEFF\n\n"
+    cipher = wrap(base64.b64encode(b"\xa5" * 608).decode())
+    assert whole(block(legacy, cipher)) and whole(block(legacy.replace("\n", "\r\n"), cipher, "\r\n"))
+    assert whole(block(legacy.replace("\n", "\\n"), cipher.replace("\n", "\\n"), "\\n"))
+    assert whole(block("Comment: mine\n\n", wrap(KEY64))) and whole(block("", wrap(KEY64)))
+    # the cipher's blocks must fill the body, and only a named cipher excuses it from being a key
+    assert not whole(block(legacy, wrap(base64.b64encode(b"\xa5" * 607).decode())))
+    assert not whole(block("Comment: mine\n\n", cipher)) and not whole(block("", cipher))
+
+
+def test_url_safe_and_wrapped_keys():
+    def spans(text):
+        return [(a, b) for kind, a, b in secrets.find_spans(text) if kind == "der"]
+
+    url = base64.urlsafe_b64encode(ENCRYPTED).decode()
+    assert set("-_") & set(url)
+    for run in (url, url.rstrip("="), KEY64):
+        assert spans(f"k {run} end") == [(2, 2 + len(run))]
+        for width in (20, 64, 76):
+            for end in ("\n", "\r\n", "\n  ", "\\n"):
+                text = wrap(run, width, end)
+                assert spans(f"k {text} end") == [(2, 2 + len(text))], (width, end)
+                assert spans(f"{'x' * 30}\n{text}\nThen prose") == [(31, 31 + len(text))], (width, end)
+    ssh = wrap(base64.b64encode(openssh()).decode(), 70)
+    assert spans(f"k {ssh}\nThen prose") == [(2, 2 + len(ssh))]
+    assert spans(wrap(KEY64[:-8]) + "\nThen prose") == [] and spans(wrap("M" * 400) + "\n" + wrap("A" * 400)) == []
+    assert spans(f"k {KEY64}-tail") == [(2, 2 + len(KEY64))]
+    assert secrets.redact(f"k {wrap(url)} end", secrets.find_spans(f"k {wrap(url)} end")) == "k [SECRET] end"
+
+
 def test_redaction_keeps_rows_and_columns(spark, rows):
     df = tables.frame(spark, rows + [(901, "a token=abcdef b", "en", "s", 16)])
     got = secrets.redact_secrets(df)

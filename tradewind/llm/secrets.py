@@ -3,7 +3,9 @@
 Three base kinds need no confirmation (``assign``, ``access``, ``hex``). Everything else is a candidate that counts only
 if it decodes and its inside holds together: PEM blocks and bare base64 or hex runs must parse as a DER tree whose
 nested lengths fill each other exactly, an OpenSSH key by its magic and length-prefixed fields, a signed token by
-a JSON header naming its algorithm and a JSON payload, basic credentials by a printable ``user:password``.
+a JSON header naming its algorithm and a JSON payload, basic credentials by a printable ``user:password``. PEM blocks
+encrypted under header lines hold no tree: they must name a cipher, and its blocks must fill the body. Base64 may use either
+alphabet and may be wrapped over lines; a wrapped key ends where its own length says, at the end of a line.
 
 A numpy pass over a batch's bytes picks the texts that can hold a match at all (a long run of key characters, or ``:``
 or ``=``); only those are scanned, whole. Null and empty texts have no spans. Every row is kept, repeated ids included.
@@ -34,8 +36,13 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{48,}(?![0-9A-Fa-f])")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s\\]+)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[^-]++|-(?!----))++)-----END \1-----")
+LINE_END = re.compile(r"\r\n|\n|\r|\\r\\n|\\n|\\r")
+CIPHER = re.compile(r"([A-Z0-9-]+),((?:[0-9A-Fa-f]{2})+)")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/]{40,}={0,2}")
+URL_BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9_-]{40,}={0,2}")
+LINE = re.compile(r"[A-Za-z0-9+/_-]+")
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+(?:[ \t]*+(?:\r\n|\n|\r|\\r\\n|\\n)[ \t]*+[A-Za-z0-9+/_-]++)++")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 BASIC = re.compile(r"\b[Bb]asic\x20+([A-Za-z0-9+/]{8,}={0,2})")
 MIN_GROUP, MIN_ACCESS, MIN_HEX = 6, 20, 24
@@ -85,13 +92,18 @@ def well_nested(data: bytes, lo: int, hi: int, depth: int = 0) -> bool:
 
 
 def is_der_key(data: bytes | None) -> bool:
-    """A DER sequence opening with a small version number, as every private key form does, nested to the last byte."""
+    """A DER sequence nested to the last byte: a small version number first, as in every plain private key form, or an
+    encrypted key, an algorithm with its parameters and then the ciphertext."""
     if not data or data[0] != 0x30:
         return False
     top = der_children(data, 0, len(data))
     if not top or len(top) != 1 or not well_nested(data, 0, len(data)):
         return False
     inner = der_children(data, top[0][1], top[0][2]) or []
+    if len(inner) == 2 and inner[0][0] == 0x30 and inner[1][0] == 0x04:
+        algorithm = der_children(data, inner[0][1], inner[0][2]) or []
+        # a digest has the same form, but no sequence of parameters
+        return [tag for tag, _, _ in algorithm] == [0x06, 0x30] and inner[1][2] > inner[1][1]
     if len(inner) < 2 or inner[0][0] != 0x02 or inner[0][2] - inner[0][1] != 1:
         return False
     return data[inner[0][1]] <= 3 and any(tag in (0x02, 0x04) for tag, _, _ in inner[1:])
@@ -110,6 +122,100 @@ def is_openssh_key(data: bytes | None) -> bool:
     return at + 4 <= len(data) and 1 <= int.from_bytes(data[at:at + 4], "big") <= 16
 
 
+def is_key(data: bytes | None) -> bool:
+    return is_der_key(data) or is_openssh_key(data)
+
+
+def is_pem_key(body: str) -> bool:
+    """A key between the marks of a PEM block, below header lines or not."""
+    lines = [line.strip() for line in LINE_END.split(body.strip())]
+    headers = [k for k, line in enumerate(lines) if ":" in line]
+    if not headers:
+        return is_key(decode64("".join("".join(lines).split())))
+    # a header may go on over lines; an empty line ends them all, if there is one
+    first = headers[-1] + 1
+    ends = {first, next((k for k in range(first, len(lines)) if not lines[k]), first)}
+    for end in ends:
+        data = decode64("".join("".join(lines[end:]).split()))
+        if is_key(data):
+            return True
+        head = "".join("".join(lines[:end]).split())
+        cipher = CIPHER.search(head, head.find("DEK-Info:") + len("DEK-Info:")) if "DEK-Info:" in head else None
+        if data and cipher and "Proc-Type:4,ENCRYPTED" in head:
+            block = len(cipher[2]) // 2 if cipher[1].endswith(("-CBC", "-ECB")) else 1
+            if len(data) % block == 0:
+                return True
+    return False
+
+
+def key_size(head: bytes, data) -> int | None:
+    """Bytes of the key that opens with ``head``, by its own length fields; ``data(n)`` has the first n bytes, if there are any."""
+    if head[:1] == b"\x30":
+        size, at = head[1], 2
+        if size >= 0x80:
+            width = size & 0x7F
+            if not 1 <= width <= 4:
+                return None
+            size, at = int.from_bytes(head[2:2 + width], "big"), 2 + width
+        # a version number or an algorithm comes first
+        return at + size if head[at] in (0x02, 0x30) else None
+    if not b"openssh-key-v1\0".startswith(head):
+        return None
+    whole = data(None)
+    if not is_openssh_key(whole):
+        return None
+    at = 15
+    for field in range(3):
+        at += 4 + int.from_bytes(whole[at:at + 4], "big")
+    at, keys = at + 4, int.from_bytes(whole[at:at + 4], "big")
+    for _ in range(keys + 1):  # the public keys and the private part
+        at += 4 + int.from_bytes(whole[at:at + 4], "big")
+    return at if at <= len(whole) else None
+
+
+def wrapped_keys(text: str) -> list[tuple[int, int]]:
+    """(start, end) of base64 keys that go over several lines."""
+    out = []
+    for m in WRAPPED.finditer(text):
+        # a line end may be written as \\n, whose letter is no part of the next line
+        pieces, at = [], m.start()
+        while at < m.end():
+            line = LINE.match(text, at)
+            pieces.append(line.span())
+            at = line.end()
+            while at < m.end() and not (gap := LINE_END.match(text, at)):
+                at += 1
+            if at < m.end():
+                at = gap.end()
+                while at < m.end() and text[at] in " \t":
+                    at += 1
+        run = "".join(text[a:b] for a, b in pieces)
+        ends = np.cumsum([b - a for a, b in pieces]).tolist()  # of the lines, in characters of the run
+        k = 0
+        while k < len(pieces):
+            lo = ends[k - 1] if k else 0
+            last = None
+            if run.startswith(("M", "b3BlbnNzaC1r"), lo) and len(run) - lo >= 40:
+                head = decode64(run[lo:lo + 12])
+                size = key_size(head, lambda n: decode64(run[lo:lo + (len(run) - lo) // 4 * 4 + 4])) if head else None
+                chars = -(-size * 8 // 6) if size else 0
+                hi = lo + chars
+                if size and hi <= len(run) and chars >= 40:
+                    last = int(np.searchsorted(ends, hi))
+                    # one line alone is the business of the other patterns
+                    if ends[last] != hi or last == k or not is_key(decode64(run[lo:hi])):
+                        last = None
+            if last is None:
+                k += 1
+                continue
+            end = pieces[last][1]
+            for _ in range(-chars % 4):
+                end += text[end:end + 1] == "="
+            out.append((pieces[k][0], end))
+            k = last + 1
+    return out
+
+
 def json_object(run: str) -> dict | None:
     data = decode64(run)
     try:
@@ -140,13 +246,14 @@ def find_spans(text: str) -> list[tuple[str, int, int]]:
     found += [("hex", *m.span()) for m in HEX.finditer(text) if m.end() - m.start() >= MIN_HEX]
     if "-----BEGIN " in text:
         for m in PEM.finditer(text):
-            data = decode64(re.sub(r"\s|\\n|\\r", "", m[2]))
-            if is_der_key(data) or is_openssh_key(data):
+            if is_pem_key(m[2]):
                 found.append(("pem", *m.span()))
-    for m in BASE64.finditer(text):
-        data = decode64(m[0])
-        if is_der_key(data) or is_openssh_key(data):
-            found.append(("der", *m.span()))
+    keys = wrapped_keys(text)
+    whole = tuple(keys)
+    for m in {m.span(): m for form in (BASE64, URL_BASE64) for m in form.finditer(text)}.values():
+        if is_key(decode64(m[0])) and not any(a <= m.start() and m.end() <= b for a, b in whole):
+            keys.append(m.span())
+    found += [("der", *span) for span in keys]
     for m in ANY_HEX.finditer(text):
         if len(m[0]) % 2 == 0 and m[0].startswith("30") and is_der_key(bytes.fromhex(m[0])):
             found.append(("derhex", *m.span()))
@@ -163,9 +270,9 @@ def may_match(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     hits = np.concatenate([starts[ends - starts >= MIN_ACCESS], np.flatnonzero(SIGN_BYTES[data])])
     flags = np.zeros(len(offsets) - 1, bool)
     flags[tx.row_of(hits, offsets)] = True
-    if len(data):  # basic credentials may be shorter than any key
+    if len(data):  # basic credentials and the lines of a PEM block may be shorter than any key
         raw = data.tobytes()
-        flags[tx.row_of(np.array([m.start() for m in re.finditer(rb"asic ", raw)], np.int64), offsets)] = True
+        flags[tx.row_of(np.array([m.start() for m in re.finditer(rb"asic |PRIVATE KEY-----", raw)], np.int64), offsets)] = True
     return flags
 
 
