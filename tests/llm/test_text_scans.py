@@ -196,6 +196,53 @@ def test_license_suppression_by_priority_and_containment():
     assert len(RULES) > 200
 
 
+def samples(items):
+    """Texts that a parsed pattern matches: every branch, options with and without."""
+    found = [b""]
+    for op, value in items:
+        op = str(op)
+        if op == "LITERAL":
+            some = [bytes([value])]
+        elif op == "IN":
+            some = [bytes([x if str(kind) == "LITERAL" else x[0]]) for kind, x in value]
+        elif op == "SUBPATTERN":
+            some = samples(value[-1])
+        elif op == "BRANCH":
+            some = [x for branch in value[1] for x in samples(branch)]
+        elif op == "MAX_REPEAT":
+            assert value[:2] == (0, 1)
+            some = [b"", *samples(value[2])]
+        else:
+            assert op == "ASSERT_NOT", op
+            some = [b""]
+        found = [a + b for a in found for b in some]
+    return found
+
+
+def scanned(text, rules=RULES):
+    data = np.frombuffer(text.encode() if isinstance(text, str) else text, np.uint8)
+    return next(licenses.Scanner(rules).scan(data, np.array([0, len(data)])))
+
+
+def test_every_rule_passes_its_own_gate():
+    for rule in RULES:
+        texts = samples(re._parser.parse(rule.pattern.pattern))
+        for text in texts:
+            assert rule.pattern.fullmatch(text) and rule.keyword.encode() in text.split(b" "), (rule.name, text)
+        assert [d["rule"] for d in scanned(min(texts, key=len), [rule])[-1]] == [rule.name]
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("Expat License", "mit"), ("under the Expat licence", "mit"), ("GPLv3", "gpl-3.0"), ("LGPLv2.1+", "lgpl-2.1"),
+    ("released under the GNU GPLv2 or any later version", "gpl-2.0"), ("MPL2", "mpl-2.0"), ("AGPLv3 license", "agpl-3.0"),
+    ("SPDX-License-Identifier: MIT", "mit"), ("SPDX-License-Identifier: ISC", "isc"),
+    ("SPDX-License-Identifier: BSD-3-Clause", "bsd-3-clause"), ("SPDX-License-Identifier: 0BSD", "bsd-0-clause"),
+    ("SPDX-License-Identifier: EPL-2.0", "epl-2.0"), ("SPDX-License-Identifier: GPL-2.0-only", "gpl-2.0"),
+    ("restart apache2", ""), ("SPDX-License-Identifier: NONE", "")])
+def test_license_names(text, labels):
+    assert scanned(text)[5] == labels
+
+
 # --- secrets -----------------------------------------------------------------------------------
 
 

@@ -1,6 +1,6 @@
 """Signature rules of the licence scan, over a text's lower-case words joined by single spaces.
 
-``2.0`` is two words, ``2 0``; ``cc-by-sa`` is three. A family states its keyword, how its name is written and its versions;
+``2.0`` is two words, ``2 0``; ``cc-by-sa`` is three; ``GPLv3`` is one. A family states its keyword, how its name is written and its versions;
 the forms below turn every family and version into one rule each. Earlier forms have priority over later ones.
 """
 
@@ -50,7 +50,8 @@ FAMILIES = (
     ("rpl", "reciprocal", "reciprocal public", ("1.1", "1.5")),
     ("cpal", "attribution", "common public attribution", ("1.0",)),
     ("mulan", "mulan", "mulan (?:psl|permissive software)", ("1.0", "2.0")),
-    ("mit", "mit", "(?:mit|expat)", ()),
+    ("mit", "mit", "mit", ()),
+    ("mit", "expat", "expat", ()),
     ("isc", "isc", "isc", ()),
     ("bsd", "bsd", "(?:(?:new|revised|modified|simplified|original) )?bsd", ()),
     ("bsd-0-clause", "bsd", "(?:0|zero) clause bsd", ()),
@@ -78,6 +79,35 @@ FAMILIES = (
     ("polyform", "polyform", "polyform (?:noncommercial|small business|shield|strict|perimeter)", ()),
 )
 
+#: (label, acronym, versions) of names that a version may follow without a gap; each form is a keyword of its own
+JOINED = (
+    ("apache", "apachev", ("1.0", "1.1", "2.0")),  # apache2 names a web server
+    *[(label, acronym, versions) for label, name, versions in (
+        ("gpl", "gpl", ("1.0", "2.0", "3.0")), ("lgpl", "lgpl", ("2.0", "2.1", "3.0")), ("agpl", "agpl", ("1.0", "3.0")),
+        ("gfdl", "gfdl", ("1.1", "1.2", "1.3")), ("mpl", "mpl", ("1.0", "1.1", "2.0")), ("epl", "epl", ("1.0", "2.0")),
+        ("cddl", "cddl", ("1.0", "1.1")), ("eupl", "eupl", ("1.0", "1.1", "1.2")), ("afl", "afl", ("1.1", "2.0", "2.1", "3.0")),
+        ("osl", "osl", ("1.0", "2.0", "2.1", "3.0")), ("apsl", "apsl", ("1.0", "1.1", "2.0")), ("zpl", "zpl", ("1.1", "2.0", "2.1")),
+        ("ofl", "ofl", ("1.0", "1.1")), ("cecill", "cecill", ("1.0", "2.0", "2.1")), ("sspl", "sspl", ("1.0",)),
+    ) for acronym in (name + "v", name)],
+)
+
+#: (label, identifier, versions) of SPDX lines whose identifier is not a family's name before a version
+IDENTIFIERS = (
+    ("mit", "(?:mit|expat)", ()), ("mit-0", "mit 0", ()), ("isc", "isc", ()), ("bsd-0-clause", "0bsd", ()),
+    ("bsd-2-clause", "bsd 2 clause", ()), ("bsd-3-clause", "bsd 3 clause", ()), ("bsd-4-clause", "bsd 4 clause", ()),
+    ("zlib", "zlib", ()), ("x11", "x11", ()), ("ncsa", "ncsa", ()), ("postgresql", "postgresql", ()), ("openssl", "openssl", ()),
+    ("ruby", "ruby", ()), ("vim", "vim", ()), ("w3c", "w3c", ()), ("unicode", "unicode(?: dfs 201[56]| 3 0| tou)?", ()),
+    ("ms-pl", "ms pl", ()), ("ms-rl", "ms rl", ()), ("qpl", "qpl(?: 1 0)?", ()), ("json", "json", ()), ("beerware", "beerware", ()),
+    ("wtfpl", "wtfpl", ()), ("hpnd", "hpnd", ()), ("upl", "upl(?: 1 0)?", ()), ("blue-oak", "blueoak 1 0 0", ()),
+    ("polyform", "polyform (?:noncommercial|small business) 1 0 0", ()), ("unlicense", "unlicense", ()),
+    ("gfdl", "gfdl", ("1.1", "1.2", "1.3")), ("epl", "epl", ("1.0", "2.0")), ("cpl", "cpl", ("1.0",)), ("ipl", "ipl", ("1.0",)),
+    ("afl", "afl", ("1.1", "2.0", "2.1", "3.0")), ("osl", "osl", ("1.0", "2.0", "2.1", "3.0")),
+    ("apsl", "apsl", ("1.0", "1.1", "2.0")), ("zpl", "zpl", ("1.1", "2.0", "2.1")), ("boost", "bsl", ("1.0",)),
+    ("busl", "busl", ("1.0", "1.1")), ("sspl", "sspl", ("1.0",)), ("odbl", "odbl", ("1.0",)), ("odc-by", "odc by", ("1.0",)),
+    ("python", "psf", ("2.0",)), ("ecl", "ecl", ("1.0", "2.0")), ("lppl", "lppl", ("1.0", "1.1", "1.2", "1.3", "1.3a", "1.3c")),
+    ("nasa", "nasa", ("1.3",)), ("rpl", "rpl", ("1.1", "1.5")), ("cpal", "cpal", ("1.0",)), ("mulan", "mulanpsl", ("1.0", "2.0")),
+)
+
 #: (word form of the terms, label)
 CREATIVE = (
     ("by", "by"), ("by sa", "by-sa"), ("by nc", "by-nc"), ("by nd", "by-nd"), ("by nc sa", "by-nc-sa"),
@@ -147,15 +177,25 @@ def build_rules() -> tuple[Rule, ...]:
 
     for label, keyword, words in NOTICES:
         add(label, keyword, 0, words)
+    later = "(?: or(?: at your option)?(?: any)? later(?: version)?)?"
     for label, keyword, name, versions in FAMILIES:
         for version in versions:
             full, v = f"{label}-{version}", f"(?:v(?:ersion)? ?)?{words_of(version)}"
-            later = "(?: or(?: at your option)?(?: any)? later(?: version)?)?"
             add(full, keyword, 1, f"(?:licen[sc]ed|released|distributed|available) under (?:the )?(?:terms of the )?{name}(?: licen[cs]e)? {v}{later}")
             add(full, keyword, 2, f"spdx license identifier {name} {words_of(version)}(?: only| or later)?")
             add(full, keyword, 3, f"{name}(?: licen[cs]e)? {v}{later}")
         add(label, keyword, 4, f"(?:licen[sc]ed|released|distributed|available) under (?:the |an? )?(?:terms of the )?{name}(?: style)? licen[cs]e")
         add(label, keyword, 5, f"{name}(?: style)? licen[cs]e")
+    for label, acronym, versions in JOINED:
+        for version in versions:
+            full, keyword, name = f"{label}-{version}", acronym + version[0], f"(?:gnu )?{acronym}{words_of(version)}"
+            add(full, keyword, 1, f"(?:licen[sc]ed|released|distributed|available) under (?:the )?(?:terms of the )?{name}(?: licen[cs]e)?{later}")
+            add(full, keyword, 3, f"{name}(?: licen[cs]e)?{later}")
+    for label, identifier, versions in IDENTIFIERS:
+        for version in versions:
+            add(f"{label}-{version}", "spdx", 2, f"spdx license identifier {identifier} {words_of(version)}(?: only| or later)?")
+        if not versions:
+            add(label, "spdx", 2, f"spdx license identifier {identifier}")
     for terms, label in CREATIVE:
         for version in CREATIVE_VERSIONS:
             full, v = f"cc-{label}-{version}", words_of(version)
