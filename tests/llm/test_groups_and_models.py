@@ -227,6 +227,34 @@ def test_main_text_of_a_page():
     assert html_extract.extract("<article><p>Text, and more.</p><article class=comment><p>No, not this.</p></article></article>") == "Text, and more."
 
 
+ARTICLE = "<article><h1>Head</h1><p>First para, with some text. And more, of it.</p><p>Second para, as long. Yes, it is.</p></article>"
+ARTICLE_TEXT = "Head\n\nFirst para, with some text. And more, of it.\n\nSecond para, as long. Yes, it is."
+
+
+@pytest.mark.parametrize("open_tag", [
+    "<div class='content no-sidebar'>", "<div class='layout-with-sidebar'>", "<div id=has-comments>", "<div class=social-news>",
+    "<div class='sidebar'>", "<div class='wrap related'>", "<div role=search>", "<form>", "<div class=comments>"])
+def test_a_name_does_not_silence_the_article(open_tag):
+    page = f"<body><nav><a href=/>Home</a></nav>{open_tag}{{}}</{open_tag[1:].split()[0].rstrip('>')}><div class=ad>Buy, now. Now!</div></body>"
+    assert html_extract.extract(page.format(ARTICLE)) == ARTICLE_TEXT
+    # most of the text, without an article
+    assert html_extract.extract(page.format(ARTICLE[9:-10])) == ARTICLE_TEXT
+
+
+def test_names_still_silence_what_is_around_the_article():
+    for part in ("<div class=comments><article class=comment-body><p>I think, so. Yes, it is great.</p></article></div>",
+                 "<div class=comments><article><p>I think, so. Yes, it is great, really so.</p></article></div>",
+                 "<div id=sidebar><p>Side text, and more. Indeed.</p></div>", "<form><p>Email, please. Now.</p></form>"):
+        assert html_extract.extract(f"<body>{ARTICLE}{part}</body>") == ARTICLE_TEXT
+    inline = "<article><p>Text, and more of it.<span class=ad> Buy!</span> Then the end, of it.</p></article>"
+    assert html_extract.extract(inline) == "Text, and more of it. Then the end, of it."
+
+
+def test_ratios_decide_inside_an_article():
+    links = "<ul>" + "".join(f"<li><a href=/{k}>See also this page number {k}</a></li>" for k in range(9)) + "</ul>"
+    assert html_extract.extract(f"<main>{ARTICLE[9:-10]}{links}</main>") == ARTICLE_TEXT
+
+
 def test_pages_keep_all_rows(spark):
     deep = "<div>" * 3000 + "deep, text." + "</div>" * 3000
     rows = [(1, "u", PAGE), (2, None, None), (3, "u", ""), (3, "u", ""), (None, "v", "<"), (4, "w", "plain, text."), (5, "w", deep),

@@ -3,9 +3,11 @@
 A page becomes blocks of text in page order, each with its path of block elements from the root. Per distinct path
 the text outside links and its punctuation are summed and divided by the number of blocks on the path. Both ratios are
 smoothed along the page, fused as a geometric mean, and the paths above a threshold relative to the page's mean are
-content. A content block brings in its surroundings: everything in the article it stands in, or else everything
-below its parent, so that headings and short paragraphs stay. Elements that are not content by their meaning (menus,
-sidebars, forms, scripts, adverts, notices, reader comments, hidden parts) never count.
+content. A content block brings in its surroundings: the article it stands in, or else what is below its parent, where
+headings and paths above a lower threshold stay, so short paragraphs do and lists of links do not. Elements that are not
+content by their tag (menus, sidebars, scripts, hidden parts) never count. Those whose role or whole class or id says so
+(adverts, notices, reader comments; forms and page headers too) don't count either, unless they hold an article or most of
+the page's text outside links: then the ratios alone decide.
 
 Inline markup does not end a block; a line break is white space. Unclosed and misnested tags are tolerated: a new block ends an open
 paragraph, an end tag closes what is open inside it. Null or empty html gives an empty text. Every row is kept.
@@ -26,37 +28,46 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BREAKS = frozenset("br hr img wbr".split())
 SILENT = frozenset("script style noscript template iframe svg math head title object canvas audio video select option "
-                   "textarea button datalist nav aside form footer dialog menu".split())
+                   "textarea button datalist nav aside footer dialog menu".split())
 ARTICLE = frozenset("article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSES_ITSELF = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"),
                  "th": ("tr", "table"), "option": ("select",)}
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar".split())
-#: words in a class or id that name parts which are not the article
+#: classes and ids that name parts which are not the article
 NAMES = frozenset("ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion sidebar aside menu nav "
                   "navbar navigation breadcrumb breadcrumbs footer comment comments disqus respond reply replies cookie cookies consent "
                   "gdpr notice notices notification banner popup modal overlay newsletter subscribe subscription signup login share "
-                  "sharing social related recommended pagination pager toolbar widget copyright skip search masthead".split())
-COMMENT_NAMES = frozenset("comment comments disqus respond reply replies".split())
+                  "sharing social related recommended pagination pager toolbar widget copyright skip search masthead "
+                  "ad-banner cookie-banner cookie-notice cookie-consent site-footer page-footer main-nav site-nav comment-list comment-body "
+                  "related-posts social-share share-buttons newsletter-signup".split())
+COMMENT_NAMES = frozenset("comment comments disqus respond reply replies comment-list comment-body".split())
 OUTSIDE_NAMES = frozenset("header topbar".split())  # parts of an article too, if they stand inside one
 PUNCTUATION = frozenset(".,;:!?…。，、；：！？¿¡")
 THRESHOLD = 0.25
+INSIDE = 0.05  # the threshold in what a content block brings in
 RADIUS = 1
 
 
-def words_of(value: str | None) -> set[str]:
-    cleaned = "".join(c if c.isalnum() else " " for c in (value or "").lower())
-    return set(cleaned.split())
+def names_of(value: str | None) -> set[str]:
+    return set((value or "").lower().split())
 
 
 class Element:
-    __slots__ = ("tag", "parent", "path", "silent", "article")
+    __slots__ = ("tag", "parent", "path", "silent", "article", "named", "doubtful", "plain", "holds", "dropped")
 
-    def __init__(self, tag: str, parent: "Element | None", silent: bool, paths: dict):
+    def __init__(self, tag: str, parent: "Element | None", silent: bool, paths: dict, named: bool = False):
         self.tag, self.parent = tag, parent
         self.path = paths.setdefault((parent.path if parent else -1, tag), len(paths))  # a number for each distinct path
         self.silent = silent or bool(parent and parent.silent)
         self.article = self if tag in ARTICLE else parent.article if parent else None
+        self.named = named
+        self.doubtful = self if named else parent.doubtful if parent else None  # the nearest named element
+        self.plain, self.holds, self.dropped = 0, False, False
+
+    def around(self) -> "Element | None":
+        """The nearest named element around a named one."""
+        return self.parent.doubtful if self.parent else None
 
 
 class Block:
@@ -69,36 +80,78 @@ class Block:
 
 
 class Page(HTMLParser):
-    """Collects a page's blocks. Silent elements give no text; inline ones stand on the stack only while they are silent."""
+    """Collects a page's blocks. Silent elements give no text, named ones only if they are not dropped at the end; inline ones
+    stand on the stack only while they are either."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.paths: dict[tuple[int, str], int] = {}
         self.open = [Element("", None, False, self.paths)]
         self.links = 0
-        self.pieces: list[str] = []
-        self.linked = 0
-        self.owner = self.open[0]
+        self.pieces: list[tuple[Element | None, str, int]] = []  # where, text, characters in links
+        self.parts: list[list[tuple[Element | None, str, int]]] = []
+        self.doubts: list[Element] = []  # named elements, outer ones first
         self.blocks: list[Block] = []
 
     def end_block(self):
-        text = " ".join("".join(self.pieces).split())
-        if text:
-            self.blocks.append(Block(self.owner, text, self.linked))
-        self.pieces, self.linked = [], 0
+        if self.pieces:
+            self.parts.append(self.pieces)
+        self.pieces = []
 
     def close(self):
         super().close()
         self.end_block()
+        self.drop_named()
+        for part in self.parts:
+            kept = [p for p in part if not (p[0] and p[0].doubtful and p[0].doubtful.dropped)]
+            text = " ".join("".join(p[1] for p in kept).split())
+            if text:
+                owner = next((p[0] for p in kept if p[0]), self.open[0])
+                while owner.tag in INLINE:
+                    owner = owner.parent
+                self.blocks.append(Block(owner, text, sum(p[2] for p in kept)))
+
+    def drop_named(self):
+        """A named element goes, unless it holds an article or most of the page's text outside links. Comments may be
+        articles themselves: around them, only the page's single articles count."""
+        total, elsewhere = 0, False
+        for element, data, linked in (p for part in self.parts for p in part if p[0] and p[1].strip()):
+            plain = 0 if linked else len(data.strip())
+            total += plain
+            if element.doubtful:
+                element.doubtful.plain += plain
+            if element.article and not element.article.named:
+                outside = element.article.parent.doubtful
+                if outside:
+                    outside.holds = True
+                else:
+                    elsewhere = True
+        for e in reversed(self.doubts):
+            outer = e.around()
+            if outer:
+                outer.plain += e.plain
+                outer.holds |= e.holds
+        for e in self.doubts:
+            outer = e.around()
+            mine = e.holds and not (e.dropped and elsewhere)  # comments come marked
+            e.dropped = bool(outer and outer.dropped) or not mine and 2 * e.plain <= total
+
+    def opened(self, tag, attrs) -> Element:
+        named, comments = self.is_named(tag, attrs)
+        element = Element(tag, self.open[-1], self.is_silent(tag, attrs), self.paths, named)
+        if named:
+            element.dropped = comments
+            self.doubts.append(element)
+        return element
 
     def handle_starttag(self, tag, attrs):
         if tag == "a":
             self.links += 1
         if tag in BREAKS and self.pieces:
-            self.pieces.append(" ")
+            self.pieces.append((None, " ", 0))
         if tag in INLINE:
-            if tag not in VOID and self.is_silent(tag, attrs):
-                self.open.append(Element(tag, self.open[-1], True, self.paths))
+            if tag not in VOID and (self.is_silent(tag, attrs) or self.is_named(tag, attrs)[0]):
+                self.open.append(self.opened(tag, attrs))
             return
         if tag in VOID:
             if tag == "hr":
@@ -114,22 +167,27 @@ class Page(HTMLParser):
                 if self.open[k].tag == tag:
                     del self.open[k:]
                     break
-        self.open.append(Element(tag, self.open[-1], self.is_silent(tag, attrs), self.paths))
+        self.open.append(self.opened(tag, attrs))
 
     def is_silent(self, tag, attrs) -> bool:
         given = dict(attrs)
-        outside = self.open[-1].article is None
-        if tag in SILENT or tag == "header" and outside or "hidden" in given or given.get("aria-hidden") == "true":
-            return True
-        if "display:none" in (given.get("style") or "").replace(" ", "").lower():
+        if tag in SILENT or "hidden" in given or given.get("aria-hidden") == "true":
             return True
+        return "display:none" in (given.get("style") or "").replace(" ", "").lower()
+
+    def is_named(self, tag, attrs) -> tuple[bool, bool]:
+        """Is the element named as a part which is not the article, and as comments?"""
+        given = dict(attrs)
         if tag in ("html", "body"):
-            return False
-        names = words_of(given.get("class")) | words_of(given.get("id"))
+            return False, False
+        outside = self.open[-1].article is None
+        names = names_of(given.get("class")) | names_of(given.get("id"))
+        comments = bool(names & COMMENT_NAMES)
         if tag in ARTICLE:
-            return bool(names & COMMENT_NAMES)
-        return ((given.get("role") or "").lower() in ROLES or bool(names & NAMES)
-                or bool(names & OUTSIDE_NAMES) and outside)
+            return comments, comments
+        named = (tag == "form" or tag == "header" and outside or (given.get("role") or "").lower() in ROLES or bool(names & NAMES)
+                 or bool(names & OUTSIDE_NAMES) and outside)
+        return named, comments
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -152,11 +210,7 @@ class Page(HTMLParser):
     def handle_data(self, data):
         if self.open[-1].silent:
             return
-        if not self.pieces:
-            self.owner = self.open[-1]
-        self.pieces.append(data)
-        if self.links:
-            self.linked += len(data.strip())
+        self.pieces.append((self.open[-1], data, len(data.strip()) if self.links else 0))
 
 
 def smooth(values: list[float]) -> list[float]:
@@ -168,8 +222,8 @@ def smooth(values: list[float]) -> list[float]:
     return out
 
 
-def content_paths(blocks: list[Block]) -> set[int]:
-    """Paths whose fused, smoothed ratios of text and punctuation lie above the threshold."""
+def content_paths(blocks: list[Block]) -> tuple[set[int], set[int]]:
+    """Paths whose fused, smoothed ratios of text and punctuation lie above the threshold, and above the one inside regions."""
     count: dict[int, int] = {}
     chars: dict[int, int] = {}
     marks: dict[int, int] = {}
@@ -186,11 +240,11 @@ def content_paths(blocks: list[Block]) -> set[int]:
     # the page's level: the fused ratio of its characters, not of its blocks, so that many short menus don't lower it
     total = sum(chars[p] for p in fused)
     level = sum(fused[p] * chars[p] for p in fused) / total if total else 0.0
-    return {p for p, f in fused.items() if f >= THRESHOLD * level}
+    return {p for p, f in fused.items() if f >= THRESHOLD * level}, {p for p, f in fused.items() if f >= INSIDE * level}
 
 
 def region(block: Block) -> Element:
-    """What a content block brings in: its article, or its parent's whole inside."""
+    """Where a content block brings in more: its article, or its parent's whole inside."""
     return block.parent.article or (block.parent.parent or block.parent)
 
 
@@ -204,7 +258,7 @@ def extract(html: str | None) -> str:
     blocks = page.blocks
     if not blocks:
         return ""
-    paths = content_paths(blocks)
+    paths, fair = content_paths(blocks)
     chosen = [b for b in blocks if b.path in paths]
     # text inside articles settles where the content is; elsewhere parts of the page compete by their ratios alone
     if any(b.parent.article for b in chosen):
@@ -228,8 +282,10 @@ def extract(html: str | None) -> str:
         return inside[id(element)]
 
     def kept(b: Block) -> bool:
-        if b.path in paths and id(region(b)) in regions or within(b.parent):
+        if b.path in paths and id(region(b)) in regions:
             return True
+        if within(b.parent):
+            return b.path in fair or b.parent.tag in HEADINGS
         return b.parent.tag in HEADINGS and id(b.parent.parent) in wide
 
     return "\n\n".join(b.text for b in blocks if kept(b))
