@@ -136,15 +136,21 @@ def ground_against_pool(claims: DataFrame, numbers: DataFrame, column: str = "nu
                          (F.coalesce("_hit", F.lit(False)) | is_method_constant(F.col("value"))).alias("grounded"))
 
 
+def numbered(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, text, _row): the texts stored with a number of their own each, as keys may be null or shared."""
+    return materialize(texts.select(key, text, F.monotonically_increasing_id().alias("_row")), "texts")
+
+
 def score_against_pool(texts: DataFrame, key: str, text: str, numbers: DataFrame, column: str = "number") -> DataFrame:
     """``score_texts`` for many texts and a pool of any size: claims meet the pool by hash keys, not one by one."""
-    found = materialize(explode_claims(texts, key, text), "claims")
+    rows = numbered(texts, key, text)
+    found = materialize(explode_claims(rows, "_row", text), "claims")
     judged = ground_against_pool(found, numbers, column)
     loose = F.array_sort(F.collect_list(F.when(~F.col("grounded"), F.struct("claim_no", "token"))))
-    per = judged.groupBy(key).agg(F.count("*").alias("_n"), F.count_if("grounded").alias("_g"), loose.alias("_loose"))
+    per = judged.groupBy("_row").agg(F.count("*").alias("_n"), F.count_if("grounded").alias("_g"), loose.alias("_loose"))
     n, good = F.coalesce("_n", F.lit(0)), F.coalesce("_g", F.lit(0))
     tokens = F.transform("_loose", lambda c: c["token"])
-    return texts.select(key).join(per, key, "left").select(
+    return rows.select(key, "_row").join(per, "_row", "left").select(
         key, n.alias("numbers_checked"), good.alias("grounded"),
         F.coalesce(tokens, F.array().cast("array<string>")).alias("ungrounded"),
         F.when(n > 0, good.cast("double") / F.nullif(n.cast("double"), F.lit(0.0))).otherwise(F.lit(1.0)).alias("groundedness_rate"))
