@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradewind.llm import cotraining, decontaminate, html_extract, licenses, packing, quality_rules, secrets, simhash, suffix_dedup, token_counts
+from tradewind.llm import (
+    cotraining, decontaminate, filter_audit, html_extract, licenses, packing, quality_rules, secrets, simhash, suffix_dedup,
+    swap_packing, token_counts)
 from tradewind.llm.frames import table
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_filter_interaction_audit": filter_audit.ORACLE}
 TOKENIZER = "byte_bpe_50k.json"
 
 
@@ -70,5 +72,15 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = swap_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_packing, op2_suffix_dedup, op3_decontamination, op4_token_counts, op5_license_scans, op6_secret_scans, op7_quality_rules, op8_quality_classifier, op9_html_extraction, op10_simhash_near_dedup)}
+    op1_packing, op2_suffix_dedup, op3_decontamination, op4_token_counts, op5_license_scans, op6_secret_scans, op7_quality_rules,
+    op8_quality_classifier, op9_html_extraction, op10_simhash_near_dedup, op11_filter_interaction_audit, op13_best_fit_packing)}
