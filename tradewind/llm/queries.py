@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tradewind.llm import (
-    cotraining, decontaminate, filter_audit, html_extract, licenses, packing, quality_rules, secrets, simhash, suffix_dedup,
+    conversation_repair, cotraining, decontaminate, filter_audit, html_extract, licenses, packing, quality_rules, secrets, simhash, suffix_dedup,
     swap_packing, token_counts)
 from tradewind.llm.frames import table
 
@@ -76,6 +76,11 @@ def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_conversation_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.summary(conversation_repair.repair(damaged))
+
+
 def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = swap_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
@@ -83,4 +88,5 @@ def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_suffix_dedup, op3_decontamination, op4_token_counts, op5_license_scans, op6_secret_scans, op7_quality_rules,
-    op8_quality_classifier, op9_html_extraction, op10_simhash_near_dedup, op11_filter_interaction_audit, op13_best_fit_packing)}
+    op8_quality_classifier, op9_html_extraction, op10_simhash_near_dedup, op11_filter_interaction_audit, op12_conversation_structure_repair,
+    op13_best_fit_packing)}
