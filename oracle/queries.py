@@ -309,10 +309,11 @@ select doc_id, claim_no, token, value, cast(decimals as bigint) as decimals, abs
          where abs(abs(c.value) - n.e) <= 0.5 * pow(10.0, -c.decimals) + 1e-9) as grounded
 from doc_claims c""",
     "groundedness_score": "select * from doc_scored",
-    "red_team_rate": "select * from doc_team",
+    "red_team_rate": "select * from doc_dated",
     "report_lines": "select cast(section_no as bigint) as section_no, cast(line_no as bigint) as line_no, line from lines",
     "report_groundedness": "select * from rep_scored",
     "red_team_report": "select * from rep_team",
+    "red_team_report_with_dates": "select * from rep_dated",
     "groundedness_lines": """
 select report_id, cast(unnest(range(5)) as bigint) as line_no, unnest([
   '# ' || report_id,
@@ -320,9 +321,9 @@ select report_id, cast(unnest(range(5)) as bigint) as line_no, unnest([
   'claims backed: ' || grounded || format(' ({:.1f}%)', groundedness_rate * 100),
   'not backed: ' || case when ungrounded = '' then 'none' else replace(ungrounded, ' ', ', ') end,
   'altered figures noticed: ' || caught || ' of ' || trials || format(' ({:.1f}%)', detection_rate * 100)]) as line
-from all_scored join all_team using (report_id)""",
+from all_scored join all_dated using (report_id)""",
     "eval_headline_extract": """
-select numbers_checked as checked, grounded, caught, trials from rep_scored join rep_team using (report_id)""",
+select numbers_checked as checked, grounded, caught, trials from rep_scored join rep_dated using (report_id)""",
     "measures_orders": """
 select country_code, channel, cast(sum(net_amount_eur) as double) as net_revenue_eur,
        count(distinct order_id) as orders,

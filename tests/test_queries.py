@@ -12,7 +12,7 @@ duckdb = pytest.importorskip("duckdb")
 TABLES = "region nation customer supplier part orders lineitem documents".split()
 ORACLE = entry_point.oracle_sql()
 ROWS_ONLY = {"evidence_json", "stl_poisson", "stl_anomaly_feed", "detector_scores_stl", "threshold_sweep_stl",
-             "anomaly_eval_lines", "red_team_report_with_dates"}
+             "anomaly_eval_lines"}
 
 
 @pytest.fixture(scope="module")

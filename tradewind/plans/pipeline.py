@@ -129,9 +129,10 @@ def run(spark: SparkSession, read: Callable[[str], DataFrame], out: str, inciden
     lines = report.render(facts)
     sinks.write_lines(lines, f"{out}/report", ["section_no", "line_no"])
     text = materialize(report.report_text(lines), "report")
-    pool = claims.pool_array(evidence.evidence_numbers(facts))
+    numbers = evidence.evidence_numbers(facts)
     sinks.write_lines(report.groundedness_lines(
-        claims.score_texts(text, "report_id", "text", pool), redteam.red_team(text, "report_id", "text", pool)),
+        claims.score_against_pool(text, "report_id", "text", numbers),
+        redteam.red_team_against_pool(text, "report_id", "text", numbers)),
         f"{out}/groundedness", ["report_id", "line_no"])
     if incidents:
         truth = incident_days(spark, incidents)

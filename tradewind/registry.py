@@ -494,44 +494,36 @@ def _(m):
     return redteam.red_team_against_pool(texts(m), "doc_id", "text", evidence.evidence_numbers(_evidence(m)))
 
 
-def _red_team_report(m: Model, include_dates: bool) -> DataFrame:
-    facts = _evidence(m)
-    text = report.report_text(report.render(facts))
-    pool = claims.pool_array(evidence.evidence_numbers(facts))
-    return redteam.red_team(text, "report_id", "text", pool, include_dates=include_dates)
-
-
 @query("red_team_report", "orders")
 def _(m):
-    return _red_team_report(m, False)
+    facts = _evidence(m)
+    pool = claims.pool_array(evidence.evidence_numbers(facts))
+    return redteam.red_team(report.report_text(report.render(facts)), "report_id", "text", pool, include_dates=False)
 
 
 @query("red_team_report_with_dates", "orders")
 def _(m):
-    return _red_team_report(m, True)
-
-
-def _groundedness_lines(m: Model) -> DataFrame:
     facts = _evidence(m)
-    text = report.report_text(report.render(facts))
-    corpus = texts(m).select(F.concat(F.lit("document "), F.col("doc_id")).alias("report_id"), "text").unionByName(text)
-    pool = claims.pool_array(evidence.evidence_numbers(facts))
-    return report.groundedness_lines(claims.score_texts(corpus, "report_id", "text", pool),
-                                     redteam.red_team(corpus, "report_id", "text", pool, include_dates=False))
+    return redteam.red_team_against_pool(report.report_text(report.render(facts)), "report_id", "text", evidence.evidence_numbers(facts))
 
 
 @query("groundedness_lines", "orders")
 def _(m):
-    return _groundedness_lines(m)
+    facts = _evidence(m)
+    text = report.report_text(report.render(facts))
+    corpus = texts(m).select(F.concat(F.lit("document "), F.col("doc_id")).alias("report_id"), "text").unionByName(text)
+    numbers = evidence.evidence_numbers(facts)
+    return report.groundedness_lines(claims.score_against_pool(corpus, "report_id", "text", numbers),
+                                     redteam.red_team_against_pool(corpus, "report_id", "text", numbers))
 
 
 @query("eval_headline_extract", "orders")
 def _(m):
     facts = _evidence(m)
     text = report.report_text(report.render(facts))
-    pool = claims.pool_array(evidence.evidence_numbers(facts))
-    return feeds.eval_headline(claims.score_texts(text, "report_id", "text", pool),
-                               redteam.red_team(text, "report_id", "text", pool, include_dates=False))
+    numbers = evidence.evidence_numbers(facts)
+    return feeds.eval_headline(claims.score_against_pool(text, "report_id", "text", numbers),
+                               redteam.red_team_against_pool(text, "report_id", "text", numbers))
 
 
 # --- data tests --------------------------------------------------------------------------------
