@@ -9,11 +9,13 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import xxhash
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm import tables
-from tradewind.llm import licenses, packing, quality_rules, secrets, text, token_counts, tokenizer_machine, xxh64
+from tradewind.llm import licenses, packing, quality_rules, secrets, text, token_counts, token_ids, tokenizer_machine, xxh64
 from tradewind.llm.license_rules import RULES
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -73,6 +75,43 @@ def test_token_counts(docs, rows, library):
     assert got == sorted(want)
 
 
+def confusable():
+    """Pairs of words of two letters that any polynomial hash modulo a power of two confuses."""
+    for a, b in ("tz", "on", "ab"):
+        word = [a if bin(k).count("1") % 2 == 0 else b for k in range(2048)]
+        yield "".join(word)
+        yield "".join(b if c == a else a for c in word)
+
+
+def test_words_that_polynomial_hashes_confuse(spark, library):
+    words = list(confusable())
+    rows = [(k, w, "en", "src", len(w)) for k, w in enumerate(words)]
+    # two lines and two windows that differ by such a word are no repeats
+    pair = ["x x x x " + w for w in words[:2]]
+    rows += [(100, "\n".join(pair), "en", "src", 1), (101, " ".join(pair), "en", "src", 1)]
+    df = tables.frame(spark, rows)
+    ids = {r[0]: library.encode(r[1], add_special_tokens=False).ids for r in rows}
+    assert {r.doc_id: r.n_tokens for r in token_counts.count_tokens(df, TOKENIZER).collect()} == {k: len(v) for k, v in ids.items()}
+    got = {k: [] for k in ids}
+    for r in packing.pack(df, TOKENIZER).orderBy("doc_id", "start").collect():
+        got[r.doc_id] += np.frombuffer(r.ids, "<u4").tolist()
+    assert got == {k: v + [0] for k, v in ids.items()}
+    data, offsets = text.flat(pa.array(words))
+    assert len(set(text.span_hashes(data, offsets[:-1], offsets[1:]).tolist())) == len(words)
+    first, number = text.same_spans(data, offsets[:-1], offsets[1:])
+    assert len(first) == len(words) and number.tolist() == list(range(len(words)))
+    measured = quality_rules.measure(*text.flat(pa.array([r[1] for r in rows[-2:]])))
+    assert measured["n_dup_lines"].tolist() == [0, 0] and measured["n_repeat_words"].tolist() == [0, 0]
+
+
+@given(st.lists(st.text("ab\0é ", max_size=12), min_size=1, max_size=40))
+def test_same_spans_are_equal_bytes(words):
+    data, offsets = text.flat(pa.array(words))
+    first, number = text.same_spans(data, offsets[:-1], offsets[1:])
+    assert len(first) == len(set(words))
+    assert [words[first[k]] for k in number] == words
+
+
 def test_machine_splits_as_the_library(library):
     tricky = ["don't  stop'll we're  'tis 's's\n\n x", "\n's", "!'s", "''s", "'", "'r", "'re", "'ra", " 'r", "a 'll b", "  ", "a  ",
               "\t\tb", "x<|endoftext|>y <|endoftext|> z'", "<|endoftext|><|endoftext|>", "é'sé 12 ab1 Ａ　　x y z\u0085Ᲊq",
@@ -81,13 +120,11 @@ def test_machine_splits_as_the_library(library):
     letters = list("aesrtvldm' '  \n\t.,!1é 中<|>")
     tricky += ["".join(rng.choice(letters, rng.integers(0, 50))) for _ in range(800)]
     with open(TOKENIZER, encoding="utf-8") as file:
-        compiled = tokenizer_machine.CompiledTokenizer(file.read())
-    got_counts, got_ids = [], []
-    fresh = tokenizer_machine.CompiledTokenizer(compiled.library.to_str())
+        source = file.read()
+    compiled, encoder = tokenizer_machine.CompiledTokenizer(source), token_ids.TextEncoder(source)
+    got_counts, got_ids = [], [np.frombuffer(encoder.encode(t), "<u4").tolist() for t in tricky]
     for _, _, data, offsets in parts(tricky):
         got_counts += compiled.count_tokens(data, offsets).tolist()
-        ids, edges = fresh.encode(data, offsets)
-        got_ids += [ids[a:b].tolist() for a, b in zip(edges[:-1], edges[1:], strict=True)]
     want = [e.ids for e in library.encode_batch(tricky, add_special_tokens=False)]
     assert got_ids == want
     assert got_counts == [len(w) for w in want]

@@ -18,11 +18,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tradewind.llm import text as tx
 from tradewind.llm.frames import keyed_texts
-from tradewind.llm.token_counts import tokenizer_source
+from tradewind.llm.token_ids import encoder_source
 
 POOL = 4096
+BATCH_BYTES = 8 << 20
+KINDS = {"doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids": pa.binary(), "doc_tokens": pa.int64(),
+         "sequence_id": pa.int64(), "offset": pa.int64()}
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: (document, start, length, sequence, offset)
 Piece = tuple[int, int, int, int, int]
@@ -68,51 +70,62 @@ def assign(lengths: np.ndarray, size: int, linear: float, quadratic: float) -> l
 def pack(df: DataFrame, tokenizer_path: str, size: int = 1024, end_id: int = 0, linear: float = 1.0,
          quadratic: float = 1 / 1024, pool: int = POOL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: the document, the piece's place in it, its ids (unsigned 32-bit, little-endian), sequence and offset."""
-    source = tokenizer_source(df.sparkSession, tokenizer_path)
+    source = encoder_source(df.sparkSession, tokenizer_path)
+    end = int(end_id).to_bytes(4, "little")
 
     def run(batches):
-        tokenizer, task = source.get(), TaskContext.get().partitionId() << 33
+        encoder, task = source.get(), TaskContext.get().partitionId() << 33
         sequences = 0
         docs, rests, tokens, before = [], [], [], []  # of the pool
-        names = [c.split(" ")[0] for c in SCHEMA.split(", ")]
-
-        def batch_of(rows):
-            columns = list(zip(*rows, strict=True))
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
-
-        def emptied():
+        columns = [[] for _ in KINDS]  # of the pieces that are ready
+        ready = 0
+
+        def put(*piece):
+            nonlocal ready
+            for column, value in zip(columns, piece, strict=True):
+                column.append(value)
+            ready += 4 * piece[2]
+
+        def batch_of():
+            nonlocal ready
+            out = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, KINDS.values(), strict=True)], list(KINDS))
+            for column in columns:
+                column.clear()
+            ready = 0
+            return out
+
+        def empty_pool():
             nonlocal sequences
-            rows, used = [], 0
-            for doc, start, length, sequence, offset in assign(np.array([len(r) for r in rests]), size, linear, quadratic):
-                rows.append((docs[doc], before[doc] + start, length, rests[doc][start:start + length].tobytes(), tokens[doc],
-                             task + sequences + sequence, offset))
+            used = 0
+            lengths = np.array([len(r) // 4 for r in rests], np.int64)
+            for doc, start, length, sequence, offset in assign(lengths, size, linear, quadratic):
+                put(docs[doc], before[doc] + start, length, rests[doc][4 * start:4 * (start + length)], tokens[doc],
+                    task + sequences + sequence, offset)
                 used = max(used, sequence + 1)
             sequences += used
             for held in (docs, rests, tokens, before):
                 held.clear()
-            return batch_of(rows)
 
         for batch in batches:
-            for lo, hi, data, offsets in tx.parts(batch.column(1)):
-                ids, edges = tokenizer.encode(data, offsets)
-                rows = []
-                for k, doc_id in enumerate(batch.column(0).slice(lo, hi - lo).to_pylist()):
-                    doc = np.append(ids[edges[k]:edges[k + 1]], np.uint32(end_id)).astype("<u4")
-                    cut = len(doc) // size * size
-                    for start in range(0, cut, size):
-                        rows.append((doc_id, start, size, doc[start:start + size].tobytes(), len(doc), task + sequences, 0))
-                        sequences += 1
-                    if cut < len(doc):
-                        docs.append(doc_id)
-                        rests.append(doc[cut:].copy())
-                        tokens.append(len(doc))
-                        before.append(cut)
-                    if len(docs) >= pool:
-                        yield emptied()
-                if rows:
-                    yield batch_of(rows)
-        if docs:
-            yield emptied()
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids = encoder.encode(text.as_py() or "") + end
+                count = len(ids) // 4
+                cut = count // size * size
+                for start in range(0, cut, size):
+                    put(doc_id, start, size, ids[4 * start:4 * (start + size)], count, task + sequences, 0)
+                    sequences += 1
+                    if ready > BATCH_BYTES:
+                        yield batch_of()
+                if cut < count:
+                    docs.append(doc_id)
+                    rests.append(ids[4 * cut:])
+                    tokens.append(count)
+                    before.append(cut)
+                if len(docs) >= pool:
+                    empty_pool()
+                    yield batch_of()
+        empty_pool()
+        if ready:
+            yield batch_of()
 
     return keyed_texts(df, id_col, text_col).mapInArrow(run, SCHEMA)
