@@ -59,6 +59,11 @@ class Model:
         self._limits = calendar
         self._staged: dict[tuple[str, bool], DataFrame] = {}
 
+    @property
+    def parameters(self) -> tuple:
+        """What the tables depend on beside the extracts."""
+        return tuple(self._countries), tuple(self._categories), self._limits
+
     @classmethod
     def over(cls, extracts: Mapping[str, DataFrame], **kw) -> Model:
         return cls(extracts.__getitem__, **kw)

@@ -18,6 +18,7 @@ from tradewind.scale import materialize
 from tradewind.sources.fx_payload import require_rates
 from tradewind.sources.schemas import CATEGORIES, COUNTRY_CODES, ORDER_STATUSES, RAW_SCHEMAS
 from tradewind.sources.warehouse import load_tables, read_tables
+from tradewind.store import shared
 
 
 # Columns that the tests read, by table.
@@ -73,6 +74,11 @@ def gather_evidence(m: Model) -> DataFrame:
     return evidence.gather(kpis, m.returns_analysis, m.product_performance, m.revenue_anomalies, m.rfm_summary, low)
 
 
+def shared_evidence(m: Model) -> DataFrame:
+    """``gather_evidence`` once per state of the raw extracts and the model's parameters."""
+    return shared("evidence", [m.raw(name) for name in (*RAW_SCHEMAS, "country")], lambda: gather_evidence(m), *m.parameters)
+
+
 def run(spark: SparkSession, read: Callable[[str], DataFrame], out: str, incidents: Sequence[tuple[str, str, str]] = (),
         countries: Sequence[str] = COUNTRY_CODES, categories: Sequence[str] = CATEGORIES,
         database: str = "raw", buckets: int | None = None) -> dict[str, int]:

@@ -436,7 +436,8 @@ def _(m):
 
 
 def _evidence(m: Model) -> DataFrame:
-    return materialize(pipeline.gather_evidence(m), "evidence")
+    """The evidence rows, built once per state of the extracts: every query that checks texts against them shares them."""
+    return pipeline.shared_evidence(m)
 
 
 @query("evidence", "orders")
