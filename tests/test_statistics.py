@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tradewind.operators import rfm, stl
 from tradewind.operators.anomaly import group_zscore, iqr_fence, weekday_baseline
+from tradewind.operators import quantiles
 from tradewind.operators.quantiles import exact_quantiles, right_closed_bin
 from tradewind.operators.ranking import global_row_number
 from tradewind.operators.scoring import incident_days, score_detectors, sweep_thresholds
@@ -56,6 +57,29 @@ def test_global_row_number_with_a_value_held_by_most_rows(spark):
     assert {(r.f, r.id): r.n for r in got} == expected
 
 
+@pytest.mark.parametrize("error", [quantiles.RANK_ERROR, -0.01])
+def test_two_passes_settle_large_inputs_and_missed_brackets_are_narrowed(spark, monkeypatch, error):
+    """With brackets that miss on purpose (error below zero) the rounds find the same values."""
+    rounds = []
+    narrowed = quantiles._narrowed
+    monkeypatch.setattr(quantiles, "_narrowed", lambda *a: rounds.append(1) or narrowed(*a))
+    monkeypatch.setattr(quantiles, "RANK_ERROR", error)
+    rng = np.random.default_rng(8)
+    n = 60000
+    values = np.where(rng.random(n) < 0.33, 17.25, np.exp(rng.normal(3, 8, n)))  # a third in one value, the rest over 20 magnitudes
+    group = np.where(rng.random(n) < 0.8, "a", "b")
+    df = spark.createDataFrame(list(zip(values.tolist(), group.tolist(), strict=True)), "v double, g string").unionByName(
+        spark.createDataFrame([(None, "a"), (float("nan"), "c")], "v double, g string"))
+    probs = [0.0, 0.001, 0.2, 0.5, 0.8, 0.999, 1.0]
+    got = {(r.is_total, r.group): r for r in exact_quantiles(df, "v", probs, "g").collect()}
+    assert set(got) == {(True, None), (False, "a"), (False, "b")}
+    for (is_total, g), row in got.items():
+        mine = values if is_total else values[group == g]
+        assert row.n == len(mine)
+        np.testing.assert_allclose(row.q, np.quantile(mine, probs), rtol=1e-12)
+    assert bool(rounds) == (error < 0)
+
+
 def test_quantiles_of_values_that_lie_close_together(spark):
     rng = random.Random(4)
     values = [1_000_000 + rng.random() * 500 for _ in range(4000)] + [1e300, -1e300, 0.0, 5e-324] + [1_000_250.0] * 3000

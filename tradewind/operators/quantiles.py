@@ -9,23 +9,25 @@ from pyspark.sql import functions as F
 
 from tradewind.scale import materialize
 
-# A range of values is cut into this many parts of equal width per round.
+# A range of values is cut into this many parts of equal width per round, where a sketch's bracket failed.
 PARTS = 4096
+# Size of the sketches: with k = 8192 a rank is off by at most 0.07 % of the rows in 99 of 100 cases; brackets are three times as wide.
+SKETCH, RANK_ERROR = 8192, 0.002
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group: str | None = None) -> DataFrame:
-    """Linearly interpolated quantiles as rows (is_total, group, n, q array<double>).
+    """Linearly interpolated quantiles as rows (is_total, group, n, q array<double>); null and NaN are left out.
 
     Always gives the total over all rows; with ``group`` (a column with a bounded vocabulary) also one row per group.
-    Each wanted position starts with the range of all values. A round counts the values of every open range in equal parts
-    and keeps the part that holds the position, until a range is a single value. A range's two ends always fall into different
-    parts, so every round narrows it by a factor of PARTS, however densely the values lie; doubles run out after a few rounds.
+    Two passes: KLL sketches, merged from tasks and groups, bracket each wanted position between two values; an exact count of the rows
+    below each bracket and of every value inside it settles the position. A sketch may err, which the counts show: such a
+    position is then found by rounds that count the values of its whole range in equal parts and keep the part that holds it.
 
-    Counts combine before the exchange: a hot value, a dense range or a group with most of the rows costs no more than any
-    other, and no task holds more than the parts of one range. Ranges are few (two per probability and group).
+    Counts combine before the exchange: a hot value or a group with most of the rows costs no more than any other. Brackets
+    are few (one per probability and group) and hold 0.4 % of the rows.
     """
     g = F.col(group) if group else F.lit(None).cast("string")
-    base = df.where(F.col(value).isNotNull()).select(g.alias("_g"), F.col(value).cast("double").alias("_x"))
+    base = df.select(g.alias("_g"), F.col(value).cast("double").alias("_x")).where("_x is not null and not isnan(_x)")
     base = materialize(base, "values")
     kind = base.schema["_g"].dataType
     # each row enters the total and, with groups, its own group
@@ -33,30 +35,10 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group: st
     own = F.struct(F.lit(False).alias("total"), F.col("_g").alias("g"))
     rows = base.select(F.explode(F.array(total, own) if group else F.array(total)).alias("_l"), "_x")
 
-    places = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
-    spans = rows.groupBy("_l").agg(F.count("*").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    at = F.col("_t.p") * (F.col("_n") - 1)
-    state = spans.withColumn("_t", F.explode(places)).select(
-        "_l", "_n", "_lo", "_hi", F.col("_t.i").alias("_i"), (at - F.floor(at)).alias("_between"),
-        F.explode(F.array(F.struct(F.lit(0).alias("side"), F.floor(at).alias("k")),
-                          F.struct(F.lit(1).alias("side"), F.ceil(at).alias("k")))).alias("_t"))
-    state = materialize(state.select("_l", "_n", "_i", "_between", "_t.side", "_t.k", "_lo", "_hi"), "positions")
+    state = materialize(_positions(_brackets(base, total, own, probs, bool(group)), rows), "positions")
     names = state.columns
     while state.where("_lo < _hi").limit(1).count():
-        ranges = state.where("_lo < _hi").select("_l", "_lo", "_hi").distinct()
-        # halves keep the width of a range finite
-        share = (F.col("_x") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
-        parts = (rows.join(F.broadcast(ranges), "_l").where("_x between _lo and _hi")
-                 .groupBy("_l", "_lo", "_hi", F.least(F.floor(share * PARTS), F.lit(PARTS - 1)).alias("_part"))
-                 .agg(F.count("*").alias("_c"), F.min("_x").alias("_a"), F.max("_x").alias("_z")))
-        upto = Window.partitionBy("_l", "_lo", "_hi").orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        parts = parts.withColumn("_end", F.sum("_c").over(upto))
-        # k counts from the first value of the range on
-        inside = (F.col("k") >= F.col("_end") - F.col("_c")) & (F.col("k") < F.col("_end"))
-        narrowed = state.where("_lo < _hi").join(parts, ["_l", "_lo", "_hi"]).where(inside).select(
-            "_l", "_n", "_i", "_between", "side", (F.col("k") - F.col("_end") + F.col("_c")).alias("k"),
-            F.col("_a").alias("_lo"), F.col("_z").alias("_hi"))
-        state = materialize(narrowed.unionByName(state.where("_lo >= _hi").select(*names)), "positions")
+        state = materialize(_narrowed(state, rows).unionByName(state.where("_lo >= _hi").select(*names)), "positions")
 
     def side(i: int, s: int) -> Column:
         return F.max(F.when((F.col("_i") == i) & (F.col("side") == s), F.col("_lo")))
@@ -69,6 +51,67 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], group: st
                         F.array(*edges).alias("q"))
 
 
+def _brackets(base: DataFrame, total: Column, own: Column, probs: Sequence[float], grouped: bool) -> DataFrame:
+    """(_l, _n, _i, _between, k0, k1, least, most, _lo, _hi): for each position two values that enclose it by the sketches."""
+    per = base.groupBy("_g").agg(F.kll_sketch_agg_double("_x", F.lit(SKETCH)).alias("s"), F.count("*").alias("_n"),
+                                 F.min("_x").alias("least"), F.max("_x").alias("most"))
+    per = materialize(per, "sketches")  # a row per group
+    spans = per.agg(F.kll_merge_agg_double("s", F.lit(SKETCH)).alias("s"), F.sum("_n").alias("_n"), F.min("least").alias("least"),
+                    F.max("most").alias("most")).where("_n > 0").select(total.alias("_l"), "s", "_n", "least", "most")
+    if grouped:
+        spans = spans.unionByName(per.select(own.alias("_l"), "s", "_n", "least", "most"))
+    def at_ranks(error: float) -> Column:
+        return F.kll_sketch_get_quantile_double("s", F.array(*[F.lit(min(1.0, max(0.0, p + error))) for p in probs]))
+
+    places = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
+    at = F.col("t.p") * (F.col("_n") - 1)
+    each = spans.select("_l", "_n", "least", "most", at_ranks(-RANK_ERROR).alias("low"), at_ranks(RANK_ERROR).alias("high"),
+                        F.explode(places).alias("t"))
+    # few rows are bracketed whole: a rank then moves by more than the error from one row to the next
+    whole = F.col("_n") <= SKETCH
+    return each.select(
+        "_l", "_n", F.col("t.i").alias("_i"), (at - F.floor(at)).alias("_between"), F.floor(at).alias("k0"), F.ceil(at).alias("k1"),
+        "least", "most",
+        F.when(whole | (F.col("t.p") <= RANK_ERROR), F.col("least")).otherwise(F.get("low", F.col("t.i"))).alias("_lo"),
+        F.when(whole | (F.col("t.p") >= 1 - RANK_ERROR), F.col("most")).otherwise(F.get("high", F.col("t.i"))).alias("_hi"))
+
+
+def _positions(brackets: DataFrame, rows: DataFrame) -> DataFrame:
+    """(_l, _n, _i, _between, side, k, _lo, _hi): each position's value, or the range of all values where its bracket missed it."""
+    brackets = materialize(brackets, "brackets")
+    # what lies below a bracket is one row, what lies in it a row per value
+    seen = (rows.join(F.broadcast(brackets.select("_l", "_i", "_lo", "_hi")), "_l").where("_x <= _hi")
+            .groupBy("_l", "_i", F.when(F.col("_x") >= F.col("_lo"), F.col("_x")).alias("_v")).agg(F.count("*").alias("_c")))
+    upto = Window.partitionBy("_l", "_i").orderBy(F.asc_nulls_first("_v")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = seen.withColumn("_end", F.sum("_c").over(upto)).where("_v is not null")
+
+    def at(k: str) -> Column:
+        return F.max(F.when((F.col(k) >= F.col("_end") - F.col("_c")) & (F.col(k) < F.col("_end")), F.col("_v")))
+
+    found = seen.join(F.broadcast(brackets.select("_l", "_i", "k0", "k1")), ["_l", "_i"]).groupBy("_l", "_i").agg(
+        at("k0").alias("v0"), at("k1").alias("v1"))
+    sides = F.array(*[F.struct(F.lit(side).alias("side"), F.col(f"k{side}").alias("k"), F.col(f"v{side}").alias("v")) for side in (0, 1)])
+    return brackets.join(found, ["_l", "_i"], "left").withColumn("t", F.explode(sides)).select(
+        "_l", "_n", "_i", "_between", "t.side", "t.k", F.coalesce("t.v", "least").alias("_lo"), F.coalesce("t.v", "most").alias("_hi"))
+
+
+def _narrowed(state: DataFrame, rows: DataFrame) -> DataFrame:
+    """Open positions with the part of their range that holds them; a range's two ends fall into different parts."""
+    ranges = state.where("_lo < _hi").select("_l", "_lo", "_hi").distinct()
+    # halves keep the width of a range finite
+    share = (F.col("_x") / 2 - F.col("_lo") / 2) / (F.col("_hi") / 2 - F.col("_lo") / 2)
+    parts = (rows.join(F.broadcast(ranges), "_l").where("_x between _lo and _hi")
+             .groupBy("_l", "_lo", "_hi", F.least(F.floor(share * PARTS), F.lit(PARTS - 1)).alias("_part"))
+             .agg(F.count("*").alias("_c"), F.min("_x").alias("_a"), F.max("_x").alias("_z")))
+    upto = Window.partitionBy("_l", "_lo", "_hi").orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = parts.withColumn("_end", F.sum("_c").over(upto))
+    # k counts from the first value of the range on
+    inside = (F.col("k") >= F.col("_end") - F.col("_c")) & (F.col("k") < F.col("_end"))
+    return state.where("_lo < _hi").join(parts, ["_l", "_lo", "_hi"]).where(inside).select(
+        "_l", "_n", "_i", "_between", "side", (F.col("k") - F.col("_end") + F.col("_c")).alias("k"),
+        F.col("_a").alias("_lo"), F.col("_z").alias("_hi"))
+
+
 def right_closed_bin(value: Column, edges: Column) -> Column:
     """1 + the number of edges below ``value``: bins closed on the right, the lowest closed on both sides."""
     above = F.filter(edges, lambda e: value.cast("double") > e)
