@@ -140,13 +140,56 @@ def test_a_broken_fact_fails_its_own_tests(spark, sf_dir):
     good = m.fct_orders
     broken = good.limit(3).withColumn("customer_id", F.lit("nobody")).withColumn("status", F.lit("lost"))
     m.__dict__["fct_orders"] = good.unionByName(broken)
-    table = pipeline.tested_tables(m)
-    rows = q.report(pipeline.data_tests(table) + pipeline.integrity_tests(table)).where("table_name = 'fct_orders'").collect()
+    tests = pipeline.data_tests() + pipeline.integrity_tests()
+    rows = q.run_tests(pipeline.tested_table(m), tests).where("table_name = 'fct_orders'").collect()
     failed = {(r.test_name, r.column_name): r.failures for r in rows if r.failures}
     assert failed == {("unique", "order_id"): 3, ("relationships", "customer_id"): 3, ("accepted_values", "status"): 3,
                       ("no_duplicates", "order_id"): 3, ("no_orphans", "customer_id"): 3}
 
 
+def folded(spark):
+    """Tables with nulls, hot keys, duplicates, orphans and values out of range."""
+    orders = spark.createDataFrame([(k % 40 if k % 11 else None, f"c{k % 7}" if k % 5 else None, "xyz"[k % 3], k - 3) for k in range(200)],
+                                   "id long, customer string, status string, amount long")
+    customers = spark.createDataFrame([("c1",), ("c2",), ("c2",), (None,), ("c9",)], "customer string")
+    days = spark.sql("select explode(sequence(date'2024-01-01', date'2024-01-05')) as day")
+    return {"orders": orders, "customers": customers, "days": days, "none": customers.limit(0)}
+
+
+def test_folded_tests_equal_single_ones(spark):
+    tables = folded(spark)
+    orders, customers = tables["orders"], tables["customers"]
+    tests = [q.Test("unique", "orders", "id"), q.Test("not_null", "orders", "id"), q.Test("no_duplicates", "orders", "id"),
+             q.Test("unique", "customers", "customer"), q.Test("not_null", "customers", "customer"),
+             q.Test("relationships", "orders", "customer", ("customers", "customer")),
+             q.Test("no_orphans", "orders", "customer", ("customers", "customer")),
+             q.Test("accepted_values", "orders", "status", values=("x", "y")), q.Test("not_negative", "orders", "amount"),
+             q.Test("unique", "days", "day"), q.Test("unique", "none", "customer"), q.Test("not_null", "none", "customer")]
+    single = q.report([
+        q.unique(orders, "orders", "id"), q.not_null(orders, "orders", "id"), q.duplicates(orders, "orders", "id"),
+        q.unique(customers, "customers", "customer"), q.not_null(customers, "customers", "customer"),
+        q.relationship(orders, "orders", "customer", customers, "customer"), q.orphans(orders, "orders", "customer", customers, "customer"),
+        q.accepted_values(orders, "orders", "status", ["x", "y"]), q.negative(orders, "orders", "amount"),
+        q.unique(tables["days"], "days", "day"), q.unique(tables["none"], "none", "customer"),
+        q.not_null(tables["none"], "none", "customer")]).collect()
+    got = q.run_tests(tables.__getitem__, tests)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, single))
+    assert sum(r.failures > 0 for r in single) > 6
+
+
+def test_folded_tests_read_each_table_once_and_group_once(spark, tmp_path):
+    stored = {}
+    for name, df in folded(spark).items():
+        df.write.parquet(f"{tmp_path}/{name}")
+        stored[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    tests = [q.Test("unique", "orders", "id"), q.Test("not_null", "orders", "customer"), q.Test("unique", "customers", "customer"),
+             q.Test("relationships", "orders", "customer", ("customers", "customer")),
+             q.Test("accepted_values", "orders", "status", values=("x",)), q.Test("unique", "days", "day")]
+    text = q.run_tests(stored.__getitem__, tests)._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Scan parquet") == 3 and "Join" not in text
+    assert text.count("Exchange hashpartitioning") == 1 and text.count("partial_count_if") + text.count("partial_count(") > 0
+
+
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 

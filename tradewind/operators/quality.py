@@ -1,8 +1,13 @@
-"""Declarative data tests: each yields (test_name, table_name, column_name, failures)."""
+"""Declarative data tests: each yields (test_name, table_name, column_name, failures).
+
+The functions of one test each serve a single table. ``run_tests`` folds any number of tests over any number of tables into one
+grouped count, so that every table is read once whatever is asked of it.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -60,3 +65,75 @@ def orphans(child: DataFrame, table: str, column: str, parent: DataFrame, key: s
 
 def report(results: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, results)
+
+
+@dataclass(frozen=True)
+class Test:
+    """A test to be folded: ``parent`` is (table, key) for relationships and orphans, ``values`` the accepted ones."""
+
+    __test__ = False  # not a test class of the test runner
+
+    kind: str
+    table: str
+    column: str
+    parent: tuple[str, str] | None = None
+    values: tuple[str, ...] = ()
+
+
+BY_ROW = {  # tests that look at one row
+    "accepted_values": lambda t: ~F.col(t.column).isin(*t.values),
+    "not_negative": lambda t: F.col(t.column) < 0,
+}
+
+
+def _domains(tests: Sequence[Test]) -> dict[tuple[str, str], str]:
+    """Columns whose values are compared with each other get the same name."""
+    name: dict[tuple[str, str], str] = {}
+    for t in tests:
+        if t.kind not in BY_ROW:
+            ends = [(t.table, t.column)] + ([t.parent] if t.parent else [])
+            known = {name.setdefault(e, ".".join(e)) for e in ends}
+            for column, domain in name.items():
+                if domain in known:
+                    name[column] = min(known)
+    return name
+
+
+def run_tests(table: Callable[[str], DataFrame], tests: Sequence[Test]) -> DataFrame:
+    """(test_name, table_name, column_name, failures) of all tests, from one grouped count over all tables.
+
+    Every tested column sends its values to its domain, the values it is compared with; a row that fails a test of its own sends
+    one mark. How often each column holds each value of its domain then answers uniqueness, nulls, duplicates and relationships alike,
+    without a join. Counts combine before the exchange, so a hot or null key travels once per task.
+    """
+    domain = _domains(tests)
+    role = {column: k for k, column in enumerate(domain)}
+    marks, sent = len(role), {}
+    for column, name in domain.items():
+        sent.setdefault(column[0], []).append(F.struct(
+            F.lit(name).alias("domain"), F.col(column[1]).cast("string").alias("value"), F.lit(role[column]).alias("role")))
+    for k, t in enumerate(tests):
+        if t.kind in BY_ROW:
+            mark = F.struct(F.lit("").alias("domain"), F.lit(str(k)).alias("value"), F.lit(marks).alias("role"))
+            sent.setdefault(t.table, []).append(F.when(BY_ROW[t.kind](t), mark))
+    rows = reduce(DataFrame.unionByName, [
+        table(name).select(F.explode(F.array(*entries)).alias("e")).where("e is not null").select("e.*") for name, entries in sent.items()])
+    held = rows.groupBy("domain", "value").agg(*[F.count_if(F.col("role") == r).alias(f"r{r}") for r in range(marks + 1)])
+
+    def failures(k: int, t: Test) -> Column:
+        if t.kind in BY_ROW:
+            return F.sum(F.when((F.col("domain") == "") & (F.col("value") == str(k)), F.col(f"r{marks}")))
+        here, mine, null = F.col("domain") == domain[t.table, t.column], F.col(f"r{role[t.table, t.column]}"), F.col("value").isNull()
+        if t.kind == "unique":
+            return F.count_if(here & ~null & (mine > 1))
+        if t.kind == "not_null":
+            return F.sum(F.when(here & null, mine))
+        if t.kind == "no_duplicates":
+            return F.sum(F.when(here, mine)) - F.count_if(here & ~null & (mine > 0))
+        lost = F.col(f"r{role[t.parent]}") == 0
+        return F.sum(F.when(here & (~null & lost if t.kind == "relationships" else null | lost), mine))
+
+    one = held.agg(*[F.coalesce(failures(k, t), F.lit(0)).cast("long").alias(f"t{k}") for k, t in enumerate(tests)])
+    told = [F.struct(F.lit(t.kind).alias("test_name"), F.lit(t.table).alias("table_name"), F.lit(t.column).alias("column_name"),
+                     F.col(f"t{k}").alias("failures")) for k, t in enumerate(tests)]
+    return one.select(F.inline(F.array(*told)))

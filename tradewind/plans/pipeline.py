@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,13 +20,6 @@ from tradewind.sources.warehouse import load_tables, read_tables
 from tradewind.store import shared
 
 
-# Columns that the tests read, by table.
-TESTED = {
-    "stg_customers": ("customer_id",), "stg_products": ("product_id",), "stg_orders": ("order_id",),
-    "dim_country": ("country_code",), "dim_customer": ("customer_id", "country_code"), "dim_product": ("product_id",),
-    "dim_date": ("date_day",), "fct_orders": ("order_id", "customer_id", "status", "net_amount_eur"),
-    "fct_returns": ("return_id", "order_id"), "fct_marketing_spend": ("country_code",),
-}
 KEYS = (("stg_customers", "customer_id"), ("stg_products", "product_id"), ("stg_orders", "order_id"),
         ("dim_country", "country_code"), ("dim_customer", "customer_id"), ("dim_product", "product_id"),
         ("dim_date", "date_day"), ("fct_orders", "order_id"), ("fct_returns", "return_id"))
@@ -37,34 +29,22 @@ LINKS = (("dim_customer", "country_code", "dim_country", "country_code"),
          ("fct_marketing_spend", "country_code", "dim_country", "country_code"))
 
 
-def tested_tables(m: Model) -> Callable[[str], DataFrame]:
-    """The tested columns of a table as built, stored when first asked for: all its tests read the same copy."""
-    @cache
-    def stored(name: str) -> DataFrame:
-        table = m.staged(name[4:]) if name.startswith("stg_") else m.table(name)
-        return materialize(table.select(*TESTED[name]), f"tested_{name}")
+def tested_table(m: Model) -> Callable[[str], DataFrame]:
+    """Tables as built, staged ones by their prefix."""
+    return lambda name: m.staged(name[4:]) if name.startswith("stg_") else m.table(name)
 
-    return stored
 
-
-def data_tests(table: Callable[[str], DataFrame], statuses: Sequence[str] = ORDER_STATUSES,
-               kind: str | None = None) -> list[DataFrame]:
+def data_tests(statuses: Sequence[str] = ORDER_STATUSES) -> list[q.Test]:
     """The model's declared tests on the tables they name: nine unique and non-null keys, four relationships, one value list."""
-    tests = {
-        "unique": lambda: [q.unique(table(t), t, k) for t, k in KEYS],
-        "not_null": lambda: [q.not_null(table(t), t, k) for t, k in KEYS],
-        "relationships": lambda: [q.relationship(table(t), t, c, table(parent), k) for t, c, parent, k in LINKS],
-        "accepted_values": lambda: [q.accepted_values(table("fct_orders"), "fct_orders", "status", statuses)],
-    }
-    return [t for name, make in tests.items() if kind in (None, name) for t in make()]
+    keys = [q.Test(kind, t, k) for kind in ("unique", "not_null") for t, k in KEYS]
+    links = [q.Test("relationships", t, c, (parent, k)) for t, c, parent, k in LINKS]
+    return [*keys, *links, q.Test("accepted_values", "fct_orders", "status", values=tuple(statuses))]
 
 
-def integrity_tests(table: Callable[[str], DataFrame]) -> list[DataFrame]:
+def integrity_tests() -> list[q.Test]:
     """Warehouse checks: duplicate orders, negative revenue, orders without a known customer."""
-    orders, customers = table("fct_orders"), table("dim_customer")
-    return [q.duplicates(orders, "fct_orders", "order_id"),
-            q.negative(orders, "fct_orders", "net_amount_eur"),
-            q.orphans(orders, "fct_orders", "customer_id", customers, "customer_id")]
+    return [q.Test("no_duplicates", "fct_orders", "order_id"), q.Test("not_negative", "fct_orders", "net_amount_eur"),
+            q.Test("no_orphans", "fct_orders", "customer_id", ("dim_customer", "customer_id"))]
 
 
 def gather_evidence(m: Model) -> DataFrame:
@@ -106,8 +86,7 @@ def run(spark: SparkSession, read: Callable[[str], DataFrame], out: str, inciden
             return self.staged(name)  # stored already
 
     m = Loaded(read, countries, categories)
-    table = tested_tables(m)
-    sinks.write_csv(q.report(data_tests(table) + integrity_tests(table)), f"{out}/data_tests")
+    sinks.write_csv(q.run_tests(tested_table(m), data_tests() + integrity_tests()), f"{out}/data_tests")
     flags = materialize(m.weekday_flags, "flags")
     by_country = materialize(m.stl_flags, "stl")
     stl = by_country.where(F.col("country_code") == ALL)

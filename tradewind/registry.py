@@ -531,20 +531,20 @@ def _(m):
 
 
 def _tests(m: Model, kind: str) -> DataFrame:
-    return q.report(pipeline.data_tests(pipeline.tested_tables(m), schemas.ORDER_STATUSES, kind))
+    return q.run_tests(pipeline.tested_table(m), [t for t in pipeline.data_tests(schemas.ORDER_STATUSES) if t.kind == kind])
 
 
-@query("test_unique")
+@query("test_unique", "orders")
 def _(m):
     return _tests(m, "unique")
 
 
-@query("test_not_null")
+@query("test_not_null", "orders")
 def _(m):
     return _tests(m, "not_null")
 
 
-@query("test_relationships")
+@query("test_relationships", "orders")
 def _(m):
     return _tests(m, "relationships")
 
@@ -556,13 +556,12 @@ def _(m):
 
 @query("test_integrity")
 def _(m):
-    return q.report(pipeline.integrity_tests(pipeline.tested_tables(m)))
+    return q.run_tests(pipeline.tested_table(m), pipeline.integrity_tests())
 
 
-@query("data_test_report")
+@query("data_test_report", "orders")
 def _(m):
-    table = pipeline.tested_tables(m)
-    return q.report(pipeline.data_tests(table, schemas.ORDER_STATUSES) + pipeline.integrity_tests(table))
+    return q.run_tests(pipeline.tested_table(m), pipeline.data_tests(schemas.ORDER_STATUSES) + pipeline.integrity_tests())
 
 
 # --- measures ----------------------------------------------------------------------------------
