@@ -75,17 +75,12 @@ def _dq() -> str:
 
 
 DQ_TEXT = """
-select table_name, case rule
-         when 'duplicates_dropped' then 'dropped ' || rows_affected || ' duplicate rows'
-         when 'missing_email' then rows_affected || ' rows (' || format('{:.1f}', share * 100) || '%) have no email'
-         when 'cost_imputed' then 'imputed ' || rows_affected || ' missing unit costs'
-         when 'slash_dates' then 'normalized ' || rows_affected || ' dates to ISO'
-         when 'sign_corrected' then 'corrected ' || rows_affected || ' negative amounts'
-         else 'filled ' || rows_affected || ' missing reasons' end as message,
+select table_name, label || ': ' || format('{:,}', rows_affected) || format(' ({:.1f}%)', share * 100) as message,
        cast(rows_affected as varchar) as number
-from dq_rows
-where rule in ('duplicates_dropped', 'missing_email', 'slash_dates', 'sign_corrected', 'reason_filled')
-   or rule = 'cost_imputed' and rows_affected > 0
+from dq_rows join (values ('duplicates_dropped', 'repeated rows left out'), ('missing_email', 'no email given'),
+  ('cost_imputed', 'unit cost estimated'), ('slash_dates', 'date written with slashes'), ('sign_corrected', 'amount below zero'),
+  ('reason_filled', 'no reason given')) as names(rule, label) using (rule)
+where rows_affected > 0
 """
 
 

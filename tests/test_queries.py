@@ -6,11 +6,11 @@ import re
 import pytest
 
 import __spark_entry__ as entry_point
+from oracle.queries import ORACLE
 from tradewind.registry import QUERIES, model
 
 duckdb = pytest.importorskip("duckdb")
 TABLES = "region nation customer supplier part orders lineitem documents".split()
-ORACLE = entry_point.oracle_sql()
 ROWS_ONLY = {"evidence_json", "stl_poisson", "stl_anomaly_feed", "detector_scores_stl", "threshold_sweep_stl",
              "anomaly_eval_lines"}
 

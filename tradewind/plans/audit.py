@@ -84,28 +84,22 @@ def nonstandard_dates(orders: DataFrame, returns: DataFrame) -> DataFrame:
             F.lit("returns").alias("table_name"), "nonstandard_rows"))
 
 
+#: how the log names what a rule counts
+WORDING = {
+    "duplicates_dropped": "repeated rows left out", "unknown_country": "country outside the list", "missing_email": "no email given",
+    "cost_imputed": "unit cost estimated", "slash_dates": "date written with slashes", "dashed_dates": "date written day first",
+    "sign_corrected": "amount below zero", "reason_filled": "no reason given", "spend_clipped": "spend below zero",
+    "base_rows_added": "days added for the base currency", "rows_written": "rows kept",
+}
+
+
 def dq_messages(report: DataFrame) -> DataFrame:
-    """The report's applicable rules in words: (table_name, rule, rows_affected, message)."""
-    n = F.col("rows_affected").cast("string")
-    share = plain_number(F.col("share") * 100, 1)
-    text = (
-        F.when(F.col("rule") == "duplicates_dropped", F.concat(F.lit("dropped "), n, F.lit(" duplicate rows")))
-        .when(F.col("rule") == "unknown_country", F.concat(n, F.lit(" rows had an unknown country, now UNK")))
-        .when(F.col("rule") == "missing_email", F.concat(n, F.lit(" rows ("), share, F.lit("%) have no email")))
-        .when(F.col("rule") == "cost_imputed", F.concat(F.lit("imputed "), n, F.lit(" missing unit costs")))
-        .when(F.col("rule") == "slash_dates", F.concat(F.lit("normalized "), n, F.lit(" dates to ISO")))
-        .when(F.col("rule") == "sign_corrected", F.concat(F.lit("corrected "), n, F.lit(" negative amounts")))
-        .when(F.col("rule") == "reason_filled", F.concat(F.lit("filled "), n, F.lit(" missing reasons")))
-        .when(F.col("rule") == "spend_clipped", F.concat(n, F.lit(" negative spend values set to zero")))
-        .when(F.col("rule") == "base_rows_added", F.concat(F.lit("added "), n, F.lit(" base currency rows")))
-        .when(F.col("rule") == "rows_written", F.concat(
-            F.lit("wrote "), F.format_string("%,d", "rows_affected"), F.lit(" rows to "), F.col("table_name"),
-            F.lit(".csv"))))
-    # these repairs are only worth a line when they happened
-    silent = F.col("rule").isin("unknown_country", "cost_imputed", "spend_clipped") & (F.col("rows_affected") == 0)
-    silent = silent | ((F.col("rule") == "duplicates_dropped") & (F.col("table_name") == "order_items")
-                       & (F.col("rows_affected") == 0))
-    return report.where(~silent & text.isNotNull()).select("table_name", "rule", "rows_affected", text.alias("message"))
+    """(table_name, rule, rows_affected, message): each rule that met any row as ``name: rows (share of the rows kept)``."""
+    named = F.create_map(*[F.lit(x) for pair in WORDING.items() for x in pair])
+    share = F.concat(F.lit(" ("), plain_number(F.col("share") * 100, 1), F.lit("%)"))
+    told = F.concat(named[F.col("rule")], F.lit(": "), F.format_string("%,d", "rows_affected"),
+                    F.when(F.col("rule") == "rows_written", F.lit("")).otherwise(share))
+    return report.where("rows_affected > 0").select("table_name", "rule", "rows_affected", told.alias("message"))
 
 
 def dq_lines(report: DataFrame) -> DataFrame:
