@@ -205,6 +205,17 @@ def test_audit_matches_brute_force(spark):
     assert {tuple(r)[:3]: tuple(r)[3:] for r in found.collect()} == audited(rows, labels)
 
 
+def test_audit_equals_its_sql(spark, sf_dir):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"create view {name} as select * from '{sf_dir}/{name}.parquet'")
+    done = con.execute(queries.ORACLE["op11_filter_interaction_audit"])
+    columns = [c[0] for c in done.description]
+    found = queries.op11_filter_interaction_audit(spark, sf_dir).select(*columns).collect()
+    assert sorted(map(tuple, found)) == sorted(done.fetchall())
+
+
 def test_audit_of_nothing(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert filter_audit.audit(tables.empty(spark), labels).collect() == []
