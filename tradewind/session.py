@@ -23,6 +23,8 @@ CONF = {
 def build_session(app: str = "tradewind", master: str | None = None, **conf: str) -> SparkSession:
     """A session with CONF applied; ``master`` is left to spark-submit when not given."""
     builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    # exports run side by side, a pool each
+    builder = builder.config("spark.scheduler.mode", "FAIR")
     # recording the caller's line for every column expression makes building large plans slow
     builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
