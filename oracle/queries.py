@@ -394,6 +394,11 @@ full join (select cast(date_trunc('year', order_date) as date) as year, cast(sum
 select channel, count_if(status = 'cancelled') as cancelled_orders, count(*) as orders,
        count_if(status = 'cancelled') / cast(count(*) as double) as cancelled_order_rate
 from c_orders where country_code in ('NATION_1', 'NATION_2', 'NATION_3') group by 1""",
+    "scan_csv_quarantine": """
+select '' as column_name, 'kept' as reason, count(*) as records, cast(sum(net_amount_eur) as double) as net_amount_eur
+from r_orders where ingest_seq % 50 <> 0
+union all
+select 'net_amount_eur', 'does not fit its type', count(*), null from r_orders where ingest_seq % 50 = 0""",
     "scan_csv_rejects": """
 select 'orders' as table_name, c as column_name, (select count(*) from r_orders) as rows_read,
        case c when 'net_amount_eur' then (select count(*) from r_orders where ingest_seq % 50 = 0) else 0 end as rejected

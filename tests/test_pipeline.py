@@ -12,7 +12,7 @@ from tradewind.plans.model import EXPORTED
 from tradewind.registry import model
 from tradewind.scale import scratch_dir
 from tradewind.sources import adapter
-from tradewind.sources.csv import count_rejects, read_csv, read_extract, write_csv
+from tradewind.sources.csv import REASONS, count_rejects, read_csv, read_extract, read_or_quarantine, write_csv
 from tradewind.sources.schemas import RAW_SCHEMAS
 
 ORDER = "order_id string, customer_id string, order_date date, country_code string, status string, net_amount_eur decimal(12,2)"
@@ -213,6 +213,26 @@ def test_a_set_is_published_whole_or_not_at_all(spark, tmp_path):
     assert manifest.rows == 7 and manifest.table_schema == "struct<id:bigint,v:string>" and manifest.files
 
 
+def test_records_are_kept_or_quarantined(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    lines = ["note,amount,id", "fine,1.50,1", "NA,,2", "wide,98765432109876.54,3", "two faults,x,y", '"broken "quote,2.00,4', "short,5",
+             'said ""hi"",3.00,6', '"a, b",4.00,7', "long,1.00,8,9", "last,-2.25,10"]
+    (folder / "part.csv").write_text("\n".join(lines) + "\n")
+    (folder / "other.csv").write_text("note,amount,id\nmore,7.00,11\nbad,seven,12\n")
+    kept, lost = read_or_quarantine(spark, str(folder), "id int, amount decimal(12,2), note string")
+    good = {r.id: (r.amount, r.note) for r in kept.collect()}
+    assert kept.columns == ["id", "amount", "note"]
+    assert {1, 2, 7, 10, 11} <= set(good) and good[2] == (None, None) and good[7] == (D("4.00"), "a, b") and not {3, 8, 12} & set(good)
+    faults = lost.collect()
+    places = {(r.file, r.block, r.row) for r in faults}
+    assert len(good) + len(places) == 12  # every record once
+    told = {(r.column_name, r.cell, r.reason) for r in faults}
+    assert {("amount", "98765432109876.54", REASONS[0]), ("amount", "x", REASONS[0]), ("id", "y", REASONS[0]), ("amount", "seven", REASONS[0]),
+            ("", "short,5", REASONS[1]), ("", "long,1.00,8,9", REASONS[1])} <= told
+    assert sum(r.cell in ("x", "y") for r in faults) == 2 and len({(r.file, r.row) for r in faults if r.cell in ("x", "y")}) == 1
+
+
 def test_evidence_document_holds_the_evidence(spark, tmp_path):
     rows = [("headline", 1, "all", "total", 12.5, None), ("headline", 1, "all", "month", None, "2024-05-01"),
             ("top", 1, 'é "x"', "n", 3.0, None), ("top", 2, "b", "n", 1e15, None)]

@@ -88,6 +88,21 @@ def _(m):
     return csv.count_rejects(spark, path, schemas.RAW_SCHEMAS["orders"], "orders")
 
 
+@query("scan_csv_quarantine")
+def _(m):
+    """Records kept, and quarantined ones by column and reason: the same planted amounts, each record in one place."""
+    raw = m.raw("orders")
+    spark = raw.sparkSession
+    path = scratch_path(spark, "orders_csv")
+    wide = F.when(F.col("ingest_seq") % 50 == 0, "98765432109876.54").otherwise(F.col("net_amount_eur").cast("string"))
+    csv.write_csv(raw.withColumn("net_amount_eur", wide).drop("ingest_seq"), path)
+    kept, lost = csv.read_or_quarantine(spark, path, schemas.RAW_SCHEMAS["orders"])
+    one = kept.agg(F.count("*").alias("records"), F.sum("net_amount_eur").cast("double").alias("net_amount_eur")).select(
+        F.lit("").alias("column_name"), F.lit("kept").alias("reason"), "records", "net_amount_eur")
+    places = F.count_distinct("file", "block", "row").alias("records")
+    return one.unionByName(lost.groupBy("column_name", "reason").agg(places).withColumn("net_amount_eur", F.lit(None).cast("double")))
+
+
 @query("load_counts")
 def _(m):
     """Create or replace one table per clean extract, then count what was stored, in a database of this call's own."""

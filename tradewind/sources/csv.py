@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tradewind.scale import materialize
 from tradewind.sources.schemas import NA_TOKENS, ORDERED_EXTRACTS, RAW_SCHEMAS
 
 
@@ -67,6 +68,46 @@ def count_rejects(spark: SparkSession, path: str, schema: str, table: str, multi
         F.lit(table).alias("table_name"), F.col("_r.c").alias("column_name"), "rows_read", F.col("_r.n").alias("rejected"))
 
 
+REASONS = ("does not fit its type", "record does not fit the header")
+
+
+def read_or_quarantine(spark: SparkSession, path: str, schema: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(records in the columns and types of ``schema``, what kept the other records out), from one reading of the files.
+
+    The second has a row per fault: file, block, row (the record's place as ``ingest_seq`` gives it), column_name, cell and reason. A
+    record with any fault is in the second only, whole records with the wrong number of cells or broken quoting with the
+    record itself as the cell. So the records of the files are those kept and the distinct places of those quarantined. Missing-value
+    tokens are null, not faults. The records are stored once in the scratch folder.
+    """
+    fields = T.StructType.fromDDL(schema).fields
+    header = read_text(spark, path, [f.name for f in fields], multi_line).columns
+    broken = "_broken"
+    while broken in header:
+        broken += "_"
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in [*header, broken]])
+    df = spark.read.schema(texts).csv(path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=broken, escape='"',
+                                      multiLine=multi_line, enforceSchema=False)
+
+    def fault(column: str, cell: Column, reason: str) -> Column:
+        return F.struct(F.lit(column).alias("column_name"), cell.alias("cell"), F.lit(reason).alias("reason"))
+
+    whole = F.col(f"`{broken}`")
+    faults = [F.when(whole.isNotNull(), fault("", whole, REASONS[1]))]
+    for f in fields:
+        if not isinstance(f.dataType, T.StringType):
+            text = F.col(f"`{f.name}`")
+            misfit = whole.isNull() & text.isNotNull() & ~text.isin(*NA_TOKENS) & text.try_cast(f.dataType).isNull()
+            faults.append(F.when(misfit, fault(f.name, text, REASONS[0])))
+    cells = [_cell(f.name, f.dataType, False) for f in fields]
+    read = df.select(F.struct(*cells).alias("record"), F.array_compact(F.array(*faults)).alias("faults"),
+                     F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("row"))
+    read = materialize(read, "records")
+    kept = read.where(F.size("faults") == 0).select("record.*")
+    return kept, read.where(F.size("faults") > 0).select("file", "block", "row", F.explode("faults").alias("f")).select(
+        "file", "block", "row", "f.*")
+
+
 def read_extract(spark: SparkSession, path: str, name: str, multi_line: bool = False, strict: bool = True) -> DataFrame:
     """One of the eight raw extracts by name."""
     return read_csv(spark, path, RAW_SCHEMAS[name], name in ORDERED_EXTRACTS, multi_line, strict)
