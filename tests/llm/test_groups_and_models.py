@@ -296,6 +296,34 @@ def test_classifier_on_held_out_documents(spark):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {k for k, r in got.items() if r.kept}
 
 
+def test_views_choose_among_all_documents(spark):
+    rows, labels = corpus(600)
+    df = tables.frame(spark, rows + [(None, "x", None, None, 1)] + [(9000 + k, rows[0][1], "en", "junk", 1) for k in range(200)])
+    known = spark.createDataFrame([x for x in labels if x[0] % 4 == 0], "doc_id long, quality int")
+    narrow = cotraining._narrow(df, "doc_id", "text", "source", "lang")
+    features = cotraining.features_of(narrow.join(known, "doc_id").select(*narrow.columns, "quality"))
+    state = cotraining.CoTraining(features)
+    models = state.fit_views()
+    chosen = cotraining.surest(narrow, known, models, 7, 5).to_pylist()
+    margins = {}
+    for doc, body, lang, source, _ in rows:
+        if doc % 4:
+            data, offsets = text.flat(pa.array([body]))
+            margins[doc] = (cotraining.content_margin(data, offsets, models[0].weights)[0] + models[0].bias,
+                            models[1].margin(cotraining.metadata_matrix(data, offsets, [source], [lang]))[0])
+    for view in (0, 1):
+        mine = {c["doc_id"] for c in chosen if c["view"] == view and c["label"] == 1}
+        assert len(mine) <= 7 and all(margins[d][view] >= 2.94 for d in mine)
+        if len(mine) == 7:
+            worst = min(margins[d][view] for d in mine)
+            better = {m for d, m in margins.items() if m[view] > worst + 1e-9}
+            assert len(better) < 7
+    assert sum(c["doc_id"] >= 9000 for c in chosen) == 0 or len([c for c in chosen if c["doc_id"] >= 9000]) <= 2  # copies stand for one
+    state.learn(cotraining.surest(narrow, known, models, 7, 5), cotraining.features_of(
+        narrow.where("doc_id % 4 = 1").limit(3).selectExpr("*", "-1 AS quality")))
+    assert len(state.ids) == len(features) + 3 == len(state.views[0]) == len(state.labels[1])
+
+
 def test_margins_equal_the_matrix():
     data, offsets = text.flat(pa.array(["", "ab", "hello there, World 12", None, "é" * 50]))
     weights = np.random.default_rng(0).normal(size=cotraining.RAW + cotraining.SHAPE)

@@ -8,8 +8,9 @@ they join the other view's training set. Held-out labels then calibrate each vie
 how the two are combined. A second holdout sets the cutoff: least cost, with at most ``max_false_rejection`` of the good
 rows rejected.
 
-The model is fitted on bounded samples of rows, the documents with the smallest hashes of their ids: ``labelled`` labelled and
-``unlabelled`` unlabelled ones. Their feature vectors, of fixed width, are all that reaches the driver; every document is scored.
+The first models are fitted on a bounded sample of labelled rows, the ``labelled`` documents with the smallest hashes of their ids.
+In each round every unlabelled document is scored by Spark, and the most and least likely of all of them, ``exchanged`` per view (equal
+texts once), join the fit: only their feature vectors, of fixed width, reach the driver. Every document is scored in the end.
 
 Null and empty texts have zero content features and are scored like any other. A document whose labels disagree counts as
 good; null ids and labels are ignored. Documents with equal ids are sampled once, scored each. Without labels of both classes
@@ -30,13 +31,13 @@ from tradewind.llm.frames import map_batches, quoted, rewrite_batches, stored
 from tradewind.llm.quality_rules import measure
 
 U = np.uint64
-RAW, SHAPE = 2048, 2048
+RAW, SHAPE = 1024, 1024
 SOURCES, LANGS = 64, 32
 GRID = (0.005, 0.01, 0.02, 0.03, 0.05, 0.08, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.7, 0.9)
 LENGTHS = (1, 5, 10, 20, 50, 100, 200, 500, 1000, 2000, 5000, 20000)
 WORD_SIZES = (2, 3, 4, 4.5, 5, 5.5, 6, 7, 8, 10, 15, 25)
 LINE_SIZES = (10, 20, 40, 60, 80, 120, 200, 400, 1000)
-ROUNDS, SURE, SHARE = 4, 0.95, 0.05
+ROUNDS, SURE = 2, 0.95
 
 
 def shape_of(byte: int) -> int:
@@ -50,22 +51,24 @@ SHAPES = np.array([shape_of(b) for b in range(256)], np.uint8)
 
 
 def grams(data: np.ndarray, offsets: np.ndarray, size: int, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed slot and row of every ``size`` consecutive bytes of one row."""
+    """Hashed slot of every ``size`` consecutive bytes, four at most, and which of them lie within one row."""
     n = max(0, len(data) - size + 1)
-    key = np.zeros(n, U)
-    for k in range(size):
-        key = key << U(8) | data[k:k + n].astype(U)
-    with np.errstate(over="ignore"):
-        slot = (key * tx.BASE >> U(64 - width.bit_length() + 1)).astype(np.int64)
-    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:n]
-    whole = np.arange(n) + size <= offsets[1:][row]
-    return slot[whole], row[whole]
+    key = data[:n].astype(np.uint32)
+    for k in range(1, size):
+        key <<= np.uint32(8)
+        key |= data[k:k + n]
+    key *= np.uint32(0x9E3779B1)
+    key >>= np.uint32(33 - width.bit_length())
+    whole = np.ones(n, bool)
+    for k in range(1, size):  # starts from which a row's end is nearer than the gram is long
+        late = offsets[1:] - k
+        whole[late[(late >= 0) & (late < n)]] = False
+    return key.view(np.int32), whole
 
 
 def content_grams(data, offsets):
-    """(slot, row) of both families; shape slots follow the raw ones."""
-    raw = grams(data, offsets, 3, RAW)
-    shape = grams(SHAPES[data], offsets, 4, SHAPE)
+    """(slot, within a row) of both families; shape slots follow the raw ones."""
+    raw, shape = grams(data, offsets, 3, RAW), grams(SHAPES[data], offsets, 4, SHAPE)
     return raw, (shape[0] + RAW, shape[1])
 
 
@@ -73,19 +76,22 @@ def content_matrix(data, offsets) -> np.ndarray:
     """Relative frequencies of each family's slots, a row per text."""
     rows = len(offsets) - 1
     out = np.zeros((rows, RAW + SHAPE), np.float32)
-    for slot, row in content_grams(data, offsets):
-        count = np.bincount(row * (RAW + SHAPE) + slot, minlength=out.size).reshape(out.shape)
+    for slot, whole in content_grams(data, offsets):
+        row = np.repeat(np.arange(rows), np.diff(offsets))[:len(slot)][whole]
+        count = np.bincount(row * (RAW + SHAPE) + slot[whole], minlength=out.size).reshape(out.shape)
         out += count / np.maximum(1, count.sum(axis=1, keepdims=True))
     return out
 
 
 def content_margin(data, offsets, weights: np.ndarray) -> np.ndarray:
     """The matrix times the weights, without the matrix."""
-    rows = len(offsets) - 1
-    out = np.zeros(rows)
-    for slot, row in content_grams(data, offsets):
-        total = np.bincount(row, weights[slot], rows)
-        out += total / np.maximum(1, tx.per_row(row, rows))
+    out = np.zeros(len(offsets) - 1)
+    for slot, whole in content_grams(data, offsets):
+        total, count = np.zeros(len(slot) + 1), np.zeros(len(slot) + 1, np.int64)
+        np.cumsum(weights[slot] * whole, out=total[1:])
+        np.cumsum(whole, out=count[1:])
+        lo, hi = np.minimum(offsets[:-1], len(slot)), np.minimum(offsets[1:], len(slot))
+        out += (total[hi] - total[lo]) / np.maximum(1, count[hi] - count[lo])
     return out
 
 
@@ -187,40 +193,48 @@ class Model:
                             self.metadata.margin(metadata_matrix(data, offsets, sources, langs)))
 
 
-def co_train(x_content, x_metadata, y, fold, max_false_rejection: float) -> Model | None:
-    """``y`` is 1, 0 or -1 for unlabelled; labelled rows of folds 0 and 1 train, 2 calibrates, 3 sets the cutoff."""
-    train = (y >= 0) & (fold < 2)
-    if len(set(y[train].tolist())) < 2 or len(set(y[(y >= 0) & (fold == 2)].tolist())) < 2 or not ((y == 1) & (fold == 3)).any():
-        return None
-    views = (x_content, x_metadata)
-    labels = [np.where(train, y, -1) for _ in views]
-    pool = np.flatnonzero(y < 0)
-    good_share = y[train].mean()
-    take = max(2, int(SHARE * len(pool)))
-    models = [None, None]
-    for turn in range(ROUNDS + 1):
-        for k, x in enumerate(views):
-            models[k] = Linear.fit(x, labels[k])
-        if turn == ROUNDS or not len(pool):
-            break
-        proposals = []
-        for k, x in enumerate(views):
-            # sure by the rank of the margin and by the probability
-            margin = models[k].margin(x[pool])
-            p, order = sigmoid(margin), np.argsort(margin, kind="stable")
-            top, low = order[::-1][:max(1, int(take * good_share))], order[:max(1, int(take * (1 - good_share)))]
-            proposals.append([(pool[top[p[top] >= SURE]], 1), (pool[low[p[low] <= 1 - SURE]], 0)])
-        for k, proposal in enumerate(proposals):
-            for rows, label in proposal:
-                labels[1 - k][rows] = label
-    content, metadata = (m.margin(x) for m, x in zip(models, views, strict=True))
-    held = (y >= 0) & (fold == 2)
-    curves = [logistic(m[held][:, None], y[held]) for m in (content, metadata)]
-    both = np.column_stack([np.clip(m[held] * c[0] + c[1], -12, 12) for m, c in zip((content, metadata), curves, strict=True)])
-    model = Model(*models, *curves, logistic(both, y[held]), 0.0)
-    last = model.blended(content, metadata)[2]
-    model.cutoff = best_cutoff(np.sort(last[(y == 1) & (fold == 3)]), np.sort(last[(y == 0) & (fold == 3)]), max_false_rejection)
-    return model
+class CoTraining:
+    """Two views' training sets, which grow by what the other view is sure of; folds 0 and 1 train, 2 calibrates, 3 sets the cutoff."""
+
+    def __init__(self, rows: pa.Table):
+        self.ids = rows["doc_id"].to_numpy()
+        self.views = [matrix(rows["content"], np.float16), matrix(rows["metadata"], np.uint8)]
+        self.truth = rows["quality"].to_numpy()
+        self.fold = rows["fold"].to_numpy()
+        self.labels = [np.where(self.fold < 2, self.truth, -1) for _ in self.views]
+
+    def teachable(self) -> bool:
+        return (len(set(self.truth[self.fold < 2].tolist())) == 2 and len(set(self.truth[self.fold == 2].tolist())) == 2
+                and bool(((self.truth == 1) & (self.fold == 3)).any()))
+
+    def fit_views(self) -> list[Linear]:
+        return [Linear.fit(x, y) for x, y in zip(self.views, self.labels, strict=True)]
+
+    def learn(self, chosen: pa.Table, rows: pa.Table) -> None:
+        """What one view chose (doc_id, view, label) joins the other's training set; ``rows`` has the features of documents new to both."""
+        new = len(rows)
+        self.ids = np.concatenate([self.ids, rows["doc_id"].to_numpy()])
+        self.truth, self.fold = np.append(self.truth, np.full(new, -1)), np.append(self.fold, np.full(new, -1))
+        self.labels = [np.append(y, np.full(new, -1)) for y in self.labels]
+        for k, kind in enumerate((np.float16, np.uint8)):
+            if new:
+                self.views[k] = np.concatenate([self.views[k], matrix(rows[("content", "metadata")[k]], kind)])
+        place = {d: k for k, d in enumerate(self.ids.tolist())}
+        for doc, view, label in zip(*(chosen[c].to_pylist() for c in ("doc_id", "view", "label")), strict=True):
+            if doc in place:
+                self.labels[1 - view][place[doc]] = label
+
+    def blend(self, models: list[Linear], max_false_rejection: float) -> Model:
+        """Calibrated views, how they combine, and the cutoff."""
+        margins = [m.margin(x) for m, x in zip(models, self.views, strict=True)]
+        held, y = self.fold == 2, self.truth
+        curves = [logistic(m[held][:, None], y[held]) for m in margins]
+        both = np.column_stack([np.clip(m[held] * c[0] + c[1], -12, 12) for m, c in zip(margins, curves, strict=True)])
+        model = Model(*models, *curves, logistic(both, y[held]), 0.0)
+        last = model.blended(*margins)[2]
+        good, bad = (np.sort(last[(y == label) & (self.fold == 3)]) for label in (1, 0))
+        model.cutoff = best_cutoff(good, bad, max_false_rejection)
+        return model
 
 
 def best_cutoff(good: np.ndarray, bad: np.ndarray, max_false_rejection: float, weight: int = 5) -> float:
@@ -242,19 +256,13 @@ def _narrow(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_c
                        quoted(source_col).cast("string").alias("source"), quoted(lang_col).cast("string").alias("lang"))
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = 6000, unlabelled: int = 3000, max_false_rejection: float = 0.01,
-        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> Model | None:
-    """The model, fitted on the driver from at most ``labelled + unlabelled`` feature vectors of fixed width."""
-    narrow = _narrow(docs, id_col, text_col, source_col, lang_col)
-    known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-             .where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality")))
-    ids = narrow.select("doc_id").where("doc_id is not null").distinct()
-    rank = F.xxhash64("doc_id")
-    chosen = ids.join(known, "doc_id").orderBy(rank, "doc_id").limit(labelled)
-    others = ids.join(known, "doc_id", "left_anti").orderBy(rank, "doc_id").limit(unlabelled)
-    sample = stored(chosen.unionByName(others.withColumn("quality", F.lit(-1))), "sample")
+FEATURES = "doc_id long, quality int, content binary, metadata binary"
+
+
+def features_of(rows: DataFrame) -> pa.Table:
+    """(doc_id, quality, content, metadata, fold) of few documents, each id once."""
 
-    def features(batch):
+    def run(batch):
         for lo, hi, data, offsets in tx.parts(batch.column(1)):
             some = batch.slice(lo, hi - lo)
             content = content_matrix(data, offsets).astype(np.float16)
@@ -263,14 +271,67 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = 6000, unlabelled: in
                 [some.column(0), some.column(4), pa.array([r.tobytes() for r in content], pa.binary()),
                  pa.array([r.tobytes() for r in metadata], pa.binary())], ["doc_id", "quality", "content", "metadata"])
 
-    rows = map_batches(narrow.join(sample, "doc_id").select(*narrow.columns, "quality"), features,
-                       "doc_id long, quality int, content binary, metadata binary")
-    rows = rows.groupBy("doc_id", "quality").agg(F.min(F.struct("content", "metadata")).alias("x")).select("doc_id", "quality", "x.*")
-    rows = rows.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(4))).orderBy("doc_id").toArrow()
+    found = map_batches(rows, run, FEATURES)
+    found = found.groupBy("doc_id", "quality").agg(F.min(F.struct("content", "metadata")).alias("x")).select("doc_id", "quality", "x.*")
+    return found.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(4))).orderBy("doc_id").toArrow()
+
+
+def surest(narrow: DataFrame, known: DataFrame, models: list[Linear], good: int, bad: int) -> pa.Table:
+    """(doc_id, view, label): what each view is surest of among all documents without a label, at most ``good`` and ``bad`` of them.
+
+    All documents are scored. Documents of equal margins, as copies are, stand for one.
+    """
+    content, metadata = models
+
+    def run(batch):
+        for lo, hi, data, offsets in tx.parts(batch.column(1)):
+            some = batch.slice(lo, hi - lo)
+            margins = (content_margin(data, offsets, content.weights) + content.bias,
+                       metadata.margin(metadata_matrix(data, offsets, some.column(2).to_pylist(), some.column(3).to_pylist())))
+            yield pa.RecordBatch.from_arrays([some.column(0), *[pa.array(m, pa.float64()) for m in margins]], ["doc_id", "content", "metadata"])
+
+    margins = map_batches(narrow.where("doc_id is not null"), run, "doc_id long, content double, metadata double")
+    open_ = margins.join(known.select("doc_id"), "doc_id", "left_anti")
+    ranked = stored(open_.groupBy("content", "metadata").agg(F.min("doc_id").alias("doc_id")), "margins")
+    edge = float(np.log(SURE / (1 - SURE)))
+    chosen = []
+    for view, name in enumerate(("content", "metadata")):
+        for label, sure, order, count in ((1, F.col(name) >= edge, F.desc(name), good), (0, F.col(name) <= -edge, F.asc(name), bad)):
+            chosen.append(ranked.where(sure).orderBy(order, "doc_id").limit(count).select(
+                "doc_id", F.lit(view).alias("view"), F.lit(label).alias("label")))
+    union = chosen[0]
+    for more in chosen[1:]:
+        union = union.unionByName(more)
+    return union.toArrow()
+
+
+def fit(docs: DataFrame, labels: DataFrame, labelled: int = 4000, exchanged: int = 150, max_false_rejection: float = 0.01,
+        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> Model | None:
+    """The model. The driver holds at most ``labelled + 2 * ROUNDS * exchanged`` feature vectors of fixed width."""
+    narrow = _narrow(docs, id_col, text_col, source_col, lang_col)
+    known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
+             .where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality")))
+    ids = narrow.select("doc_id").where("doc_id is not null").distinct()
+    sample = stored(ids.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled), "sample")
+    rows = features_of(narrow.join(sample, "doc_id").select(*narrow.columns, "quality"))
     if not rows.num_rows:
         return None
-    return co_train(matrix(rows["content"], np.float16), matrix(rows["metadata"], np.uint8), rows["quality"].to_numpy(),
-                    rows["fold"].to_numpy(), max_false_rejection)
+    state = CoTraining(rows)
+    del rows
+    if not state.teachable():
+        return None
+    share = float(state.truth[state.fold < 2].mean())
+    models = state.fit_views()
+    for _ in range(ROUNDS):
+        chosen = surest(narrow, known, models, max(1, int(exchanged * share)), max(1, int(exchanged * (1 - share))))
+        new = sorted(set(chosen["doc_id"].to_pylist()) - set(state.ids.tolist()))
+        if not chosen.num_rows:
+            break
+        # as many ids as views choose in a round, at most
+        wanted = F.broadcast(docs.sparkSession.createDataFrame([(d, -1) for d in new], "doc_id long, quality int"))
+        state.learn(chosen, features_of(narrow.join(wanted, "doc_id").select(*narrow.columns, "quality")))
+        models = state.fit_views()
+    return state.blend(models, max_false_rejection)
 
 
 def matrix(column: pa.ChunkedArray, kind) -> np.ndarray:
