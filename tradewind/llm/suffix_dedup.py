@@ -182,7 +182,7 @@ def context_rows(texts: Texts, shard: int, replies: pa.Table, length: int, bucke
     records["more"] = [len(m) for m in members]
     bodies = [body for _, body in seen]
     # hot contexts are dealt by content, the others by their anchor
-    content = tx.span_hashes(texts.data, first[k], last[k] + length)
+    content = tx.rolling_hashes(texts.data, first[k], last[k] + length)
     order, route, lo, hi = dealt(np.where(records["hot"] == 1, content, records["anchor"]), routes)
     packs = []
     for a, b in zip(lo, hi, strict=True):
@@ -293,8 +293,8 @@ def settle_contexts(rows: pa.Table, length: int, routes: int) -> pa.Table:
     if len(hot):
         windows, owner, within = windows_of(records[hot], shards[hot], length)
         start = at[hot][owner] + within
-        windows["w1"] = tx.span_hashes(data, start, start + length)
-        windows["w2"] = tx.span_hashes(data[::-1], len(data) - start - length, len(data) - start)
+        windows["w1"] = tx.rolling_hashes(data, start, start + length)
+        windows["w2"] = tx.rolling_hashes(data[::-1], len(data) - start - length, len(data) - start)
         kept, removed = merged([sorted_run(windows)])
         window_ranges(ranges, removed, length)
         order, route, lo, hi = dealt(kept["w1"], routes)

@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tradewind.llm import xxh64
+
 PART_BYTES = 1 << 20
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
@@ -96,8 +98,12 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans: equal bytes, equal hash, wherever they stand."""
+def rolling_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit polynomial hashes of spans that may overlap, for spans of a few hundred bytes at most.
+
+    Modulo a power of two some pairs of regular words of a thousand letters and more collide under any base; nothing longer than
+    a window may be told apart by these.
+    """
     up, down = powers(len(data) + 1)
     with np.errstate(over="ignore"):
         total = np.zeros(len(data) + 1, U)
@@ -105,12 +111,46 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U) * BASE)
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """XXH64 of byte spans: equal bytes, equal hash, wherever they stand."""
+    return xxh64.hash_spans(data, starts, ends, 0)
+
+
 def hash_of(word: bytes) -> np.uint64:
     """The hash that ``span_hashes`` gives to these bytes."""
     data = np.frombuffer(word, np.uint8)
     return span_hashes(data, np.array([0]), np.array([len(data)]))[0]
 
 
+def same_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(one span of each distinct content, number of each span's content), by the bytes themselves.
+
+    Spans under eight bytes are numbers: their bytes and their size. Longer ones are looked up as bytes.
+    """
+    size = ends - starts
+    short = size < 8
+    spare = np.concatenate([data, np.zeros(8, np.uint8)])
+    lanes = np.lib.stride_tricks.as_strided(np.frombuffer(spare, "<u8", 1), (len(data) + 1,), (1,))
+    keep = (U(1) << (np.arange(8, dtype=U) * U(8))) - U(1)
+    at = np.flatnonzero(short)
+    key = (lanes[starts[at]] & keep[size[at]]) | size[at].astype(U) << U(56)
+    _, first, number = np.unique(key, return_index=True, return_inverse=True)
+    numbers, firsts = np.empty(len(starts), np.int64), [at[first]]
+    numbers[at] = number
+    rest = np.flatnonzero(~short)
+    if len(rest):
+        raw, known, new = data.tobytes(), {}, []
+        for k, a, b in zip(rest.tolist(), starts[rest].tolist(), ends[rest].tolist(), strict=True):
+            word = raw[a:b]
+            seen = known.get(word)
+            if seen is None:
+                seen = known[word] = len(first) + len(new)
+                new.append(k)
+            numbers[k] = seen
+        firsts.append(np.array(new, np.int64))
+    return np.concatenate(firsts), numbers
+
+
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """Hashes of every ``size`` consecutive words, rows ignored: entry i starts at word i."""
     n = max(0, len(words) - size + 1)

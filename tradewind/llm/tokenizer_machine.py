@@ -10,13 +10,14 @@ prefix's own encoding, and two neighbouring tokens may stand in an encoding iff
 again. A state holds, for each suffix that begins some token, its place in the token trie, the token before it and how many tokens
 precede it relative to the prefix's count; a transition is annotated with the change of the count (it may be negative where a
 longer token absorbs earlier ones). Deterministic states are built as texts first need them and kept per worker.
-Counts of distinct pre-tokens are kept by hash, so each one runs through the machine once per worker.
+Counts of distinct pre-tokens are kept under their bytes, so each one runs through the machine once per worker.
 """
 
 from __future__ import annotations
 
 import json
 import unicodedata
+from itertools import repeat
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -266,7 +267,8 @@ class TokenMachine:
 class CompiledTokenizer:
     """Pre-token spans and token counts of many texts, from a tokenizer file's JSON."""
 
-    KEPT_WORDS, KEPT_STATES = 1 << 20, 1 << 16  # memory of a worker: then the kept results start anew
+    KEPT_WORDS, KEPT_STATES = 1 << 19, 1 << 16  # memory of a worker: then the kept results start anew
+    LONGEST = 64  # bytes of the longest pre-token whose count is kept
 
     def __init__(self, source: str):
         spec = json.loads(source)
@@ -285,12 +287,7 @@ class CompiledTokenizer:
         self.library.no_padding()
         self.machine = TokenMachine(model["vocab"], model["merges"])
         self.classes = _class_table()
-        self.known, self.counts = np.zeros(0, tx.U), np.zeros(0, np.int64)
-        self.forget_ids()
-
-    def forget_ids(self) -> None:
-        self.encoded, self.sizes = np.zeros(0, tx.U), np.zeros(0, np.int64)
-        self.pool, self.pool_at = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.known: dict[bytes, int] = {}
 
     def class_of(self, cps: np.ndarray) -> np.ndarray:
         out = self.classes[cps]
@@ -373,60 +370,21 @@ class CompiledTokenizer:
                 np.concatenate([seg_row[owner], seg_row[special]])[order],
                 np.concatenate([np.full(len(starts), -1), kind[special]])[order])
 
-    @staticmethod
-    def lookup(known: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of sorted hashes among the known ones, and which of them are known."""
-        slot = np.searchsorted(known, keys)
-        hit = slot < len(known)
-        hit[hit] = known[slot[hit]] == keys[hit]
-        return slot, hit
-
     def count_tokens(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Tokens of each row."""
         starts, ends, row, special = self.pretokens(data, offsets)
-        words, first, inverse = np.unique(tx.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        slot, hit = self.lookup(self.known, words)
-        counts = np.zeros(len(words), np.int64)
-        counts[hit] = self.counts[slot[hit]]
-        new = np.flatnonzero(~hit)
+        first, number = tx.same_spans(data, starts, ends)
+        raw = data.tobytes()
+        words = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+        counts = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(counts < 0)
         if len(new):
             if len(self.machine.members) > self.KEPT_STATES:
                 self.machine.forget()
             counts[new] = self.machine.count(data, starts[first[new]], ends[first[new]])
             if len(self.known) > self.KEPT_WORDS:
-                self.known, self.counts = words[new], counts[new]
-            else:
-                self.known = np.insert(self.known, slot[new], words[new])
-                self.counts = np.insert(self.counts, slot[new], counts[new])
-        each = np.where(special >= 0, 1, counts[inverse])
+                self.known.clear()
+            self.known.update((words[k], c) for k, c in zip(new.tolist(), counts[new].tolist(), strict=True)
+                              if len(words[k]) <= self.LONGEST)
+        each = np.where(special >= 0, 1, counts[number])
         return np.bincount(row, each, len(offsets) - 1).astype(np.int64)
-
-    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Token ids of all rows end to end, and the rows' offsets in them; the library encodes each new pre-token once."""
-        starts, ends, row, special = self.pretokens(data, offsets)
-        words, first, inverse = np.unique(tx.span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.encoded) > self.KEPT_WORDS // 2:
-            self.forget_ids()
-        slot, hit = self.lookup(self.encoded, words)
-        new = np.flatnonzero(~hit)
-        if len(new):
-            raw = data.tobytes()
-            spelled = [raw[a:b].decode() for a, b in zip(starts[first[new]], ends[first[new]], strict=True)]
-            found = [e.ids for e in self.library.encode_batch_fast(spelled, add_special_tokens=False)]
-            sizes = np.array([len(f) for f in found], np.int64)
-            held = len(self.pool)
-            self.pool = np.concatenate([self.pool, np.array([i for f in found for i in f], np.uint32)])
-            self.encoded = np.insert(self.encoded, slot[new], words[new])
-            self.sizes = np.insert(self.sizes, slot[new], sizes)
-            self.pool_at = np.insert(self.pool_at, slot[new], held + np.cumsum(sizes) - sizes)
-            slot = np.searchsorted(self.encoded, words)
-        sizes = np.where(special >= 0, 1, self.sizes[slot][inverse])
-        edge = np.concatenate([[0], np.cumsum(sizes)])
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        at = self.pool_at[slot][inverse][owner] + np.arange(edge[-1]) - edge[owner]
-        is_special = special[owner] >= 0
-        at[is_special] = 0
-        ids = self.pool[at] if len(self.pool) else np.zeros(edge[-1], np.uint32)
-        ids[is_special] = special[owner][is_special]
-        per_row = np.bincount(row, sizes, len(offsets) - 1).astype(np.int64)
-        return ids, np.concatenate([[0], np.cumsum(per_row)])
