@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tradewind.operators.dedupe import distinct_rows, keep_first
 from tradewind.plans import marts
+from tradewind.session import apply_conf
 
 N = 30000
 
@@ -77,3 +78,15 @@ def test_copies_of_one_row(spark):
     first = keep_first(rows, ["k"], F.col("s").desc())
     assert first.count() == N - N // 3 + 1
     assert first.where("k = 'copy'").first().s == N - 3
+
+
+def test_a_task_gets_a_bounded_share_of_scans_and_exchanges(spark, tmp_path):
+    try:
+        # splits as where tables are large for the cores
+        apply_conf(spark).conf.set("spark.sql.files.minPartitionNum", "1")
+        spark.range(0, 2_000_000, 1, 1).selectExpr("uuid() as k").write.option("parquet.block.size", 4 << 20).parquet(f"{tmp_path}/t")
+        size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+        assert spark.read.parquet(f"{tmp_path}/t").rdd.getNumPartitions() > size >> 25 > 0
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
