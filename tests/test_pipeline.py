@@ -70,6 +70,21 @@ def test_return_fan_out(spark):
     assert (flat.units_sold, flat.gross_revenue_eur, flat.returns_count) == (4, 19.0, 2)
 
 
+def test_product_amounts_are_summed_as_cents(spark):
+    p = spark.createDataFrame([("P1", "a", "c", "b", D("0.01")), ("P2", "a", "c", "b", None)],
+                              "product_id string, product_name string, category string, brand string, unit_cost_eur decimal(10,2)")
+    i = spark.createDataFrame([("O1", "P1", 1, D("9999999999.99")), ("O2", "P1", 1, D("-0.02")), (None, "P1", None, None), ("O1", "P2", 3, None)],
+                              "order_id string, product_id string, quantity int, line_total_eur decimal(12,2)")
+    r = spark.createDataFrame([("R1", "O1"), ("R2", "O1"), ("R3", None)], "return_id string, order_id string")
+    got = marts.product_performance(p, i, r)
+    assert "sum(line_total_eur" not in got._jdf.queryExecution().executedPlan().toString()
+    one, two = got.orderBy("product_id").collect()
+    assert (one.orders_count, one.units_sold, one.gross_revenue_eur, one.gross_margin_eur) == (2, 3, 19999999999.96, 19999999999.93)
+    assert (two.orders_count, two.units_sold, two.gross_revenue_eur, two.gross_margin_eur) == (1, 6, None, None)
+    wide = i.withColumn("line_total_eur", F.col("line_total_eur").cast("decimal(30,4)"))
+    assert marts.product_performance(p, wide, r).orderBy("product_id").first().gross_revenue_eur == 19999999999.96
+
+
 def test_data_tests(spark):
     df = spark.createDataFrame([("a", "x"), ("a", "y"), (None, "z"), (None, None), ("b", "x")], "k string, v string")
     parent = spark.createDataFrame([("a",)], "k string")
