@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from tradewind.functions.dates import dashed_not_iso, lenient_date, mixed_date, months_apart
+from tradewind.functions.dates import MIXED_DATE_LAYOUTS, dashed_not_iso, lenient_date, mixed_date, months_apart
 from tradewind.functions.numbers import grouped_number, plain_number, ratio, round_to
 from tradewind.functions.text import canonical, normalize_code, strip, within_domain
 
@@ -62,3 +62,13 @@ def test_printed_numbers_match_correctly_rounded_printf(spark):
         assert got == [f"{v:,.{places}f}" for v in values]
     signed = column(spark, [4.25, -4.35], "double", lambda c: plain_number(c, 1, sign=True))
     assert signed == [f"{v:+.1f}" for v in (4.25, -4.35)]
+
+
+def test_dates_in_full_width_go_by_a_cast(spark):
+    given = ["2024-02-29", "2023-02-29", "0000-01-01", "0999-01-01", "2024-01-02\n", " 2024-01-02", "29/02/2024", "31/04/2024", "31-12-2023",
+             "1/2/2024", "01/02-2024", "12024-01-01", "", None]
+    for ours, layouts in ((mixed_date, MIXED_DATE_LAYOUTS), (lenient_date, ("yyyy-M-d",))):
+        assert column(spark, given, "string", lambda c, x=ours: x(c).cast("string")) == column(
+            spark, given, "string", lambda c, x=layouts: F.coalesce(*[F.try_to_date(c, layout) for layout in x]).cast("string"))
+        text = str(ours(F.col("v")))
+        assert "CAST" in text.upper() and text.upper().index("CAST") < text.index("to_date")
