@@ -90,3 +90,16 @@ def test_a_task_gets_a_bounded_share_of_scans_and_exchanges(spark, tmp_path):
         assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
     finally:
         spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_a_join_with_a_small_side_sorts_neither(spark, facts):
+    apply_conf(spark)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = marts.product_performance(facts["products"], facts["items"], facts["returns"], fan_out=False)
+        assert got.count() == len(got.collect()) == 520
+        final = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "ShuffledHashJoin" in final and "SortMergeJoin" not in final
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
