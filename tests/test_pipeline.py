@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tradewind import sinks
 from tradewind.operators import quality as q
 from tradewind.plans import evidence, marts, measures, pipeline
-from tradewind.plans.model import EXPORTED
+from tradewind.plans.model import EXPORTED, Model
 from tradewind.registry import model
 from tradewind.scale import scratch_dir
 from tradewind.sources import adapter
@@ -206,6 +206,25 @@ def test_folded_tests_read_each_table_once_and_group_once(spark, tmp_path):
     assert text.count("Exchange hashpartitioning") == 1 and text.count("partial_count_if") + text.count("partial_count(") > 0
 
 
+def test_held_tables_and_the_calendar_are_written_once(spark):
+    raw = {
+        "orders": spark.createDataFrame([("2024-01-05",), ("07/02/2024",), (None,)], "order_date string"),
+        "returns": spark.createDataFrame([("R1", "O1", "2024-03-01", None, D("1.00")), ("R2", "O2", "bad", "x", D("2.00"))],
+                                         "return_id string, order_id string, return_date string, return_reason string, "
+                                         "refund_amount_eur decimal(12,2)"),
+        "marketing_spend": spark.createDataFrame([("2023-12-31", "DE", "tv", D("-3.00"), 1, 2, 3), (None, "FR", "tv", D("4.00"), 1, 2, 3)],
+                                                 "date string, country_code string, channel string, spend_eur decimal(18,2), "
+                                                 "impressions long, clicks long, conversions long")}
+    direct = Model.over(raw)
+    m = Model.over(raw, hold=("returns", "marketing_spend")).prepare()
+    for name in ("returns", "marketing_spend"):
+        assert all(scratch_dir(spark).removeprefix("file:") in f for f in m.staged(name).inputFiles()) and m.staged(name).inputFiles()
+        assert sorted(map(str, m.staged(name).collect())) == sorted(map(str, direct.staged(name).collect()))
+        assert m.staged(name).schema.simpleString() == direct.staged(name).schema.simpleString()
+    assert tuple(m.calendar.first()) == tuple(direct.calendar.first()) == (date(2023, 12, 31), date(2024, 3, 1))
+    assert m.calendar.inputFiles()  # a stored row, so that later readers don't read orders, returns and spend again
+
+
 def test_scratch_folder_comes_from_the_session(spark):
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
