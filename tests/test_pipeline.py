@@ -206,6 +206,14 @@ def test_folded_tests_read_each_table_once_and_group_once(spark, tmp_path):
     assert text.count("Exchange hashpartitioning") == 1 and text.count("partial_count_if") + text.count("partial_count(") > 0
 
 
+def test_a_value_is_held_with_as_many_counts_as_its_domain_has_columns(spark):
+    tests = [q.Test("unique", "orders", "id"), q.Test("unique", "orders", "amount"), q.Test("unique", "days", "day"),
+             q.Test("relationships", "orders", "customer", ("customers", "customer"))]
+    text = q.run_tests(folded(spark).__getitem__, tests)._jdf.queryExecution().optimizedPlan().toString()
+    grouped = next(line for line in text.splitlines() if "Aggregate [domain" in line)
+    assert [f" AS r{k}#" in grouped for k in range(3)] == [True, True, False]
+
+
 def test_held_tables_and_the_calendar_are_written_once(spark):
     raw = {
         "orders": spark.createDataFrame([("2024-01-05",), ("07/02/2024",), (None,)], "order_date string"),

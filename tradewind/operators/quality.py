@@ -104,33 +104,42 @@ def run_tests(table: Callable[[str], DataFrame], tests: Sequence[Test]) -> DataF
 
     Every tested column sends its values to its domain, the values it is compared with; a row that fails a test of its own sends
     one mark. How often each column holds each value of its domain then answers uniqueness, nulls, duplicates and relationships alike,
-    without a join. Counts combine before the exchange, so a hot or null key travels once per task.
+    without a join. Counts combine before the exchange, so a hot or null key travels once per task; a group has one count for each
+    column of the largest domain, however many columns are tested.
     """
     domain = _domains(tests)
-    role = {column: k for k, column in enumerate(domain)}
-    marks, sent = len(role), {}
+    number = {name: k for k, name in enumerate(sorted(set(domain.values())))}
+    # a column's place among those of its domain: a value is held with as many counts as its domain has columns at most
+    place: dict[tuple[str, str], int] = {}
     for column, name in domain.items():
-        sent.setdefault(column[0], []).append(F.struct(
-            F.lit(name).alias("domain"), F.col(column[1]).cast("string").alias("value"), F.lit(role[column]).alias("role")))
+        place[column] = sum(domain[c] == name for c in place)
+    marks, sent = len(number), {}
+
+    def entry(at: int, value: Column, column: int) -> Column:
+        return F.struct(F.lit(at).alias("domain"), value.alias("value"), F.lit(column).alias("place"))
+
+    for column, name in domain.items():
+        sent.setdefault(column[0], []).append(entry(number[name], F.col(column[1]).cast("string"), place[column]))
     for k, t in enumerate(tests):
         if t.kind in BY_ROW:
-            mark = F.struct(F.lit("").alias("domain"), F.lit(str(k)).alias("value"), F.lit(marks).alias("role"))
-            sent.setdefault(t.table, []).append(F.when(BY_ROW[t.kind](t), mark))
+            sent.setdefault(t.table, []).append(F.when(BY_ROW[t.kind](t), entry(marks, F.lit(str(k)), 0)))
     rows = reduce(DataFrame.unionByName, [
         table(name).select(F.explode(F.array(*entries)).alias("e")).where("e is not null").select("e.*") for name, entries in sent.items()])
-    held = rows.groupBy("domain", "value").agg(*[F.count_if(F.col("role") == r).alias(f"r{r}") for r in range(marks + 1)])
+    counts = [F.count_if(F.col("place") == p).alias(f"r{p}") for p in range(max(place.values(), default=0) + 1)]
+    held = rows.groupBy("domain", "value").agg(*counts)
 
     def failures(k: int, t: Test) -> Column:
         if t.kind in BY_ROW:
-            return F.sum(F.when((F.col("domain") == "") & (F.col("value") == str(k)), F.col(f"r{marks}")))
-        here, mine, null = F.col("domain") == domain[t.table, t.column], F.col(f"r{role[t.table, t.column]}"), F.col("value").isNull()
+            return F.sum(F.when((F.col("domain") == marks) & (F.col("value") == str(k)), F.col("r0")))
+        column = t.table, t.column
+        here, mine, null = F.col("domain") == number[domain[column]], F.col(f"r{place[column]}"), F.col("value").isNull()
         if t.kind == "unique":
             return F.count_if(here & ~null & (mine > 1))
         if t.kind == "not_null":
             return F.sum(F.when(here & null, mine))
         if t.kind == "no_duplicates":
             return F.sum(F.when(here, mine)) - F.count_if(here & ~null & (mine > 0))
-        lost = F.col(f"r{role[t.parent]}") == 0
+        lost = F.col(f"r{place[t.parent]}") == 0
         return F.sum(F.when(here & (~null & lost if t.kind == "relationships" else null | lost), mine))
 
     one = held.agg(*[F.coalesce(failures(k, t), F.lit(0)).cast("long").alias(f"t{k}") for k, t in enumerate(tests)])
