@@ -18,6 +18,7 @@ from tradewind.llm import (
     cotraining,
     decontaminate,
     html_extract,
+    queries,
     simhash,
     suffix_array,
     suffix_dedup,
@@ -77,6 +78,33 @@ def test_suffix_dedup_equals_brute_force(spark, monkeypatch, hot):
         assert sum(s.end - s.start for s in r.spans) == r.n_bytes - len(r.kept)
 
 
+def test_suffix_dedup_query_writes_few_files(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 2000)
+    base = tables.prose(7, 120)
+    rows = [(k, tables.prose(900 + k, 20) + base[k:k + 300] + tables.prose(950 + k, 20), "en", "s", 1) for k in range(70)]
+    tables.frame(spark, rows, clashing=False).write.parquet(str(tmp_path / "documents.parquet"))
+    for limit, files in ((None, 1), (30, 3)):
+        if limit:
+            monkeypatch.setattr(queries, "ROWS_A_FILE", limit)
+        queries.op2_suffix_dedup(spark, str(tmp_path)).write.parquet(str(tmp_path / f"out{files}"))
+        assert len(list((tmp_path / f"out{files}").glob("part-*"))) == files
+        got = spark.read.parquet(str(tmp_path / f"out{files}")).collect()
+        assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == brute_repeats(
+            [(r[0], r[1], 0) for r in rows], 100)
+
+
+def test_suffix_dedup_deals_shards_evenly(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 2000)
+    df = tables.frame(spark, [(k, tables.prose(k, 40), "en", "s", 1) for k in range(150)])
+    shards = df.agg(F.sum(F.octet_length("text"))).first()[0] // 2000 + 1
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keyed = df.select("doc_id", F.pmod(F.xxhash64(F.xxhash64("text"), "doc_id"), F.lit(shards)).alias("s"))
+    dealt = suffix_dedup.remove_repeats(df).select("doc_id", F.spark_partition_id().alias("task")).join(keyed, "doc_id")
+    held = [r.n for r in dealt.groupBy("task").agg(F.countDistinct("s").alias("n")).collect()]
+    assert keyed.select("s").distinct().count() == shards > 2 * tasks
+    assert len(held) == tasks and max(held) - min(held) <= 1
+
+
 # --- SimHash -----------------------------------------------------------------------------------
 
 

@@ -13,6 +13,7 @@ from tradewind.llm.frames import table
 
 ORACLE: dict[str, str] = {"op11_filter_interaction_audit": filter_audit.ORACLE}
 TOKENIZER = "byte_bpe_50k.json"
+ROWS_A_FILE = 100_000
 
 
 def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,10 +36,13 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    found = suffix_dedup.remove_repeats(docs)
     kept = F.sha2("kept", 256).alias("kept_sha256")
-    return found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
-                        F.size("spans").cast("long").alias("n_spans"), kept)
+    digests = found.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                           F.size("spans").cast("long").alias("n_spans"), kept)
+    # the rows are a hundredth of the texts: they leave the tasks that hold texts and Python workers, for a few files to be written
+    return digests.repartition(docs.count() // ROWS_A_FILE + 1)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

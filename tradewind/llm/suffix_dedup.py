@@ -35,7 +35,7 @@ U = np.uint64
 GRAM = 32
 SHARD_BYTES, BUCKET_ANCHORS = 4 << 20, 400_000
 HOT = 1024
-PLACE_BITS, BLOCK = 21, 1 << 20
+PLACE_BITS, BLOCK = 21, 1 << 17
 FACTORS = [U(int(f) | 1) for f in tx.mix(np.arange(1, 9, dtype=U))]
 LAST = np.iinfo(np.int64).max
 
@@ -99,7 +99,8 @@ def anchors(texts: Texts, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
         place = (smallest(keys, width) & U((1 << PLACE_BITS) - 1)).astype(np.int64)
         starts = lo + np.arange(len(place))
         # a row's windows end where the row ends
-        row_end = np.repeat(offsets[1:], np.diff(offsets))[lo:lo + len(place)]
+        a, b = np.searchsorted(offsets, lo, "right") - 1, np.searchsorted(offsets, lo + len(place))
+        row_end = np.repeat(offsets[a + 1:b + 1], np.diff(np.clip(offsets[a:b + 1], lo, lo + len(place))))
         whole = np.flatnonzero(starts + length <= row_end)
         place, starts = place[whole], starts[whole]
         if not len(place):
@@ -127,7 +128,7 @@ def anchor_rows(texts: Texts, shard: int, length: int, buckets: int) -> pa.Table
     hashes = anchors(texts, length)[0]
     order, bucket, first, end = dealt(hashes, buckets)
     sent = hashes[order]
-    return pa.table({"bucket": pa.array(bucket, pa.int64()), "shard": pa.array([shard] * len(bucket), pa.int64()),
+    return pa.table({"bucket": pa.array(bucket, pa.int64()), "shard": pa.array([shard] * len(bucket), pa.int32()),
                      "hashes": pa.array([sent[a:b].tobytes() for a, b in zip(first, end, strict=True)], pa.binary())})
 
 
@@ -147,7 +148,7 @@ def flag_repeats(rows: pa.Table) -> pa.Table:
 
 def context_rows(texts: Texts, shard: int, replies: pa.Table, length: int, buckets: int, routes: int) -> pa.Table:
     """Contexts of a shard's repeated anchors, equal ones once, packed by the shard of contexts they go to."""
-    empty = {"route": pa.array([], pa.int64()), "shard": pa.array([], pa.int64()),
+    empty = {"route": pa.array([], pa.int32()), "shard": pa.array([], pa.int32()),
              **{c: pa.array([], pa.binary()) for c in ("records", "bodies", "members")}}
     if not replies.num_rows:
         return pa.table(empty)
@@ -182,14 +183,15 @@ def context_rows(texts: Texts, shard: int, replies: pa.Table, length: int, bucke
     records["more"] = [len(m) for m in members]
     bodies = [body for _, body in seen]
     # hot contexts are dealt by content, the others by their anchor
-    content = tx.rolling_hashes(texts.data, first[k], last[k] + length)
-    order, route, lo, hi = dealt(np.where(records["hot"] == 1, content, records["anchor"]), routes)
+    keys, hot = records["anchor"].copy(), records["hot"] == 1
+    keys[hot] = tx.span_hashes(texts.data, first[k[hot]], last[k[hot]] + length)
+    order, route, lo, hi = dealt(keys, routes)
     packs = []
     for a, b in zip(lo, hi, strict=True):
         some = order[a:b].tolist()
         more = np.array([m for i in some for m in members[i]], np.uint32)
         packs.append((records[some].tobytes(), b"".join(bodies[i] for i in some), more.tobytes()))
-    return pa.table({"route": pa.array(route, pa.int64()), "shard": pa.array([shard] * len(packs), pa.int64()),
+    return pa.table({"route": pa.array(route, pa.int32()), "shard": pa.array([shard] * len(packs), pa.int32()),
                      **{c: pa.array([p[k] for p in packs], pa.binary()) for k, c in enumerate(("records", "bodies", "members"))}})
 
 
@@ -301,7 +303,7 @@ def settle_contexts(rows: pa.Table, length: int, routes: int) -> pa.Table:
         out += [(r, -1, b"", kept[np.sort(order[a:b])].tobytes()) for r, a, b in zip(route.tolist(), lo, hi, strict=True)]
     out += [((own + k) % routes, s, r, b"") for k, (s, r) in enumerate(ranges.rows())]
     route, shard, found, sent = zip(*out, strict=True) if out else ((), (), (), ())
-    return pa.table({"route": pa.array(route, pa.int64()), "shard": pa.array(shard, pa.int64()),
+    return pa.table({"route": pa.array(route, pa.int32()), "shard": pa.array(shard, pa.int32()),
                      "ranges": pa.array(found, pa.binary()), "windows": pa.array(sent, pa.binary())})
 
 
@@ -344,17 +346,17 @@ def merge_windows(rows: pa.Table, length: int) -> pa.Table:
         ranges = Ranges()
         window_ranges(ranges, merged(runs)[1], length)
         out += ranges.rows()
-    return pa.table({"shard": pa.array([s for s, _ in out], pa.int64()), "ranges": pa.array([r for _, r in out], pa.binary())})
+    return pa.table({"shard": pa.array([s for s, _ in out], pa.int32()), "ranges": pa.array([r for _, r in out], pa.binary())})
 
 
 def cut_out(texts: Texts, rows: pa.Table) -> pa.Table:
     """Every text with its removed runs and what is left of it."""
     ranges = np.concatenate([np.zeros(0, RANGE)] + [np.frombuffer(r, RANGE) for r in rows.column("ranges").to_pylist()])
-    edge = np.zeros(len(texts.data) + 1, np.int64)
+    edge = np.zeros(len(texts.data) + 1, np.int32)
     base = texts.offsets[ranges["doc"]]
     np.add.at(edge, base + ranges["start"], 1)
     np.subtract.at(edge, base + ranges["end"], 1)
-    removed = np.cumsum(edge[:-1]) > 0
+    removed = np.cumsum(edge[:-1], dtype=np.int32) > 0
     starts, ends = tx.runs(removed, texts.offsets)
     row = tx.row_of(starts, texts.offsets)
     spans: list[list[dict]] = [[] for _ in texts.rows]
@@ -377,8 +379,8 @@ def remove_repeats(df: DataFrame, length: int = 100, id_col: str = "doc_id", tex
     routes = max(2 * tasks, 3 * shards)
     keyed = texts.withColumn("text_hash", F.xxhash64("text"))
     shard = F.pmod(F.xxhash64("text_hash", "doc_id"), F.lit(shards))
-    # one exchange of the texts serves all three passes
-    dealt_texts = keyed.withColumn("shard", shard).repartition(tasks, "shard")
+    # one exchange of the texts serves all three passes; shards and routes go to tasks by number, so no task gets many more than another
+    dealt_texts = keyed.withColumn("shard", shard.cast("int")).repartitionById(tasks, "shard")
 
     def shard_of(table: pa.Table) -> int:
         return table.column("shard")[0].as_py()
@@ -399,11 +401,11 @@ def remove_repeats(df: DataFrame, length: int = 100, id_col: str = "doc_id", tex
         return cut_out(Texts(table), ranges)
 
     by_shard = dealt_texts.groupBy("shard")
-    replies = (by_shard.applyInArrow(find, "bucket long, shard long, hashes binary")
-               .groupBy("bucket").applyInArrow(flag_repeats, "shard long, bucket long, flags binary"))
-    contexts = by_shard.cogroup(replies.groupBy("shard")).applyInArrow(
-        gather, "route long, shard long, records binary, bodies binary, members binary")
-    settled = contexts.groupBy("route").applyInArrow(settle, "route long, shard long, ranges binary, windows binary")
-    ranges = settled.groupBy("route").applyInArrow(finish, "shard long, ranges binary")
-    return by_shard.cogroup(ranges.groupBy("shard")).applyInArrow(
+    replies = (by_shard.applyInArrow(find, "bucket long, shard int, hashes binary")
+               .groupBy("bucket").applyInArrow(flag_repeats, "shard int, bucket long, flags binary"))
+    contexts = by_shard.cogroup(replies.repartitionById(tasks, "shard").groupBy("shard")).applyInArrow(
+        gather, "route int, shard int, records binary, bodies binary, members binary")
+    settled = contexts.repartitionById(tasks, "route").groupBy("route").applyInArrow(settle, "route int, shard int, ranges binary, windows binary")
+    ranges = settled.groupBy("route").applyInArrow(finish, "shard int, ranges binary")
+    return by_shard.cogroup(ranges.repartitionById(tasks, "shard").groupBy("shard")).applyInArrow(
         cut, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
